@@ -6,13 +6,56 @@ from pyspark.sql import functions as F
 
 from .common import table
 from .minhash import Near, near_duplicates
+from .mixing import mix
+from .substring import Spans, remove_repeats
+
+
+def op1_substring_dedup(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return remove_repeats(docs, Spans()).withColumn("kept_sha256", F.sha2(F.col("text").cast("binary"), 256))
 
 
 def op3_minhash_near_dedup(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"), Near(shingle=3, percent=85))
 
 
+def op9_source_mixing(spark, sf_dir):
+    return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies")
+
+
+OP9_SQL = r"""
+WITH d AS (
+  SELECT doc_id, source IS NULL AS none, coalesce(source, '') AS name,
+         coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size
+  FROM documents),
+r AS (SELECT *, row_number() OVER (PARTITION BY doc_id, none, name, size) AS ord FROM d),
+s AS (SELECT none, name, sum(size)::BIGINT AS source_size,
+             list_extract([5, 2, 1], 1 + ((row_number() OVER (ORDER BY none, name) - 1) % 3)::INT)::BIGINT AS w
+      FROM r GROUP BY none, name),
+c AS (SELECT *, 3 * source_size AS cap, (sum(source_size) OVER ())::BIGINT AS total FROM s),
+l AS (SELECT *, (total - coalesce(sum(cap) OVER (ORDER BY cap / w, none, name ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::DOUBLE
+             / (sum(w) OVER (ORDER BY cap / w, none, name ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::DOUBLE AS level,
+             row_number() OVER (ORDER BY cap / w, none, name) AS k FROM c),
+o AS (SELECT min(k) AS k, arg_min(level, k) AS level FROM l WHERE level * w <= cap),
+t AS (SELECT l.none, l.name, l.source_size,
+             CASE WHEN o.k IS NULL OR l.k < o.k THEN cap::DOUBLE ELSE o.level * w END AS target FROM l, o),
+q AS (SELECT r.*, t.source_size, t.target, e.round, md5('mix|' || e.round || '|' || coalesce(doc_id::VARCHAR, '') || '|' || ord) AS hash
+      FROM r JOIN t USING (none, name), (SELECT unnest([0, 1, 2]) AS round) e
+      WHERE size > 0 AND e.round * t.source_size <= t.target),
+f AS (SELECT *, (round * source_size + sum(size) OVER (PARTITION BY none, name, round ORDER BY hash, doc_id, ord, size
+             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))::DOUBLE / target AS finish FROM q),
+g AS (SELECT *, sum(size) OVER (ORDER BY finish, none, name, round, hash, doc_id, ord, size
+             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto FROM f),
+n AS (SELECT none, name, doc_id, ord, size, count(*) AS copies FROM g
+      WHERE upto <= (SELECT sum(size) FROM r) GROUP BY ALL)
+SELECT r.doc_id, r.size, t.source_size, t.target, coalesce(n.copies, 0)::BIGINT * r.size AS taken, coalesce(n.copies, 0)::BIGINT AS copies
+FROM r JOIN t USING (none, name)
+LEFT JOIN n ON r.none = n.none AND r.name = n.name AND r.doc_id IS NOT DISTINCT FROM n.doc_id AND r.ord = n.ord AND r.size = n.size
+"""
+
 QUERIES = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
+    "op9_source_mixing": op9_source_mixing,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op9_source_mixing": OP9_SQL}
