@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
+from .bpe import Bpe, encode_documents
 from .common import table
+from .langid import identify
 from .minhash import Near, near_duplicates
 from .mixing import mix
 from .substring import Spans, remove_repeats
@@ -15,10 +18,19 @@ def op1_substring_dedup(spark, sf_dir):
     return remove_repeats(docs, Spans()).withColumn("kept_sha256", F.sha2(F.col("text").cast("binary"), 256))
 
 
+def op2_language_id(spark, sf_dir):
+    return identify(table(spark, sf_dir, "documents").select("doc_id", "text", "lang")).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op3_minhash_near_dedup(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"), Near(shingle=3, percent=85))
 
 
+def op5_byte_bpe(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return encode_documents(docs, Bpe(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN))
+
+
 def op9_source_mixing(spark, sf_dir):
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies")
 
@@ -55,7 +67,9 @@ LEFT JOIN n ON r.none = n.none AND r.name = n.name AND r.doc_id IS NOT DISTINCT
 
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_language_id": op2_language_id,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
+    "op5_byte_bpe": op5_byte_bpe,
     "op9_source_mixing": op9_source_mixing,
 }
 ORACLE: dict[str, str] = {"op9_source_mixing": OP9_SQL}
