@@ -9,8 +9,9 @@ its estimate comes within ``slack`` standard errors of the threshold.
 
 Buckets are never expanded into all pairs. First every member is compared with one star of its bucket,
 chosen by a hash so that it differs from band to band; members that then still lie in different
-components are compared across components. A link inside a component changes nothing, so nothing that
-matters is left out.
+components are compared across components. Before that, shingles that no other set of those members holds
+are counted: they bound each set's similarity to any other exactly, and rule out most of a large group of
+looser copies. A link inside a component changes nothing, so nothing that matters is left out.
 """
 
 from __future__ import annotations
@@ -139,6 +140,22 @@ def _close(p: Near, x: str, y: str):
     return (bits <= p.most_bits) & (100 * F.least(nx, ny) >= p.percent * F.greatest(nx, ny))
 
 
+def _linkable(p: Near, sets: DataFrame) -> DataFrame:
+    """``(id, shared)`` of those sets that may link with another here: ``shared`` elements are in another set too.
+
+    What no other set holds is in no intersection, so this bound is exact.
+    """
+    each = sets.select("id", F.explode("set").alias("g"))
+    common = each.groupBy("g").agg(F.count("*").alias("n")).where("n > 1").select("g")
+    shared = each.join(common, "g").groupBy("id").agg(F.count("*").alias("shared"))
+    return shared.join(sets.select("id", F.size("set").alias("n")), "id").where(100 * F.col("shared") >= p.percent * F.col("n")).select("id", "shared")
+
+
+def _may_share(p: Near):
+    most = F.least("x.shared", "y.shared")
+    return 100 * most >= p.percent * (F.col("x.n_shingles") + F.col("y.n_shingles") - most)
+
+
 def near_duplicates(docs: DataFrame, params: Near = Near(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id, n_shingles, component_id, kept)`` for every row of ``docs``.
 
@@ -168,10 +185,9 @@ def near_duplicates(docs: DataFrame, params: Near = Near(), id_col: str = "doc_i
         return out.where(_close(p, "p", "q")).select("a", "b")
 
     stars = stage(candidates(held.select(F.col("id").alias("x"), F.col("star").alias("y"))), "stars")
-    wanted = stars.select(F.col("a").alias("id")).union(stars.select(F.col("b").alias("id"))).distinct()
-    sets = stage(slim.join(wanted, "id", "left_semi").mapInArrow(_sets(p.shingle), "id long, set array<long>"), "sets")
+    sets = stage(slim.join(held.select("id").distinct(), "id", "left_semi").mapInArrow(_sets(p.shingle), "id long, set array<long>"), "sets")
 
-    def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    def confirmed(pairs: DataFrame) -> DataFrame:
         both = pairs.join(sets.select(F.col("id").alias("b"), F.col("set").alias("sb")), "b").join(sets.select(F.col("id").alias("a"), F.col("set").alias("sa")), "a")
         common = F.size(F.array_intersect("sa", "sb"))
         return both.where(100 * common >= p.percent * (F.size("sa") + F.size("sb") - common)).select("a", "b")
@@ -183,26 +199,24 @@ def near_duplicates(docs: DataFrame, params: Near = Near(), id_col: str = "doc_i
 
     # one star for each class first, then the other stars where they could still join components
     first = stars.groupBy("b").agg(F.min("a").alias("a"))
-    links = stage(confirmed(first, sets), "confirmed")
+    links = stage(confirmed(first), "confirmed")
     comp = stage(components(links), "components")
-    more = stage(confirmed(apart(stars, comp), sets), "confirmed")
+    more = stage(confirmed(apart(stars, comp)), "confirmed")
     if not more.isEmpty():
         links = links.unionByName(more)
         comp = stage(components(links), "components")
     # what the stars of a bucket left in different components
     inside = held.join(comp, "id", "left").select("key", "id", F.coalesce("component_id", "id").alias("c"))
     mixed = inside.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("n")).where("lo < hi and n > 2").select("key")
-    open_ = inside.join(mixed, "key").join(sketch, "id")
+    open_ = stage(inside.join(mixed, "key"), "open")
+    linkable = stage(_linkable(p, sets.join(open_.select("id").distinct(), "id", "left_semi")), "linkable")
+    open_ = open_.join(linkable, "id").join(sketch, "id")
     x, y = open_.alias("x"), open_.alias("y")
-    crossing = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.c") < F.col("y.c")) & _close(p, "x", "y"))
+    crossing = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.c") < F.col("y.c")) & _close(p, "x", "y") & _may_share(p))
     rest = crossing.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
-    rest = stage(rest.join(stars, ["a", "b"], "left_anti"), "crossing")
-    if not rest.isEmpty():
-        ends = rest.select(F.col("a").alias("id")).union(rest.select(F.col("b").alias("id"))).distinct()
-        late = stage(slim.join(ends, "id", "left_semi").mapInArrow(_sets(p.shingle), "id long, set array<long>"), "sets")
-        more = stage(confirmed(rest, late), "confirmed")
-        if not more.isEmpty():
-            comp = stage(components(links.unionByName(more)), "components")
+    more = stage(confirmed(rest.join(stars, ["a", "b"], "left_anti")), "confirmed")
+    if not more.isEmpty():
+        comp = stage(components(links.unionByName(more)), "components")
     named = reps.select("n_shingles", "k0", "k1", "id").join(comp, "id", "left").select("n_shingles", "k0", "k1", F.coalesce("component_id", "id").alias("component_id"))
     out = sig.select("id", "n_shingles", "k0", "k1").join(named, ["n_shingles", "k0", "k1"], "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("id"))

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from .bpe import Bpe, encode_documents
 from .common import table
+from .html import extract
 from .langid import identify
+from .licenses import scan_licenses
 from .minhash import Near, near_duplicates
 from .mixing import mix
 from .substring import Spans, remove_repeats
@@ -26,6 +28,10 @@ def op3_minhash_near_dedup(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"), Near(shingle=3, percent=85))
 
 
+def op4_license_scan(spark, sf_dir):
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op5_byte_bpe(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return encode_documents(docs, Bpe(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN))
@@ -65,11 +71,17 @@ FROM r JOIN t USING (none, name)
 LEFT JOIN n ON r.none = n.none AND r.name = n.name AND r.doc_id IS NOT DISTINCT FROM n.doc_id AND r.ord = n.ord AND r.size = n.size
 """
 
+def op10_html_extraction(spark, sf_dir):
+    return extract(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_language_id": op2_language_id,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
+    "op4_license_scan": op4_license_scan,
     "op5_byte_bpe": op5_byte_bpe,
     "op9_source_mixing": op9_source_mixing,
+    "op10_html_extraction": op10_html_extraction,
 }
 ORACLE: dict[str, str] = {"op9_source_mixing": OP9_SQL}
