@@ -62,6 +62,8 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), repeats: int = 3,
     name = F.concat_ws("|", F.lit(seed), F.col("round").cast("string"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("ord").cast("string"))
     sent = sent.withColumn("hash", F.md5(name.cast("binary"))).withColumn("bucket", F.substring("hash", 1, DIGITS))
     queue = ["source_key", "round"]
+    # dealt anew: the join left a source's rows together
+    sent = sent.repartition(*queue, "bucket")
     sums = sent.groupBy(*queue, "bucket").agg(F.sum("size").alias("words"))
     before = F.coalesce(F.sum("words").over(Window.partitionBy(*queue).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     sums = sums.withColumn("before", before).drop("words")

@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 
 from .bpe import Bpe, encode_documents
 from .common import table
-from .html import extract
+from .embeddings import near_vectors
 from .langid import identify
 from .licenses import scan_licenses
 from .minhash import Near, near_duplicates
 from .mixing import mix
 from .substring import Spans, remove_repeats
+from .webtext import extract
 
 
 def op1_substring_dedup(spark, sf_dir):
@@ -37,6 +38,10 @@ def op5_byte_bpe(spark, sf_dir):
     return encode_documents(docs, Bpe(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN))
 
 
+def op6_embedding_near_dedup(spark, sf_dir):
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op9_source_mixing(spark, sf_dir):
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies")
 
@@ -81,6 +86,7 @@ QUERIES = {
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op4_license_scan": op4_license_scan,
     "op5_byte_bpe": op5_byte_bpe,
+    "op6_embedding_near_dedup": op6_embedding_near_dedup,
     "op9_source_mixing": op9_source_mixing,
     "op10_html_extraction": op10_html_extraction,
 }
