@@ -12,6 +12,7 @@ from .langid import identify
 from .licenses import scan_licenses
 from .minhash import Near, near_duplicates
 from .mixing import mix
+from .search import top_k
 from .substring import Spans, remove_repeats
 from .webtext import extract
 
@@ -42,6 +43,18 @@ def op6_embedding_near_dedup(spark, sf_dir):
     return near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op8_bm25_top_k(spark, sf_dir):
+    turns = table(spark, sf_dir, "conversations")
+    number = F.col("conv_id") * 65536 + F.col("turn")
+    queries = turns.where("conv_id % 50 = 0").select(number.alias("query"), "text")
+    found = top_k(turns.select(number.alias("doc"), "text"), queries)
+
+    def part(name):
+        return F.floor(F.col(name) / 65536).alias(f"{name}_conv_id"), (F.col(name) % 65536).alias(f"{name}_turn")
+
+    return found.select(*part("query"), "rank", *part("doc"), "score")
+
+
 def op9_source_mixing(spark, sf_dir):
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies")
 
@@ -80,6 +93,22 @@ def op10_html_extraction(spark, sf_dir):
     return extract(table(spark, sf_dir, "pages"))
 
 
+OP8_SQL = r"""
+WITH t AS (
+  SELECT conv_id, turn, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+  FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL),
+s AS (SELECT count(*)::DOUBLE AS n, avg(len(words))::DOUBLE AS mean FROM t),
+p AS (SELECT conv_id, turn, word, count(*)::DOUBLE AS tf, any_value(length)::DOUBLE AS length
+      FROM (SELECT conv_id, turn, unnest(words) AS word, len(words) AS length FROM t) GROUP BY ALL),
+f AS (SELECT word, ln(1 + ((SELECT n FROM s) - count(*) + 0.5::DOUBLE) / (count(*) + 0.5::DOUBLE)) AS idf FROM p GROUP BY word),
+h AS (SELECT q.conv_id AS query_conv_id, q.turn AS query_turn, d.conv_id AS doc_conv_id, d.turn AS doc_turn,
+             round(sum(f.idf * d.tf * 2.2::DOUBLE / (d.tf + 1.2::DOUBLE * (0.25::DOUBLE + 0.75::DOUBLE * d.length / (SELECT mean FROM s)))), 6) AS score
+      FROM p q JOIN f USING (word) JOIN p d USING (word) WHERE q.conv_id % 50 = 0 GROUP BY ALL)
+SELECT query_conv_id, query_turn, row_number() OVER (PARTITION BY query_conv_id, query_turn ORDER BY score DESC, doc_conv_id, doc_turn)::INT AS rank,
+       doc_conv_id, doc_turn, score
+FROM h QUALIFY rank <= 10
+"""
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_language_id": op2_language_id,
@@ -87,7 +116,8 @@ QUERIES = {
     "op4_license_scan": op4_license_scan,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_embedding_near_dedup": op6_embedding_near_dedup,
+    "op8_bm25_top_k": op8_bm25_top_k,
     "op9_source_mixing": op9_source_mixing,
     "op10_html_extraction": op10_html_extraction,
 }
-ORACLE: dict[str, str] = {"op9_source_mixing": OP9_SQL}
+ORACLE: dict[str, str] = {"op8_bm25_top_k": OP8_SQL, "op9_source_mixing": OP9_SQL}
