@@ -10,6 +10,7 @@ from .common import table
 from .embeddings import near_vectors
 from .langid import identify
 from .licenses import scan_licenses
+from .lm import score
 from .minhash import Near, near_duplicates
 from .mixing import mix
 from .search import top_k
@@ -43,6 +44,10 @@ def op6_embedding_near_dedup(spark, sf_dir):
     return near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op7_language_model(spark, sf_dir):
+    return score(table(spark, sf_dir, "documents"))
+
+
 def op8_bm25_top_k(spark, sf_dir):
     turns = table(spark, sf_dir, "conversations")
     number = F.col("conv_id") * 65536 + F.col("turn")
@@ -116,6 +121,7 @@ QUERIES = {
     "op4_license_scan": op4_license_scan,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_embedding_near_dedup": op6_embedding_near_dedup,
+    "op7_language_model": op7_language_model,
     "op8_bm25_top_k": op8_bm25_top_k,
     "op9_source_mixing": op9_source_mixing,
     "op10_html_extraction": op10_html_extraction,
