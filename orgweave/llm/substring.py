@@ -144,8 +144,11 @@ def remove_repeats(docs: DataFrame, params: Spans = Spans(), id_col: str = "doc_
     slim = docs.where(F.col(text_col).isNotNull()).select(order.alias("id"), version.alias("th"), F.col(text_col).alias("text"))
     spans = slim.mapInArrow(_spans(p), "h long, id long, th long, a int")
     spans = stage(spans, "spans")
-    seen = spans.groupBy("h").agg(F.count("*").alias("n"), F.min(F.struct("id", "th", "a")).alias("f")).where("n > 1")
-    again = spans.join(seen, "h").where(F.struct("id", "th", "a") != F.col("f"))
+    # counts first: only spans that repeat are then told apart by document and place
+    repeated = stage(spans.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "repeated")
+    spans = stage(spans.join(repeated, "h", "left_semi"), "repeats")
+    first = stage(spans.groupBy("h").agg(F.min(F.struct("id", "th", "a")).alias("f")), "first")
+    again = spans.join(first, "h").where(F.struct("id", "th", "a") != F.col("f"))
     cover = again.groupBy("id", "th").agg(F.collect_set("a").alias("_spans")).withColumnsRenamed({"id": "_id", "th": "_th"})
     full = docs.select(*(F.col(c) for c in kept), F.col(text_col).alias("_text"), order.alias("_id0"), version.alias("_th0"))
     full = full.join(cover, (F.col("_id0") == F.col("_id")) & (F.col("_th0") == F.col("_th")), "left").select(*kept, "_text", "_spans")
