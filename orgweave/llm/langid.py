@@ -23,7 +23,7 @@ UNKNOWN = "und"
 
 @dataclass(frozen=True)
 class Profiles:
-    """``sample``: at most so many training texts of each language are read; a stated bound of the classifier."""
+    """``sample``: about so many training texts of each language are read; a stated bound of the classifier."""
 
     size: int = 400
     sample: int = 3000
@@ -98,9 +98,16 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train(labelled: DataFrame, p: Profiles) -> dict[str, np.ndarray]:
-    """Profiles from rows ``(lang, text, order)``: of each language the first ``sample`` texts by ``order``."""
-    by = Window.partitionBy("lang").orderBy("order")
-    few = labelled.withColumn("_k", F.row_number().over(by)).where(F.col("_k") <= p.sample).select("lang", "text")
+    """Profiles from rows ``(lang, text, key)``: of each language the texts of the lowest hashes, about ``sample``.
+
+    A language's share of texts follows from its number of rows, so no rows are ranked or moved to choose them.
+    """
+    rows = {r[0]: r[1] for r in labelled.groupBy("lang").agg(F.count("*")).collect()}
+    if not rows:
+        return {}
+    share = F.create_map(*(F.lit(x) for lang, n in rows.items() for x in (lang, p.sample / n)))
+    low = F.pmod(F.xxhash64("key"), F.lit(1 << 31)) / F.lit(float(1 << 31)) < F.element_at(share, F.col("lang"))
+    few = labelled.where(low).select("lang", "text")
     counts = few.mapInArrow(_counts, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     top = counts.withColumn("_k", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))).where(F.col("_k") <= p.size)
     out: dict[str, list[tuple[int, int]]] = {}
@@ -132,7 +139,7 @@ def identify(docs: DataFrame, params: Profiles = Profiles(), id_col: str = "doc_
     crc = F.crc32(F.col(id_col).cast("string").cast("binary")) % 5
     text = F.col(text_col)
     labelled = docs.where((crc != 0) & F.col(lang_col).isNotNull() & text.isNotNull())
-    labelled = labelled.select(F.col(lang_col).alias("lang"), text.alias("text"), F.struct(F.xxhash64(id_col), F.col(id_col), text).alias("order"))
+    labelled = labelled.select(F.col(lang_col).alias("lang"), text.alias("text"), F.struct(F.col(id_col), text).alias("key"))
     profiles = train(labelled, params)
     kept = [c for c in docs.columns if c not in ("held_out", "lang_pred", "score")]
     rows = docs.select(*kept, F.coalesce(crc == 0, F.lit(False)).alias("held_out"), text.alias("_text"))
