@@ -38,7 +38,7 @@ class Lbl:
     top: int = 511
     near: int = 31
     size: int = 32
-    steps: int = 3000
+    steps: int = 2000
     batch: int = 2048
     noise: int = 64
     rate: float = 0.15
@@ -142,20 +142,21 @@ def fit(cell: np.ndarray, n: np.ndarray, p: Lbl) -> np.ndarray:
     draw = np.cumsum(n, dtype=np.float64)
     unigram = np.bincount(cell % p.outputs, n, p.outputs) + 1.0
     unigram /= unigram.sum()
-    noise_draw, log_noise = np.cumsum(unigram), np.log(unigram * p.noise)
-    word = rng.standard_normal((p.symbols, p.size)) * 0.1
-    through = np.stack([np.eye(p.size), np.eye(p.size)])
-    vector = rng.standard_normal((p.outputs, p.size)) * 0.1
-    bias = np.log(unigram)
-    seen = [np.full(x.shape, 1e-4) for x in (word, through, vector, bias)]
+    real = np.float32
+    noise_draw, log_noise = np.cumsum(unigram), np.log(unigram * p.noise).astype(real)
+    word = (rng.standard_normal((p.symbols, p.size)) * 0.1).astype(real)
+    through = np.stack([np.eye(p.size, dtype=real)] * 2)
+    vector = (rng.standard_normal((p.outputs, p.size)) * 0.1).astype(real)
+    bias = np.log(unigram).astype(real)
+    seen = [np.full(x.shape, 1e-4, real) for x in (word, through, vector, bias)]
 
     def update(k: int, x: np.ndarray, gradient: np.ndarray, rate: float) -> None:
         seen[k] += gradient**2
         x -= rate * gradient / np.sqrt(seen[k])
 
-    one_hot = np.eye(p.symbols)
+    one_hot = np.eye(p.symbols, dtype=real)
     for step in range(p.steps if len(cell) else 0):
-        rate = p.rate * (1 - step / p.steps)
+        rate = real(p.rate * (1 - step / p.steps))
         pick = cell[np.searchsorted(draw, rng.random(p.batch) * draw[-1], side="right").clip(max=len(cell) - 1)]
         target, context = pick % p.outputs, pick // p.outputs
         a, b = one_hot[context // p.symbols], one_hot[context % p.symbols]
@@ -164,10 +165,10 @@ def fit(cell: np.ndarray, n: np.ndarray, p: Lbl) -> np.ndarray:
         noise = np.searchsorted(noise_draw, rng.random(p.noise)).clip(max=p.outputs - 1)
         true = (q * vector[target]).sum(axis=1) + bias[target] - log_noise[target]
         false = q @ vector[noise].T + bias[noise] - log_noise[noise]
-        up = -1 / (1 + np.exp(np.clip(true, -30, 30))) / p.batch
-        down = 1 / (1 + np.exp(np.clip(-false, -30, 30))) / p.batch
+        up = real(-1 / p.batch) / (1 + np.exp(np.clip(true, -30, 30)))
+        down = real(1 / p.batch) / (1 + np.exp(np.clip(-false, -30, 30)))
         dq = up[:, None] * vector[target] + down @ vector[noise]
-        d_vector, d_bias = np.zeros_like(vector), np.bincount(target, up, p.outputs)
+        d_vector, d_bias = np.zeros_like(vector), np.bincount(target, up, p.outputs).astype(real)
         np.add.at(d_vector, target, up[:, None] * q)
         np.add.at(d_vector, noise, down.T @ q)
         np.add.at(d_bias, noise, down.sum(axis=0))
@@ -175,7 +176,7 @@ def fit(cell: np.ndarray, n: np.ndarray, p: Lbl) -> np.ndarray:
         d_through = np.stack([ra.T @ dq, rb.T @ dq])
         for k, (x, g) in enumerate(((word, d_word), (through, d_through), (vector, d_vector), (bias, d_bias))):
             update(k, x, g, rate)
-    return table(word, through, vector, bias)
+    return table(*(x.astype(np.float64) for x in (word, through, vector, bias)))
 
 
 def table(word: np.ndarray, through: np.ndarray, vector: np.ndarray, bias: np.ndarray) -> np.ndarray:
