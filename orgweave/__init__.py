@@ -1,0 +1 @@
+"""Entity resolution and record linkage on Spark DataFrames."""
