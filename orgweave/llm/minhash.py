@@ -10,8 +10,9 @@ its estimate comes within ``slack`` standard errors of the threshold.
 Buckets are never expanded into all pairs. First every member is compared with one star of its bucket,
 chosen by a hash so that it differs from band to band; members that then still lie in different
 components are compared across components. Before that, shingles that no other set of those members holds
-are counted: they bound each set's similarity to any other exactly, and rule out most of a large group of
-looser copies. A link inside a component changes nothing, so nothing that matters is left out.
+are counted: they bound each set's similarity to any other exactly, and rule out many. The rest of a bucket meets in
+tasks, in pairs of bounded blocks, where full sets are intersected as matrix products; only links come out.
+A link inside a component changes nothing, so nothing that matters is left out.
 """
 
 from __future__ import annotations
@@ -31,6 +32,8 @@ from .components import components
 
 #: Bits of an odd sketch, held in four longs.
 SKETCH_BITS = 256
+#: Members and shingles of a block, where a bucket's members are compared across components.
+BLOCK_ROWS, BLOCK_SHINGLES = 2048, 1_000_000
 
 
 @dataclass(frozen=True)
@@ -141,19 +144,71 @@ def _close(p: Near, x: str, y: str):
 
 
 def _linkable(p: Near, sets: DataFrame) -> DataFrame:
-    """``(id, shared)`` of those sets that may link with another here: ``shared`` elements are in another set too.
+    """``(id, n)`` of those sets that may link with another here: enough of their ``n`` elements are in another set too.
 
     What no other set holds is in no intersection, so this bound is exact.
     """
     each = sets.select("id", F.explode("set").alias("g"))
     common = each.groupBy("g").agg(F.count("*").alias("n")).where("n > 1").select("g")
     shared = each.join(common, "g").groupBy("id").agg(F.count("*").alias("shared"))
-    return shared.join(sets.select("id", F.size("set").alias("n")), "id").where(100 * F.col("shared") >= p.percent * F.col("n")).select("id", "shared")
+    return shared.join(sets.select("id", F.size("set").alias("n")), "id").where(100 * F.col("shared") >= p.percent * F.col("n")).select("id", "n")
+
+
+def _shared_counts(sets: list[np.ndarray], x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of sets x with sets y, as products of 0-1 matrices over the elements that several sets hold."""
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    values, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    number = np.cumsum(count > 1) - 1
+    keep = count[column] > 1
+    owner, column = owner[keep], number[column[keep]]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    out = np.zeros((len(x), len(y)), np.float32)
+    for first in range(0, int(number[-1]) + 1 if len(number) else 0, 4096):
+        a, b = np.searchsorted(column, [first, first + 4096])
+        m = np.zeros((len(sets), 4096), np.float32)
+        m[owner[a:b], column[a:b] - first] = 1
+        out += m[x] @ m[y].T
+    return out
+
 
+def _across(p: Near):
+    """Over rows sorted by bucket and block pair: one confirmed link for each two components that have any there."""
+
+    def bucket(rows: list[tuple]) -> Iterator[tuple[int, int]]:
+        ids, comp, side = (np.array([r[k] for r in rows]) for k in (3, 4, 5))
+        sets = [r[6] for r in rows]
+        x, y = np.flatnonzero(side == rows[0][1]), np.flatnonzero(side == rows[0][2])
+        if not len(x) or not len(y) or len(np.unique(comp)) < 2:
+            return
+        size = np.array([len(s) for s in sets])
+        for part in range(0, len(x), 512):
+            xs = x[part : part + 512]
+            use = np.unique(np.concatenate([xs, y]))
+            common = _shared_counts([sets[k] for k in use], np.searchsorted(use, xs), np.searchsorted(use, y))
+            i, j = np.nonzero((100 * common >= p.percent * (size[xs][:, None] + size[y][None, :] - common)) & (comp[xs][:, None] != comp[y][None, :]))
+            s, t = xs[i], y[j]
+            pair = np.stack([np.minimum(comp[s], comp[t]), np.maximum(comp[s], comp[t])], axis=1)
+            _, one = np.unique(pair, axis=0, return_index=True)
+            yield from zip(ids[s[one]].tolist(), ids[t[one]].tolist(), strict=True)
 
-def _may_share(p: Near):
-    most = F.least("x.shared", "y.shared")
-    return 100 * most >= p.percent * (F.col("x.n_shingles") + F.col("y.n_shingles") - most)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        out: list[tuple[int, int]] = []
+        for batch in batches:
+            lists = batch.column("set")
+            off, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
+            columns = [batch.column(c).to_pylist() for c in ("key", "lo", "hi", "id", "c", "side")]
+            for k, row in enumerate(zip(*columns, strict=True)):
+                if held and held[0][:3] != row[:3]:
+                    out += bucket(held)
+                    held = []
+                held.append((*row, flat[off[k] : off[k + 1]].copy()))
+        if held:
+            out += bucket(held)
+        yield pa.RecordBatch.from_arrays([pa.array([e[k] for e in out], pa.int64()) for k in range(2)], ["a", "b"])
+
+    return run
 
 
 def near_duplicates(docs: DataFrame, params: Near = Near(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -210,11 +265,14 @@ def near_duplicates(docs: DataFrame, params: Near = Near(), id_col: str = "doc_i
     mixed = inside.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("n")).where("lo < hi and n > 2").select("key")
     open_ = stage(inside.join(mixed, "key"), "open")
     linkable = stage(_linkable(p, sets.join(open_.select("id").distinct(), "id", "left_semi")), "linkable")
-    open_ = open_.join(linkable, "id").join(sketch, "id")
-    x, y = open_.alias("x"), open_.alias("y")
-    crossing = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.c") < F.col("y.c")) & _close(p, "x", "y") & _may_share(p))
-    rest = crossing.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
-    more = stage(confirmed(rest.join(stars, ["a", "b"], "left_anti")), "confirmed")
+    open_ = open_.join(linkable, "id")
+    crowd = open_.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("m"), F.sum("n").alias("all")).where("lo < hi")
+    parts = F.ceil(F.greatest(F.col("m") / BLOCK_ROWS, F.col("all") / BLOCK_SHINGLES)).cast("int")
+    dealt = open_.join(crowd.select("key", parts.alias("parts")), "key")
+    dealt = dealt.withColumn("side", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    dealt = dealt.select("key", "id", "c", "side", F.least("side", "other").alias("lo"), F.greatest("side", "other").alias("hi"))
+    dealt = dealt.join(sets, "id").repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
+    more = stage(dealt.select("key", "lo", "hi", "id", "c", "side", "set").mapInArrow(_across(p), "a long, b long"), "confirmed")
     if not more.isEmpty():
         comp = stage(components(links.unionByName(more)), "components")
     named = reps.select("n_shingles", "k0", "k1", "id").join(comp, "id", "left").select("n_shingles", "k0", "k1", F.coalesce("component_id", "id").alias("component_id"))
