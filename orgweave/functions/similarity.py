@@ -1,7 +1,9 @@
-"""Jaro-Winkler and Metaphone, which Spark lacks: Arrow functions over distinct values."""
+"""Jaro-Winkler and Metaphone, which Spark lacks, as Arrow functions that remember values seen before."""
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,10 +12,11 @@ from pyspark.sql.types import DoubleType, StringType
 from ..sources.staging import ready
 
 
+@lru_cache(1 << 16)
 def jaro_winkler_bytes(a: bytes, b: bytes) -> float:
     """On bytes, with a prefix of four at most, weight 0.1, and only where Jaro is over 0.7."""
     if a == b:
-        return 1.0 if a else 1.0
+        return 1.0
     n, m = len(a), len(b)
     if not n or not m:
         return 0.0
@@ -58,21 +61,19 @@ def upper_bound(a: Column, b: Column) -> Column:
 def add_similarity(pairs: DataFrame, a: str, b: str, out: str, least: float = 0.0) -> DataFrame:
     """``pairs`` with the Jaro-Winkler similarity of two columns.
 
-    Computed once for each distinct pair of unequal texts whose lengths allow ``least``; others get null,
-    equal texts 1. Callers compare with at least ``least``.
+    Python sees only unequal texts whose lengths allow ``least``; other unequal ones get null, equal texts 1.
+    Callers compare with at least ``least``. Nothing is shuffled: pairs that repeat are remembered in each worker.
     """
     ready(pairs.sparkSession)
     x, y = F.col(a), F.col(b)
     open_ = x.isNotNull() & y.isNotNull() & (x != y) & (upper_bound(x, y) >= least)
-    distinct = pairs.where(open_).select(x.alias("_a"), y.alias("_b")).distinct()
-    known = distinct.withColumn("_s", _jaro_winkler("_a", "_b"))
-    joined = pairs.join(known, (x == F.col("_a")) & (y == F.col("_b")), "left")
-    return joined.withColumn(out, F.when(x == y, F.lit(1.0)).otherwise(F.col("_s"))).drop("_a", "_b", "_s")
+    return pairs.withColumn(out, F.when(x == y, F.lit(1.0)).otherwise(_jaro_winkler(F.when(open_, x), F.when(open_, y))))
 
 
 _VOWELS = set("AEIOU")
 
 
+@lru_cache(1 << 16)
 def metaphone_word(text: str) -> str:
     """Metaphone of one word by Philips's rules of 1990."""
     w = "".join(c for c in text.upper() if "A" <= c <= "Z")
@@ -143,7 +144,6 @@ def _metaphone(a: pa.Array) -> pa.Array:
 
 
 def add_metaphone(df: DataFrame, word: str, out: str) -> DataFrame:
-    """``df`` with the Metaphone of a column's words, computed once for each distinct word."""
+    """``df`` with the Metaphone of a column's words."""
     ready(df.sparkSession)
-    known = df.where(F.col(word).isNotNull()).select(F.col(word).alias("_w")).distinct().withColumn("_m", _metaphone("_w"))
-    return df.join(known, F.col(word) == F.col("_w"), "left").withColumn(out, F.col("_m")).drop("_w", "_m")
+    return df.withColumn(out, _metaphone(F.col(word)))

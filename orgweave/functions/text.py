@@ -1,8 +1,8 @@
-"""Scalar functions on names, places and metadata text. All are Column to Column."""
+"""Scalar functions on names, places and metadata text. Column to Column but for the map parser."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BLANKS = r"[\s\p{Z}]+"
@@ -149,29 +149,30 @@ def safe_long(c: Column) -> Column:
     return safe_double(c).try_cast("long")
 
 
-def java_map(c: Column) -> Column:
-    """Text ``{k=v, k2=v2}`` as a map. Keys are identifiers before an equals sign, wherever they stand; the last of equal keys wins; ``null`` is null."""
-    text = strip(c)
-    inner = F.when(F.startswith(text, F.lit("{")) & F.endswith(text, F.lit("}")) & (F.length(text) > 1), F.substring(text, F.lit(2), F.length(text) - 2)).otherwise(text)
-    marked = F.regexp_replace(inner, r"([a-zA-Z_][a-zA-Z0-9_]*)\s*=", "\u0001$1\u0002")
-    parts = F.split(marked, "\u0001")
-    entries = F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0)))
-    last = F.size(entries) - 1
-
-    def entry(x: Column, k: Column) -> Column:
-        pair = F.split(x, "\u0002")
-        value = strip(F.when(k < last, F.regexp_replace(F.get(pair, F.lit(1)), "[, ]+$", "")).otherwise(F.get(pair, F.lit(1))))
-        return F.struct(F.get(pair, F.lit(0)).alias("key"), F.when(F.lower(value) != "null", value).alias("value"))
-
-    rows = F.transform(entries, entry)
-    newest = F.filter(rows, lambda x, k: ~F.exists(F.slice(rows, k + 2, F.greatest(F.size(rows), F.lit(1))), lambda y: y["key"] == x["key"]))
+def with_java_map(df: DataFrame, column: str, out: str) -> DataFrame:
+    """``df`` with text ``{k=v, k2=v2}`` as a map.
+
+    Keys are identifiers before an equals sign, wherever they stand; the last of equal keys wins; ``null`` is
+    null. It is done in steps of one column each, so that no step's work is repeated inside a lambda.
+    """
+    text = strip(F.col(column))
+    braces = F.startswith(text, F.lit("{")) & F.endswith(text, F.lit("}")) & (F.length(text) > 1)
+    inner = F.when(braces, F.substring(text, F.lit(2), F.length(text) - 2)).otherwise(text)
+    parts = F.split(F.regexp_replace(inner, r"([a-zA-Z_][a-zA-Z0-9_]*)\s*=", "\u0001$1\u0002"), "\u0001")
+    out_df = df.withColumn("_parts", parts).withColumn("_pairs", F.transform(F.slice("_parts", F.lit(2), F.greatest(F.size("_parts") - 1, F.lit(0))), lambda x: F.split(x, "\u0002")))
+    last = F.size("_pairs") - 1
+    keys = F.transform("_pairs", lambda x: F.get(x, F.lit(0)))
+    raw = F.transform("_pairs", lambda x, k: F.when(k < last, F.regexp_replace(F.get(x, F.lit(1)), "[, ]+$", "")).otherwise(F.get(x, F.lit(1))))
+    values = F.transform(raw, lambda x: F.when(F.lower(strip(x)) != "null", strip(x)))
+    out_df = out_df.withColumns({"_keys": keys, "_values": values}).drop("_parts", "_pairs").withColumn("_one", F.array_distinct("_keys"))
+    newest = F.transform("_one", lambda k: F.element_at("_values", F.size("_keys") - F.array_position(F.reverse("_keys"), k).cast("int") + 1))
     empty = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>"))
-    return F.coalesce(F.when(F.size(entries) > 0, F.map_from_entries(newest)), empty)
+    chosen = F.when(F.size("_one") == F.size("_keys"), F.col("_values")).otherwise(newest)
+    return out_df.withColumn(out, F.when(F.size("_one") > 0, F.map_from_arrays("_one", chosen)).otherwise(empty)).drop("_keys", "_values", "_one")
 
 
-def metadata_fields(column: str) -> list[Column]:
-    """The twelve fields that are taken from a record's metadata text."""
-    m = java_map(F.col(column))
+def metadata_fields(m: Column) -> list[Column]:
+    """The twelve fields that are taken from the map of a record's metadata."""
 
     def get(key: str) -> Column:
         return F.element_at(m, F.lit(key))

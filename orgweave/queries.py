@@ -11,13 +11,14 @@ from pyspark.sql import functions as F
 from .functions import text as t
 from .functions.places import COUNTRY_CODES
 from .functions.similarity import add_metaphone, add_similarity
+from .functions.text import match_weight
 from .operators import blocking, cluster, filters, judge, profile, report, score, tokens, train, truth
 from .operators.compare import add_gammas, comparisons, needed_columns
 from .operators.model import PRIOR, default_settings
-from .functions.text import match_weight
 from .plans import entities
 from .plans.entities import SQL, SQL_TOKENS, sql_clean, sql_normal, sql_strip, sql_words
 from .sources import tables
+from .sources.staging import stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -201,14 +202,15 @@ def parse_java_map_fields(spark, d):
         F.lit("{class=, category="), "event_type", F.lit(", country=u"), F.col("user_id").cast("string"), F.lit(", city="), F.when(k % 2 == 0, "A, B").otherwise("null"),
         F.lit(", latitude="), F.when(k % 3 == 0, "42.5").otherwise("north"), F.lit("}"),
     )
-    return read(spark, d, "events").select("event_id", text.alias("m")).select("event_id", *(c for c in t.metadata_fields("m"))).select("event_id", "type", "country", "city", "latitude")
+    parsed = t.with_java_map(read(spark, d, "events").select("event_id", text.alias("text")), "text", "m")
+    return parsed.select("event_id", *t.metadata_fields(F.col("m"))).select("event_id", "type", "country", "city", "latitude")
 
 
-@query("safe_float", "SELECT event_id, CASE event_id % 4 WHEN 0 THEN NULL WHEN 1 THEN 1.5::DOUBLE WHEN 2 THEN NULL ELSE -2.0::DOUBLE END AS x, CASE event_id % 4 WHEN 1 THEN 1::BIGINT WHEN 3 THEN -2::BIGINT END AS i FROM events")
+@query("safe_float", "SELECT event_id, CASE event_id % 4 WHEN 0 THEN NULL WHEN 1 THEN 1.5::DOUBLE WHEN 2 THEN NULL ELSE -2.0::DOUBLE END AS x, CASE event_id % 4 WHEN 1 THEN 1::BIGINT WHEN 3 THEN -2::BIGINT ELSE 0::BIGINT END AS i FROM events")
 def safe_float(spark, d):
     k = F.col("event_id") % 4
     raw = F.when(k == 0, "nan").when(k == 1, "1.5").when(k == 2, "north").otherwise("-2")
-    return read(spark, d, "events").select("event_id", t.safe_double(raw).alias("x"), t.safe_long(raw).alias("i"))
+    return read(spark, d, "events").select("event_id", t.safe_double(raw).alias("x"), F.coalesce(t.safe_long(raw), F.lit(0)).cast("long").alias("i"))
 
 
 @query(
@@ -354,7 +356,8 @@ _PAIRS = "p AS (" + " UNION ALL ".join(f"SELECT l.unique_id AS unique_id_l, r.un
 
 
 def _tokens(spark, d):
-    return entities.sides(entities.with_tokens(entities.documents(spark, d)))
+    """Both sides with features, written once: every rule reads them."""
+    return entities.sides(stage(entities.with_tokens(entities.documents(spark, d)), "features"))
 
 
 @query("block_exact", f"WITH {SQL}, {_SIDES.format('e')} SELECT l.unique_id AS unique_id_l, r.unique_id AS unique_id_r FROM l JOIN r USING (name_normalized)")

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import metadata_fields
+from ..functions.text import metadata_fields, with_java_map
 
 # DDL of the inputs, for readers that take a schema.
 REFERENCE = (
@@ -54,8 +54,8 @@ def scan_incoming(df: DataFrame, source_table: str | None = None, limit: int | N
         df = df.where(F.col("source_table") == source_table)
     if per_source is not None:
         df = stratified(df, "source_table", "mismatch_id", per_source, seed)
-    fields = metadata_fields("metadata")
-    out = df.select(F.col("mismatch_id").alias("source_id"), "name", "source_table", "source_entity_id", F.col("metadata").alias("raw_metadata"), *fields, F.lit("mismatched").alias("source"))
+    fields = metadata_fields(F.col("_metadata"))
+    out = with_java_map(df, "metadata", "_metadata").select(F.col("mismatch_id").alias("source_id"), "name", "source_table", "source_entity_id", F.col("metadata").alias("raw_metadata"), *fields, F.lit("mismatched").alias("source"))
     return _limited(out, limit)
 
 
