@@ -7,8 +7,8 @@ one of the whole text too. There the text is stitched, and the pieces between st
 is trusted only if the chunk before was itself in step; from the first stitch that fails, the rest of that
 text is put together again and encoded whole.
 
-The ids equal those of the whole text: the pattern looks ahead only for a non-space after white space, and
-at the end of a piece that finds the same match as inside the text.
+The ids equal those of the whole text: the pattern looks ahead only from white space, and pieces end in another
+character.
 """
 
 from __future__ import annotations
@@ -88,11 +88,13 @@ def chunks(text: str, p: Bpe) -> Iterator[tuple[int, int, str]]:
 def edges(k: int, a: int, text: str, p: Bpe, last: bool) -> tuple[list[int], list[int]]:
     """Pre-token boundaries of a chunk in its overlap with the chunk before, and in that with the chunk after.
 
-    A boundary within the chunk's last two pre-tokens may be due to the chunk's end and isn't used.
+    A boundary within the chunk's last two pre-tokens may be due to the chunk's end and isn't used, nor is one
+    after white space: at the end of a piece two pre-tokens of white space would be read as one.
     """
     starts = [m.start() for m in _compiled(p.pattern).finditer(text)]
-    head = [a + s for s in starts if s < p.overlap] if k else []
-    tail = [] if last else [a + s for s in starts[:-2] if s >= p.chunk]
+    safe = lambda s: s > 0 and not text[s - 1].isspace()
+    head = [a + s for s in starts if s < p.overlap and safe(s)] if k else []
+    tail = [] if last else [a + s for s in starts[:-2] if s >= p.chunk and safe(s)]
     return head, tail
 
 
