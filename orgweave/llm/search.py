@@ -2,9 +2,10 @@
 
 Document frequencies, the number of documents and their mean length are of the whole table, so scores of
 different shards compare. A shard's inverted index parts its documents into aligned blocks and keeps, for
-each term and block, the largest impact of the term there. A query adds them up to an upper bound of every
-block and takes the blocks by falling bound; it stops at the first bound under the k-th best score so far,
-the WAND threshold. What is left out can't reach the result.
+each frequent term and block, the largest impact of the term there. A query adds up its rare terms and, as in
+WAND, bounds what the others can add by their block maxima. The documents of the highest bounds are scored
+first and give a threshold; those whose bound stays under it can't reach the result and are left out
+(Broder et al. 2003; Ding and Suel 2011). The traversal is by arrays, not by document pointers.
 
 Queries meet shards in groups: every group of queries is dealt to every shard, in bounded blocks.
 """
@@ -28,10 +29,11 @@ class Bm25:
     k: int = 10
     k1: float = 1.2
     b: float = 0.75
-    #: documents of a shard, queries of a group, documents of a block
+    #: documents of a shard, queries of a group, documents of a block, frequent terms of a shard
     shard: int = 8192
     group: int = 2048
-    block: int = 64
+    block: int = 8
+    frequent: int = 512
     #: decimals to which scores are rounded before they are ranked
     digits: int = 6
 
@@ -51,7 +53,11 @@ def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Index:
-    """An inverted index of one shard; documents are in the order of their numbers."""
+    """An inverted index of one shard; documents are in the order of their numbers.
+
+    The terms of most documents, ``frequent`` at most, are rows of a matrix of impacts, with their largest impact
+    in each block of documents; the others are postings.
+    """
 
     def __init__(self, docs: np.ndarray, length: np.ndarray, term: np.ndarray, owner: np.ndarray, tf: np.ndarray, mean: float, p: Bm25):
         order = np.lexsort((owner, term))
@@ -59,52 +65,49 @@ class Index:
         self.owner, tf, term = owner[order], tf[order], term[order]
         norm = p.k1 * (1 - p.b + p.b * length / mean) if mean else np.ones(len(docs))
         self.impact = tf * (p.k1 + 1) / (tf + norm[self.owner])
-        # one entry for each term and block with postings
-        block = self.owner // p.block
-        new = np.flatnonzero(np.concatenate([[True], (term[1:] != term[:-1]) | (block[1:] != block[:-1])])) if len(term) else np.empty(0, np.int64)
-        self.entry = np.append(new, len(term))
-        self.entry_block = block[new]
-        self.entry_max = np.maximum.reduceat(self.impact, new) if len(new) else np.empty(0)
-        entry_term = term[new]
-        first = np.flatnonzero(np.concatenate([[True], entry_term[1:] != entry_term[:-1]])) if len(new) else np.empty(0, np.int64)
-        self.terms = entry_term[first]
-        self.term_at = np.append(first, len(new))
-        self.blocks = -(-len(docs) // p.block)
+        first = np.flatnonzero(np.concatenate([[True], term[1:] != term[:-1]])) if len(term) else np.empty(0, np.int64)
+        self.terms, self.at = term[first], np.append(first, len(term))
+        df = np.diff(self.at)
+        often = np.argsort(-df, kind="stable")[: p.frequent]
+        often = np.sort(often[df[often] * 16 >= len(docs)])
+        self.row = np.full(len(self.terms), -1)
+        self.row[often] = np.arange(len(often))
+        blocks = -(-len(docs) // p.block)
+        self.dense = np.zeros((len(often), blocks * p.block))
+        for k, t in enumerate(often):
+            here = slice(self.at[t], self.at[t + 1])
+            self.dense[k, self.owner[here]] = self.impact[here]
+        self.block_max = self.dense.reshape(len(often), blocks, p.block).max(axis=2, initial=0.0)
 
     def search(self, terms: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The best documents and their scores, of equal scores the smaller number first."""
-        p = self.p
-        none = np.empty(0, np.int64), np.empty(0)
+        p, n = self.p, len(self.docs)
         if not len(self.terms) or not len(terms):
-            return none
+            return np.empty(0, np.int64), np.empty(0)
         at = np.minimum(np.searchsorted(self.terms, terms), len(self.terms) - 1)
         here = self.terms[at] == terms
         at, idf = at[here], idf[here]
-        if not len(at):
-            return none
-        sizes = self.term_at[at + 1] - self.term_at[at]
-        entries = _ranges(self.term_at[at], sizes)
-        weight = np.repeat(idf, sizes)
-        bound = np.bincount(self.entry_block[entries], weight * self.entry_max[entries], minlength=self.blocks)
-        by_bound = np.argsort(-bound, kind="stable")
-        rank = np.empty(self.blocks, np.int64)
-        rank[by_bound] = np.arange(self.blocks)
-        entry_rank = rank[self.entry_block[entries]]
-        best_docs, best = none
-        a, step, slack = 0, 2, 10.0**-p.digits
-        while a < self.blocks and bound[by_bound[a]] > 0 and (len(best) < p.k or bound[by_bound[a]] + slack >= best[-1]):
-            z = min(self.blocks, a + step)
-            use = (entry_rank >= a) & (entry_rank < z)
-            e = entries[use]
-            n = self.entry[e + 1] - self.entry[e]
-            post = _ranges(self.entry[e], n)
-            score = np.round(np.bincount(self.owner[post], np.repeat(weight[use], n) * self.impact[post], minlength=len(self.docs)), p.digits)
-            hit = np.flatnonzero(score > 0)
-            best_docs, best = np.concatenate([best_docs, hit]), np.concatenate([best, score[hit]])
-            keep = np.lexsort((best_docs, -best))[: p.k]
-            best_docs, best = best_docs[keep], best[keep]
-            a, step = z, step * 2
-        return self.docs[best_docs], best
+        row = self.row[at]
+        rare, often = row < 0, row[row >= 0]
+        weight = idf[row >= 0]
+        size = self.at[at[rare] + 1] - self.at[at[rare]]
+        post = _ranges(self.at[at[rare]], size)
+        partial = np.bincount(self.owner[post], np.repeat(idf[rare], size) * self.impact[post], minlength=n)
+        # what frequent terms can add at most, block by block
+        bound = partial + np.repeat(weight @ self.block_max[often], p.block)[:n]
+
+        def exact(d: np.ndarray) -> np.ndarray:
+            return np.round(partial[d] + weight @ self.dense[often[:, None], d], p.digits)
+
+        least, some = 0.0, min(n, 16 * p.k)
+        if n > p.k:
+            seed = np.argpartition(bound, n - some)[n - some :]
+            least = np.partition(exact(seed), some - p.k)[some - p.k]
+        hit = np.flatnonzero((bound + 10.0**-p.digits >= least) & (bound > 0))
+        score = exact(hit)
+        hit, score = hit[score > 0], score[score > 0]
+        best = np.lexsort((hit, -score))[: p.k]
+        return self.docs[hit[best]], score[best]
 
 
 def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
