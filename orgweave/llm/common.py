@@ -1,58 +1,14 @@
-"""Shared plumbing: reading tables, and cutting lineage through the cluster's shared folder."""
+"""Shared plumbing of this subpackage."""
 
 from __future__ import annotations
 
-import atexit
-import os
-import tempfile
-import uuid
-from pathlib import Path
-
 from pyspark.sql import DataFrame, SparkSession
 
-ROOT = str(Path(__file__).resolve().parents[2])
-_written: list[tuple[SparkSession, str]] = []
-
+from ..sources.staging import ready, stage
 
-def ready(spark: SparkSession) -> None:
-    """Lets Python workers that start from now on import this package when it lies beside the driver."""
-    env = spark.sparkContext.environment
-    have = env.get("PYTHONPATH", "")
-    if ROOT not in have.split(os.pathsep):
-        env["PYTHONPATH"] = os.pathsep.join(x for x in (ROOT, have) if x)
+__all__ = ["ready", "stage", "table"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ready(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; only where that is unset, one of our own."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = tempfile.mkdtemp(prefix="orgweave-")
-        spark.conf.set("spark.checkpoint.dir", found)
-        atexit.register(__import__("shutil").rmtree, found, True)
-    return found.rstrip("/")
-
-
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Writes ``df`` to a table in the shared folder and reads it back: a cut of the lineage that survives lost executors."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    if not _written:
-        atexit.register(_clean)
-    _written.append((spark, path))
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def _clean() -> None:
-    for spark, path in _written:
-        try:
-            jvm = spark._jvm
-            at = jvm.org.apache.hadoop.fs.Path(path)
-            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
-        except Exception:  # the session is gone; the folder's owner clears it
-            return

@@ -22,9 +22,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.components import components
 from . import textvec
 from .common import ready, stage
-from .components import components
 
 
 @dataclass(frozen=True)
