@@ -20,7 +20,7 @@ def term_frequencies(tables: list[DataFrame], column: str, by: str | None = None
         both = part if both is None else both.unionByName(part)
     n = both.groupBy(*keys, "value").agg(F.count("*").alias("n"))
     total = both.groupBy(*keys).agg(F.count("*").alias("total"))
-    joined = n.join(F.broadcast(total), keys) if keys else n.crossJoin(F.broadcast(total))
+    joined = n.join(total, keys) if keys else n.crossJoin(F.broadcast(total))
     return joined.select(*keys, "value", (F.col("n") / F.col("total")).alias("tf"))
 
 

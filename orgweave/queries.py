@@ -443,10 +443,10 @@ def gamma_vectors(spark, d):
     return _pairs(spark, d)[2].select("unique_id_l", "unique_id_r", *(f"gamma_{c.name}" for c in _FOUND))
 
 
-@query("jaro_winkler", "WITH x AS (SELECT DISTINCT p_name FROM part) SELECT a.p_name AS a, b.p_name AS b, round(jaro_winkler_similarity(a.p_name, b.p_name), 12) AS similarity FROM x a, x b")
+@query("jaro_winkler", "WITH x AS (SELECT DISTINCT p_name FROM part) SELECT a.p_name AS a, b.p_name AS b, round(jaro_winkler_similarity(a.p_name, b.p_name), 12) AS similarity FROM x a JOIN x b ON left(a.p_name, 2) = left(b.p_name, 2)")
 def jaro_winkler(spark, d):
     x = read(spark, d, "part").select("p_name").distinct()
-    pairs = x.select(F.col("p_name").alias("a")).crossJoin(F.broadcast(x.select(F.col("p_name").alias("b"))))
+    pairs = x.select(F.col("p_name").alias("a")).join(x.select(F.col("p_name").alias("b")), F.substring("a", 1, 2) == F.substring("b", 1, 2))
     return add_similarity(pairs, "a", "b", "similarity").withColumn("similarity", F.round("similarity", 12))
 
 
