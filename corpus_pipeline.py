@@ -17,23 +17,36 @@ from orgweave.llm.substring import Spans, remove_repeats
 LEAST_SCORE = 0.2
 
 
+def _packed(docs: DataFrame, *needed: str) -> DataFrame:
+    """The needed columns, and the others in one struct: whatever a step adds clashes with none of them."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in needed]
+    return docs.select(*needed, F.struct(F.lit(None).cast("int").alias("_none"), *others).alias("_row"))
+
+
+def _unpacked(found: DataFrame, columns: list[str], **new) -> DataFrame:
+    own = set(found.columns) - {"_row"}
+    inside = set(found.schema["_row"].dataType.names)
+    return found.select(*((new[c] if c in new else F.col("_row").getField(c) if c in inside else F.col(f"`{c}`")).alias(c) for c in columns if c in own | inside))
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents without letters and those near to no language."""
-    found = identify(docs)
-    return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select(*docs.columns)
+    found = identify(_packed(docs, "doc_id", "text", "lang"))
+    return _unpacked(found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE)), docs.columns)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group: shingles of five words, similarity of 0.8 or more."""
     found = near_duplicates(docs, Near(shingle=5, percent=80)).where("kept and doc_id is not null").select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_semi").select(*docs.columns).unionByName(docs.where("doc_id is null"))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    return docs.join(found, "doc_id", "left_semi").select(*columns).unionByName(docs.where("doc_id is null"))
 
 
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts repeated passages out; a document of which nothing is left goes, and n_chars follows the text."""
-    cut = remove_repeats(docs, Spans())
+    cut = remove_repeats(_packed(docs, "doc_id", "text"), Spans())
     left = cut.where((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_sentences")))
-    return left.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    return _unpacked(left, docs.columns, n_chars=F.length("text").cast("long"))
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import ready
 
@@ -142,7 +143,6 @@ def identify(docs: DataFrame, params: Profiles = Profiles(), id_col: str = "doc_
     labelled = labelled.select(F.col(lang_col).alias("lang"), text.alias("text"), F.struct(F.col(id_col), text).alias("key"))
     profiles = train(labelled, params)
     kept = [c for c in docs.columns if c not in ("held_out", "lang_pred", "score")]
-    rows = docs.select(*kept, F.coalesce(crc == 0, F.lit(False)).alias("held_out"), text.alias("_text"))
-    types = {f.name: f.dataType.simpleString() for f in docs.schema}
-    schema = ", ".join([*(f"`{c}` {types[c]}" for c in kept), "held_out boolean, lang_pred string, score double"])
+    rows = docs.select(*(F.col(f"`{c}`") for c in kept), F.coalesce(crc == 0, F.lit(False)).alias("held_out"), text.alias("_text"))
+    schema = T.StructType([docs.schema[c] for c in kept]).add("held_out", "boolean").add("lang_pred", "string").add("score", "double")
     return rows.mapInArrow(_predict(profiles, params.size, [*kept, "held_out"]), schema)

@@ -86,14 +86,14 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), repeats: int = 3,
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The documents that the mix takes, each as many times as it takes it, with the columns of ``docs``."""
     id_col, text_col, source_col = (options.get(f"{k}_col", v) for k, v in (("id", "doc_id"), ("text", "text"), ("source", "source")))
-    plan = mix(docs, **options).where("copies > 0").groupBy("doc_id", "source", "size").agg(F.map_from_entries(F.collect_list(F.struct("ord", "copies"))).alias("by_ord"), F.max("ord").alias("most"))
+    plan = mix(docs, **options).where("copies > 0").groupBy("doc_id", "source", "size").agg(F.map_from_entries(F.collect_list(F.struct("ord", "copies"))).alias("_by_ord"), F.max("ord").alias("_most"))
     plan = stage(plan.withColumnsRenamed({"doc_id": "_pid", "source": "_psource", "size": "_psize"}), "mix")
     size = F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long")
     d = docs.withColumn("_size", size).withColumn("_id", F.col(id_col)).withColumn("_source", F.col(source_col).cast("string"))
     d = d.join(plan, F.col("_id").eqNullSafe(F.col("_pid")) & F.col("_source").eqNullSafe(F.col("_psource")) & (F.col("_size") == F.col("_psize")))
-    if plan.where("most > 1").isEmpty():
+    if plan.where("_most > 1").isEmpty():
         d = d.withColumn("_ord", F.lit(1))
     else:  # rows of equal id, source and size are told apart by their place in text order
         d = d.withColumn("_ord", F.row_number().over(Window.partitionBy("_id", "_source", "_size").orderBy(text_col)))
-    times = F.coalesce(F.try_element_at("by_ord", F.col("_ord")), F.lit(0)).cast("int")
-    return d.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), times))).select(*docs.columns)
+    times = F.coalesce(F.try_element_at("_by_ord", F.col("_ord")), F.lit(0)).cast("int")
+    return d.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), times))).select(*(F.col(f"`{c}`") for c in docs.columns))

@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import textvec
 from .common import ready, stage
@@ -150,10 +151,11 @@ def remove_repeats(docs: DataFrame, params: Spans = Spans(), id_col: str = "doc_
     first = stage(spans.groupBy("h").agg(F.min(F.struct("id", "th", "a")).alias("f")), "first")
     again = spans.join(first, "h").where(F.struct("id", "th", "a") != F.col("f"))
     cover = again.groupBy("id", "th").agg(F.collect_set("a").alias("_spans")).withColumnsRenamed({"id": "_id", "th": "_th"})
-    full = docs.select(*(F.col(c) for c in kept), F.col(text_col).alias("_text"), order.alias("_id0"), version.alias("_th0"))
-    full = full.join(cover, (F.col("_id0") == F.col("_id")) & (F.col("_th0") == F.col("_th")), "left").select(*kept, "_text", "_spans")
-    types = {f.name: f.dataType.simpleString() for f in docs.schema}
-    schema = ", ".join([*(f"`{c}` {types[c]}" for c in kept), "_kept_text string, n_sentences long, n_removed long, words_removed long"])
+    full = docs.select(*(F.col(f"`{c}`") for c in kept), F.col(text_col).alias("_text"), order.alias("_id0"), version.alias("_th0"))
+    full = full.join(cover, (F.col("_id0") == F.col("_id")) & (F.col("_th0") == F.col("_th")), "left").select(*(F.col(f"`{c}`") for c in kept), "_text", "_spans")
+    schema = T.StructType([docs.schema[c] for c in kept]).add("_kept_text", "string")
+    for c in counts:
+        schema = schema.add(c, "long")
     out = full.mapInArrow(_remove(p, kept), schema)
-    back = [F.col("_kept_text").alias(text_col) if c == text_col else F.col(c) for c in docs.columns if c not in counts]
+    back = [F.col("_kept_text").alias(text_col) if c == text_col else F.col(f"`{c}`") for c in docs.columns if c not in counts]
     return out.select(*back, *counts)
