@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType
@@ -45,10 +47,33 @@ def jaro_winkler_bytes(a: bytes, b: bytes) -> float:
     return jaro + 0.1 * same * (1 - jaro)
 
 
+def _byte_matrix(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Counts of each byte in each text, and the first four bytes."""
+    length = np.array([len(x) for x in texts])
+    row = np.repeat(np.arange(len(texts)), length)
+    counts = np.bincount(row * 256 + np.frombuffer(b"".join(texts), np.uint8), minlength=len(texts) * 256)
+    return counts.reshape(-1, 256), np.frombuffer(b"".join(x[:4].ljust(4, b"\0") for x in texts), np.uint8).reshape(-1, 4)
+
+
+def may_reach(a: list[bytes], b: list[bytes], least: float) -> np.ndarray:
+    """Which pairs can have that similarity, by the bytes that both hold and the prefix that they share."""
+    (ca, pa_), (cb, pb) = _byte_matrix(a), _byte_matrix(b)
+    both = np.minimum(ca, cb).sum(axis=1)
+    jaro = (both / np.maximum([len(x) for x in a], 1) + both / np.maximum([len(x) for x in b], 1) + 1) / 3
+    prefix = np.cumprod(pa_ == pb, axis=1).sum(axis=1)
+    return jaro + np.where(jaro > 0.7, 0.1 * prefix * (1 - jaro), 0) >= least - 1e-9
+
+
 @F.arrow_udf(returnType=DoubleType())
-def _jaro_winkler(a: pa.Array, b: pa.Array) -> pa.Array:
-    pairs = zip(a.to_pylist(), b.to_pylist(), strict=True)
-    return pa.array([None if x is None or y is None else jaro_winkler_bytes(x.encode(), y.encode()) for x, y in pairs], pa.float64())
+def _jaro_winkler(a: pa.Array, b: pa.Array, least: pa.Array) -> pa.Array:
+    known = np.flatnonzero(np.asarray(pc.and_(a.is_valid(), b.is_valid())))
+    x, y = ([v.encode() for v in c.take(pa.array(known)).to_pylist()] for c in (a, b))
+    out: list[float | None] = [None] * len(a)
+    for start in range(0, len(known), 2048):  # bounds the byte counts
+        xs, ys = x[start : start + 2048], y[start : start + 2048]
+        for k in np.flatnonzero(may_reach(xs, ys, least[0].as_py())):
+            out[known[start + k]] = jaro_winkler_bytes(xs[k], ys[k])
+    return pa.array(out, pa.float64())
 
 
 def upper_bound(a: Column, b: Column) -> Column:
@@ -61,13 +86,14 @@ def upper_bound(a: Column, b: Column) -> Column:
 def add_similarity(pairs: DataFrame, a: str, b: str, out: str, least: float = 0.0) -> DataFrame:
     """``pairs`` with the Jaro-Winkler similarity of two columns.
 
-    Python sees only unequal texts whose lengths allow ``least``; other unequal ones get null, equal texts 1.
+    Computed only for unequal texts whose lengths, bytes and prefix allow ``least``; other unequal ones get null,
+    equal texts 1.
     Callers compare with at least ``least``. Nothing is shuffled: pairs that repeat are remembered in each worker.
     """
     ready(pairs.sparkSession)
     x, y = F.col(a), F.col(b)
     open_ = x.isNotNull() & y.isNotNull() & (x != y) & (upper_bound(x, y) >= least)
-    return pairs.withColumn(out, F.when(x == y, F.lit(1.0)).otherwise(_jaro_winkler(F.when(open_, x), F.when(open_, y))))
+    return pairs.withColumn(out, F.when(x == y, F.lit(1.0)).otherwise(_jaro_winkler(F.when(open_, x), F.when(open_, y), F.lit(float(least)))))
 
 
 _VOWELS = set("AEIOU")

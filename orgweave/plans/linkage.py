@@ -13,7 +13,7 @@ from ..operators.cluster import attach, disambiguate, star_clusters
 from ..operators.compare import add_gammas, comparisons, needed_columns
 from ..operators.model import default_settings
 from ..operators.score import add_scores, term_frequencies
-from ..sources.staging import stage
+from ..sources.staging import spread, stage
 
 LEAST = 0.5
 
@@ -29,7 +29,7 @@ def predict(left: DataFrame, right: DataFrame, settings: dict | None = None, rul
     columns = sorted({*needed_columns(found), *(c for c in keep if c in left.columns and c in right.columns)})
     # every rule reads both sides, so their features are computed once
     used = {"unique_id", *columns, *(c for r in rules for c in re.findall(r"\b[lr]\.(\w+)", r))}
-    left, right = (stage(df.select(*sorted(used)), "features") for df in (left, right))
+    left, right = (spread(stage(df.select(*sorted(used)), "features")) for df in (left, right))
     pairs = add_gammas(block(left, right, rules, columns), found)
     tf = {"name_normalized": term_frequencies([left, right], "name_normalized")} if term_frequency else None
     return add_scores(pairs, found, settings["probability_two_random_records_match"], tf, least)

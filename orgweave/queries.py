@@ -18,7 +18,7 @@ from .operators.model import PRIOR, default_settings
 from .plans import entities
 from .plans.entities import SQL, SQL_TOKENS, sql_clean, sql_normal, sql_strip, sql_words
 from .sources import tables
-from .sources.staging import stage
+from .sources.staging import spread, stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -357,7 +357,7 @@ _PAIRS = "p AS (" + " UNION ALL ".join(f"SELECT l.unique_id AS unique_id_l, r.un
 
 def _tokens(spark, d):
     """Both sides with features, written once: every rule reads them."""
-    return entities.sides(stage(entities.with_tokens(entities.documents(spark, d)), "features"))
+    return entities.sides(spread(stage(entities.with_tokens(entities.documents(spark, d)), "features")))
 
 
 @query("block_exact", f"WITH {SQL}, {_SIDES.format('e')} SELECT l.unique_id AS unique_id_l, r.unique_id AS unique_id_r FROM l JOIN r USING (name_normalized)")

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from orgweave.functions import text as t
-from orgweave.functions.similarity import jaro_winkler_bytes, metaphone_word
+from orgweave.functions.similarity import jaro_winkler_bytes, may_reach, metaphone_word
 from orgweave.operators import cluster, compare, judge, model, profile, report, score, tokens, train
 from orgweave.operators.filters import filter_bad_records
 from orgweave.plans import linkage, prepare
@@ -63,6 +63,9 @@ def test_jaro_winkler_equals_duckdb():
     con.executemany("INSERT INTO p VALUES (?, ?, ?)", [(k, a, b) for k, (a, b) in enumerate(pairs)])
     want = con.sql("SELECT jaro_winkler_similarity(a, b) FROM p ORDER BY k").fetchall()
     assert all(jaro_winkler_bytes(a.encode(), b.encode()) == pytest.approx(w, abs=1e-12) for (a, b), (w,) in zip(pairs, want, strict=True) if a and b)
+    for least in (0.8, 0.88, 0.95):
+        can = may_reach([a.encode() for a, _ in pairs], [b.encode() for _, b in pairs], least)
+        assert all(c or w < least for c, (w,) in zip(can, want, strict=True)) and not can.all()
     assert jaro_winkler_bytes(b"abcd", b"abxyzwqr") == pytest.approx(0.5833333333333334)
 
 
