@@ -3,7 +3,11 @@
 Texts are cut into sentences: after a word that ends in ``.``, ``!`` or ``?``, at a line break, and after
 a word whose hash is 0 modulo ``anchor``. The last rule divides long sentences at places that depend
 on nothing but the word, so a passage is cut alike wherever it stands, even when it begins in the middle of
-a sentence. What is then still longer, as in one word said over and over, is cut every ``longest`` words. From every sentence a span runs on over at least ``sentences`` sentences and ``words`` words.
+a sentence. Of ``gap`` words on end without a cut, the one of least hash ends a sentence, so a cut is never far. What is then
+still longer, as in one word said over and over, is cut every ``longest`` words.
+
+From every sentence a span runs on, and to the end of every sentence a span runs up, each over the fewest sentences that
+are at least ``sentences`` and ``words`` words. The spans inside a run of such a size cover all of it, its last sentences too.
 All spans are hashed and met globally; each span but the first of its kind, by document id and place,
 removes the sentences it covers.
 """
@@ -32,11 +36,12 @@ class Spans:
     sentences: int = 2
     words: int = 20
     anchor: int = 10
+    gap: int = 15
     longest: int = 32
 
 
 class Cut(NamedTuple):
-    """Of one text: the byte where each sentence begins, words before each, and each span's first sentence, end and hash."""
+    """Of one text: the byte where each sentence begins, words before each, and each span's first sentence, end and hash, in that order."""
 
     at: np.ndarray
     words: np.ndarray
@@ -45,6 +50,23 @@ class Cut(NamedTuple):
     hash: np.ndarray
 
 
+def _bridge(ends: np.ndarray, w: textvec.Words, gap: int) -> None:
+    """Adds an end to every ``gap`` words of one text that have none, by those words alone; words that are all one are left."""
+    n = len(ends)
+    if n < gap:
+        return
+    before = np.zeros(n + 1, np.int64)
+    np.cumsum(ends, out=before[1:])
+    text = np.repeat(np.arange(len(w.first) - 1), np.diff(w.first))
+    bare = np.flatnonzero((before[gap:] == before[:-gap]) & (text[gap - 1 :] == text[: n - gap + 1]))
+    window = np.lib.stride_tricks.sliding_window_view(w.hash, gap)
+    for k in range(0, len(bare), 1 << 16):
+        at = bare[k : k + (1 << 16)]
+        h = window[at][:, ::-1]
+        pick = at + gap - 1 - h.argmin(axis=1)
+        ends[pick[(h != h[:, :1]).any(axis=1)]] = True
+
+
 def cut(texts: list[bytes], p: Spans) -> Iterator[Cut]:
     w = textvec.words(texts)
     lines = np.zeros(len(w.buffer) + 1, np.int32)
@@ -53,6 +75,7 @@ def cut(texts: list[bytes], p: Spans) -> Iterator[Cut]:
     ends = np.isin(w.buffer[w.end - 1], np.frombuffer(b".!?", np.uint8)) | (w.hash % np.uint64(p.anchor) == 0)
     if n:
         ends[:-1] |= lines[w.start[1:]] > lines[w.end[:-1]]
+        _bridge(ends, w, p.gap)
     sums = np.zeros(n + 1, np.uint64)
     log2 = max(1, n.bit_length())
     np.cumsum(w.hash * textvec._powers(log2, _STEP)[:n], out=sums[1:])
@@ -63,10 +86,13 @@ def cut(texts: list[bytes], p: Spans) -> Iterator[Cut]:
         if len(bound) > 1 and np.diff(bound).max() > p.longest:
             bound = np.concatenate([*(np.arange(x, y, p.longest) for x, y in zip(bound[:-1], bound[1:], strict=True)), bound[-1:]])
         k = len(bound) - 1
-        first = np.arange(k)
-        last = np.maximum(first + p.sentences, np.searchsorted(bound, bound[:-1] + p.words))
-        first = first[last <= k]
-        last = last[last <= k]
+        on = np.maximum(np.arange(k) + p.sentences, np.searchsorted(bound, bound[:-1] + p.words))
+        up = np.minimum(np.arange(1, k + 1) - p.sentences, np.searchsorted(bound, bound[1:] - p.words, side="right") - 1)
+        head, tail = np.flatnonzero(on <= k), np.flatnonzero(up >= 0)
+        tail = tail[on[up[tail]] != tail + 1]
+        first, last = np.concatenate([head, up[tail]]), np.concatenate([on[head], tail + 1])
+        order = np.lexsort((last, first))
+        first, last = first[order], last[order]
         s, e = a + bound[first], a + bound[last]
         hashed = textvec.mix((sums[e] - sums[s]) * back[s] + (e - s).astype(np.uint64))
         at = w.start[a + bound[:-1]] - w.text_start[d]
@@ -81,7 +107,7 @@ def _spans(p: Spans):
             for row, c in zip(rows, cut(texts, p), strict=True):
                 ids.append(np.full(len(c.hash), row[0]))
                 versions.append(np.full(len(c.hash), row[1]))
-                starts.append(c.first.astype(np.int32))
+                starts.append(np.arange(len(c.hash), dtype=np.int32))
                 hashes.append(c.hash)
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (hashes, ids, versions, starts)], ["h", "id", "th", "a"])
 
@@ -101,10 +127,9 @@ def _remove(p: Spans, columns: list[str]):
                     if not spans[i]:
                         out.append(text[i])
                         continue
-                    begin = np.unique(np.asarray(spans[i], np.int64))
+                    where = np.asarray(spans[i], np.int64)
                     turn = np.zeros(len(c.at) + 1, np.int64)
-                    where = np.searchsorted(c.first, begin)
-                    np.add.at(turn, begin, 1)
+                    np.add.at(turn, c.first[where], 1)
                     np.add.at(turn, c.last[where], -1)
                     gone = np.cumsum(turn[:-1]) > 0
                     edge = np.append(c.at, len(raw))

@@ -8,7 +8,7 @@ import pytest
 
 from orgweave.llm.embeddings import Rotation, near_vectors
 from orgweave.llm.minhash import Near, near_duplicates, odd_sketch
-from orgweave.llm.substring import Spans, remove_repeats
+from orgweave.llm.substring import Spans, cut, remove_repeats
 
 DOC = "doc_id long, text string, bands string, id string"
 
@@ -108,6 +108,28 @@ def test_repeated_passages_go_once(spark):
     assert sorted((r["doc_id"] or 0, r["text"] == texts[1]) for r in remove_repeats(twins).collect()) == [(0, False), (1, True), (1, True)]
 
 
+def test_copies_with_short_last_sentences_become_empty(spark):
+    rng = random.Random(8)
+    body = [" ".join(sentences(rng, n)) for n in (4, 5, 7, 12)]
+    texts = [f"{t} {tail}" for t, tail in zip(body, ("Very short end.", "End.", "So be it. Yes. No.", "A b. C."), strict=True)]
+    own = [" ".join(sentences(rng, 4)) for _ in texts]
+    rows = list(enumerate(texts + texts + [f"{a} {t} {b}" for a, t, b in zip(own, texts, own[::-1], strict=True)]))
+    out = {r["doc_id"]: r for r in remove_repeats(spark.createDataFrame([(i, t, "", "") for i, t in rows], DOC)).collect()}
+    for k in range(4):
+        assert out[k]["text"] == texts[k]
+        assert out[4 + k]["text"] == "" and out[4 + k]["n_removed"] == out[4 + k]["n_sentences"]
+        assert not texts[k].split()[-1] in out[8 + k]["text"].split()
+
+
+def test_passages_of_51_words_hold_a_span_wherever_they_stand():
+    rng = random.Random(9)
+    for _ in range(1500):
+        passage = " ".join(f"v{rng.randrange(20000)}" for _ in range(51))
+        texts = [" ".join([*(f"u{rng.randrange(20000)}" for _ in range(rng.randint(0, 40))), passage, *(f"u{rng.randrange(20000)}" for _ in range(rng.randint(0, 40)))]) for _ in range(2)]
+        one, two = (set(c.hash.tolist()) for c in cut([t.encode() for t in texts], Spans()))
+        assert one & two
+
+
 def test_vectors_equal_brute_force(spark):
     rng = np.random.default_rng(5)
     rows = []
