@@ -7,7 +7,8 @@ its class a word has add-one probability, with room for one unseen word.
 
 What is learned covers the whole training corpus: word counts, and counts of context and output, are summed on
 the executors. The second has at most ``symbols**2 * outputs`` cells; the model is fitted to it on the driver in
-numpy, drawing examples and noise by those counts. For scoring, every executor multiplies all contexts by all
+numpy. Each of ``passes`` passes goes over every cell, in ``steps`` updates of some contexts each, and weights it by
+its count, so every training token counts in every pass, however many there are. For scoring, every executor multiplies all contexts by all
 outputs and normalises the rows; that table of log-probabilities has as many cells.
 
 Counts of the most frequent words, ``frequent`` at most, go to every executor. The words of a text that are not
@@ -38,8 +39,8 @@ class Lbl:
     top: int = 511
     near: int = 31
     size: int = 32
-    steps: int = 2000
-    batch: int = 2048
+    passes: int = 40
+    steps: int = 64
     noise: int = 64
     rate: float = 0.15
     frequent: int = 500_000
@@ -139,11 +140,14 @@ def _cells(p: Lbl, shared):
 def fit(cell: np.ndarray, n: np.ndarray, p: Lbl) -> np.ndarray:
     """Trains on counts of cells ``context * outputs + output``; returns log10 probabilities, contexts by outputs."""
     rng = np.random.default_rng(p.seed)
-    draw = np.cumsum(n, dtype=np.float64)
     unigram = np.bincount(cell % p.outputs, n, p.outputs) + 1.0
     unigram /= unigram.sum()
     real = np.float32
-    noise_draw, log_noise = np.cumsum(unigram), np.log(unigram * p.noise).astype(real)
+    log_noise = np.log(unigram * p.noise).astype(real)
+    seen_in = np.zeros((p.symbols**2, p.outputs), real)
+    seen_in.reshape(-1)[cell] = n
+    tokens = seen_in.sum(axis=1, dtype=np.float64)
+    contexts = np.flatnonzero(tokens)
     word = (rng.standard_normal((p.symbols, p.size)) * 0.1).astype(real)
     through = np.stack([np.eye(p.size, dtype=real)] * 2)
     vector = (rng.standard_normal((p.outputs, p.size)) * 0.1).astype(real)
@@ -155,27 +159,27 @@ def fit(cell: np.ndarray, n: np.ndarray, p: Lbl) -> np.ndarray:
         x -= rate * gradient / np.sqrt(seen[k])
 
     one_hot = np.eye(p.symbols, dtype=real)
-    for step in range(p.steps if len(cell) else 0):
-        rate = real(p.rate * (1 - step / p.steps))
-        pick = cell[np.searchsorted(draw, rng.random(p.batch) * draw[-1], side="right").clip(max=len(cell) - 1)]
-        target, context = pick % p.outputs, pick // p.outputs
-        a, b = one_hot[context // p.symbols], one_hot[context % p.symbols]
+    share = tokens.sum() / p.steps
+    total = p.passes * p.steps if len(contexts) else 0
+    for step in range(total):
+        rate = real(p.rate * (1 - step / total))
+        if step % p.steps == 0:
+            parts = np.array_split(rng.permutation(contexts), p.steps)
+        mine = parts[step % p.steps]
+        if not len(mine):
+            continue
+        a, b = one_hot[mine // p.symbols], one_hot[mine % p.symbols]
         ra, rb = a @ word, b @ word
         q = ra @ through[0] + rb @ through[1]
-        noise = np.searchsorted(noise_draw, rng.random(p.noise)).clip(max=p.outputs - 1)
-        true = (q * vector[target]).sum(axis=1) + bias[target] - log_noise[target]
-        false = q @ vector[noise].T + bias[noise] - log_noise[noise]
-        up = real(-1 / p.batch) / (1 + np.exp(np.clip(true, -30, 30)))
-        down = real(1 / p.batch) / (1 + np.exp(np.clip(-false, -30, 30)))
-        dq = up[:, None] * vector[target] + down @ vector[noise]
-        d_vector, d_bias = np.zeros_like(vector), np.bincount(target, up, p.outputs).astype(real)
-        np.add.at(d_vector, target, up[:, None] * q)
-        np.add.at(d_vector, noise, down.T @ q)
-        np.add.at(d_bias, noise, down.sum(axis=0))
+        # by counts: tokens against their expected number of noise words, of which none are drawn
+        noise = (tokens[mine, None] * (unigram * p.noise)).astype(real)
+        apart = np.clip(q @ vector.T + bias - log_noise, -30, 30)
+        g = ((seen_in[mine] + noise) / (1 + np.exp(-apart)) - seen_in[mine]) / real(share)
+        dq = g @ vector
         d_word = a.T @ (dq @ through[0].T) + b.T @ (dq @ through[1].T)
         d_through = np.stack([ra.T @ dq, rb.T @ dq])
-        for k, (x, g) in enumerate(((word, d_word), (through, d_through), (vector, d_vector), (bias, d_bias))):
-            update(k, x, g, rate)
+        for k, (x, d) in enumerate(((word, d_word), (through, d_through), (vector, g.T @ q), (bias, g.sum(axis=0)))):
+            update(k, x, d, rate)
     return table(*(x.astype(np.float64) for x in (word, through, vector, bias)))
 
 

@@ -75,6 +75,18 @@ def test_model_is_normalised():
     assert np.allclose((10.0 ** log10.astype(float)).sum(axis=1), 1, atol=1e-4)
 
 
+def test_all_counted_tokens_reach_the_model():
+    p = lm.Lbl(steps=1)
+    rng = np.random.default_rng(4)
+    contexts, outputs = rng.choice(p.symbols**2, 10, replace=False), rng.choice(p.outputs, 10, replace=False)
+    cell = np.sort((contexts[:, None] * p.outputs + outputs).ravel())
+    n = np.full((10, 10), 100_000.0)
+    moved = n.copy()
+    # 200 of ten million tokens change places; each output's and each context's own count stays
+    moved[:2, :2] += np.array([[-100, 100], [100, -100]])
+    assert not np.array_equal(lm.fit(cell, n.ravel(), p), lm.fit(cell, moved.ravel(), p))
+
+
 def test_licenses():
     s = licenses.scan
     assert s("x All rights reserved.")[1:7] == (1, 1, 1, "reserved", "reserved", 0)
