@@ -17,6 +17,7 @@ from .operators.compare import add_gammas, comparisons, needed_columns
 from .operators.model import PRIOR, default_settings
 from .plans import entities
 from .plans.entities import SQL, SQL_TOKENS, sql_clean, sql_normal, sql_strip, sql_words
+from .plans.prepare import features
 from .sources import tables
 from .sources.staging import spread, stage
 
@@ -468,7 +469,52 @@ def model_parameters(spark, d):
 
 @query("score_waterfall")
 def score_waterfall(spark, d):
-    return score.waterfall(_scored(spark, d)[2], _FOUND, PRIOR)
+    return score.waterfall(_full_scored(spark, d)[2], _FULL, PRIOR)
+
+
+# The whole model: all rules and comparisons, phonetic ones too, which have no SQL here.
+
+_FULL = comparisons(default_settings())
+_FULL_NEED = sorted({*needed_columns(_FULL), "name"})
+
+
+def _full_tokens(spark, d):
+    e = entities.documents(spark, d)
+    return entities.sides(spread(stage(features(e, tokens.token_idf(e)), "features")))
+
+
+def _full_scored(spark, d, least: float | None = 0.5):
+    l, r = _full_tokens(spark, d)
+    pairs = add_gammas(blocking.block(l, r, blocking.PREDICTION_RULES, _FULL_NEED), _FULL)
+    tf = {"name_normalized": score.term_frequencies([l, r], "name_normalized")}
+    return l, r, score.add_scores(pairs, _FULL, PRIOR, tf, least)
+
+
+@query("block_union_dedup_full")
+def block_union_dedup_full(spark, d):
+    return blocking.block(*_full_tokens(spark, d), blocking.PREDICTION_RULES)
+
+
+@query("gamma_vectors_full")
+def gamma_vectors_full(spark, d):
+    l, r = _full_tokens(spark, d)
+    pairs = add_gammas(blocking.block(l, r, blocking.PREDICTION_RULES, _FULL_NEED), _FULL)
+    return pairs.select("unique_id_l", "unique_id_r", *(f"gamma_{c.name}" for c in _FULL))
+
+
+@query("score_pairs_full")
+def score_pairs_full(spark, d):
+    return _full_scored(spark, d, None)[2].select("unique_id_l", "unique_id_r", F.round("match_weight", 6).alias("match_weight"), F.round("match_probability", 9).alias("match_probability"))
+
+
+@query("disambiguate_full")
+def disambiguate_full(spark, d):
+    return cluster.disambiguate(_full_scored(spark, d)[2]).select("unique_id_l", "unique_id_r")
+
+
+@query("cluster_stars_full")
+def cluster_stars_full(spark, d):
+    return cluster.star_clusters(cluster.disambiguate(_full_scored(spark, d)[2]))
 
 
 # training
@@ -485,9 +531,9 @@ def u_estimates(spark, d):
 
 @query("em_m_estimates")
 def em_m_estimates(spark, d):
-    l, r = _tokens(spark, d)
-    u = {(x["comparison"], x["gamma"]): x["u"] for x in train.estimate_u(l, r, _FOUND, 250_000).collect()}
-    m = train.estimate_m(l, r, _FOUND, u)
+    l, r = _full_tokens(spark, d)
+    u = {(x["comparison"], x["gamma"]): x["u"] for x in train.estimate_u(l, r, _FULL).collect()}
+    m = train.estimate_m(l, r, _FULL, u)
     return spark.createDataFrame([(c, k, v) for (c, k), v in sorted(m.items())], "comparison string, gamma int, m double")
 
 
@@ -629,6 +675,13 @@ def final_output(spark, d):
     return report.final_output(best, l).withColumn("confidence", F.round("confidence", 9))
 
 
+@query("final_output_full")
+def final_output_full(spark, d):
+    l, r, s = _full_scored(spark, d)
+    best = cluster.disambiguate(s).join(r.select(F.col("unique_id").alias("unique_id_r"), "source_table"), "unique_id_r", "left")
+    return report.final_output(best, l).withColumn("confidence", F.round("confidence", 9))
+
+
 # the judge
 
 _ANSWERS = ['{"match": true, "confidence": 0.8, "reason": "same"}', '```json\n{"match": true}\n```', '{"match": false}', "abc"]

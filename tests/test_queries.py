@@ -39,3 +39,44 @@ def test_entry_point(spark):
 
     assert set(QUERIES) <= set(e.queries()) and set(e.oracle_sql()) <= set(e.queries())
     assert e.entry(spark).columns == ["unique_id_l", "unique_id_r", "match_weight", "match_probability"]
+
+
+@pytest.fixture(scope="module")
+def planted(spark, tmp_path_factory):
+    """Documents whose names spell one sound in several ways: some pairs meet by the fourth rule alone."""
+    names = ["Smith Valley Works", "Smyth Harbour Trust", "Katherine Road Lab", "Catherine Mill Group", "Robert Hill Press", "Rupert Lake House"]
+    rows = [(k, f"{names[k % 6]} {'abcdefgh'[k % 8]}", "en", "web" if k % 5 < 3 else "books", 1) for k in range(80)]
+    folder = str(tmp_path_factory.mktemp("planted"))
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{folder}/documents.parquet")
+    return folder
+
+
+def test_whole_model_equals_brute_force(spark, planted):
+    from orgweave.functions.text import match_weight
+    from orgweave.queries import _FULL, _full_tokens
+
+    l, r = ([x.asDict() for x in side.collect()] for side in _full_tokens(spark, planted))
+    same = lambda a, b, *c: all(a[x] is not None and a[x] == b[x] for x in c)
+    want = {}
+    for a in l:
+        for b in r:
+            near = a["name_normalized"][:25] == b["name_normalized"][:25] and same(a, b, "country_code")
+            rules = [same(a, b, "name_normalized"), near, same(a, b, "distinctive_token", "city"), same(a, b, "name_metaphone", "country_code", "city")]
+            if any(rules):
+                want[a["unique_id"], b["unique_id"]] = rules.index(True), int(a["distinctive_soundex"] == b["distinctive_soundex"])
+    assert any(k == 3 for k, _ in want.values())
+    pairs = [(x["unique_id_l"], x["unique_id_r"], x["match_key"]) for x in QUERIES["block_union_dedup_full"](spark, planted).collect()]
+    assert sorted(pairs) == sorted((*p, k) for p, (k, _) in want.items())
+    gammas = {(x["unique_id_l"], x["unique_id_r"]): x["gamma_phonetic_match"] for x in QUERIES["gamma_vectors_full"](spark, planted).collect()}
+    assert gammas == {p: g for p, (_, g) in want.items()}
+    # what SQL holds by three rules and eight comparisons, and the ninth on top
+    added = {k: match_weight(x.m, x.u) for c in _FULL if c.name == "phonetic_match" for k, x in c.gammas}
+    full, part = ({(x["unique_id_l"], x["unique_id_r"]): x["match_weight"] for x in QUERIES[q](spark, planted).collect()} for q in ("score_pairs_full", "score_pairs"))
+    assert set(full) == set(want) and set(part) == {p for p, (k, _) in want.items() if k < 3}
+    assert all(full[p] == pytest.approx(w + added[gammas[p]], abs=1e-5) for p, w in part.items())
+    steps = {x["step"] for x in QUERIES["score_waterfall"](spark, planted).collect()}
+    assert steps == {"prior", *(c.name for c in _FULL)}
+
+
+def test_training_covers_all_comparisons(spark):
+    assert {x["comparison"] for x in QUERIES["em_m_estimates"](spark, FOLDER).collect()} >= {"phonetic_match"}
