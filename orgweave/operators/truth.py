@@ -9,6 +9,13 @@ from ..sources.tables import sample_key
 
 #: Thresholds of the measures.
 THRESHOLDS = (0.5, 0.7, 0.85, 0.95)
+#: Negatives drawn at most, as in the reference.
+MOST_NEGATIVES = 100_000
+
+
+def negative_draws(positives: int) -> int:
+    """Two draws for each positive pair, up to the reference's own limit."""
+    return min(2 * positives, MOST_NEGATIVES)
 
 
 def positive_pairs(left: DataFrame, right: DataFrame, key: str = "ror_id") -> DataFrame:

@@ -594,6 +594,39 @@ def labelled_metrics(spark, d):
     return truth.metrics(truth.labelled_predictions(labels, s)).withColumns({c: F.round(c, 9) for c in ("precision", "recall", "f1")})
 
 
+# The same by the reference's own number of draws, which follows the positives, and by the whole model.
+
+
+def _full_negatives(l, r):
+    return truth.negative_pairs(l, r, truth.negative_draws(truth.positive_pairs(l, r).count()))
+
+
+_FULL_DRAWS = f"nd AS (SELECT least(2 * count(*), {truth.MOST_NEGATIVES}) AS n FROM pos)"
+_FULL_NEGATIVE = _NEGATIVE.replace(f"< {_DRAWS})", "< (SELECT n FROM nd))").replace(f"FROM range({_DRAWS}) t(i)", "FROM (SELECT unnest(range((SELECT n FROM nd))) AS i)")
+
+
+@query("negative_pairs_full", f"WITH {SQL}, {_SIDES.format('e')}, {_POSITIVE}, {_FULL_DRAWS}, {_FULL_NEGATIVE} SELECT *, false AS is_match FROM neg")
+def negative_pairs_full(spark, d):
+    return _full_negatives(*entities.sides(entities.documents(spark, d)))
+
+
+def _full_labelled(spark, d):
+    l, r, s = _full_scored(spark, d, None)
+    return truth.truth_labels(s, truth.positive_pairs(l, r), _full_negatives(l, r))
+
+
+@query("truth_labels_full")
+def truth_labels_full(spark, d):
+    return _full_labelled(spark, d).groupBy("truth").agg(F.count("*").alias("n_pairs"))
+
+
+@query("labelled_metrics_full")
+def labelled_metrics_full(spark, d):
+    l, r, s = _full_scored(spark, d, None)
+    labels = truth.positive_pairs(l, r).unionByName(_full_negatives(l, r), allowMissingColumns=True)
+    return truth.metrics(truth.labelled_predictions(labels, s)).withColumns({c: F.round(c, 9) for c in ("precision", "recall", "f1")})
+
+
 # best matches, clusters, reports
 
 _BEST = "best AS (SELECT * FROM s WHERE match_probability >= 0.5 QUALIFY row_number() OVER (PARTITION BY unique_id_r ORDER BY match_probability DESC, coalesce((country_code_l = country_code_r)::INT, 0) DESC, length(name_l), unique_id_l) = 1)"

@@ -80,3 +80,16 @@ def test_whole_model_equals_brute_force(spark, planted):
 
 def test_training_covers_all_comparisons(spark):
     assert {x["comparison"] for x in QUERIES["em_m_estimates"](spark, FOLDER).collect()} >= {"phonetic_match"}
+
+
+def test_negatives_follow_positives(spark, tmp_path):
+    # 24 copies of one text make 144 positives, so 288 draws and not 400
+    texts = [(k, "same text here" if k % 20 < 12 and k < 40 else f"text number {k}", "en", "web", 1) for k in range(400)]
+    spark.createDataFrame(texts, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    found = QUERIES["negative_pairs_full"](spark, str(tmp_path)).toPandas()
+    assert 250 < len(found) <= 288
+    assert rows(found) == rows(duck.sql(ORACLE["negative_pairs_full"]).df())
+    out = {x["threshold"]: x for x in QUERIES["labelled_metrics_full"](spark, str(tmp_path)).collect()}
+    assert all(x["tp"] + x["fn"] == 144 and x["fp"] + x["tn"] == len(found) for x in out.values())
