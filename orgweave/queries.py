@@ -451,6 +451,14 @@ def jaro_winkler(spark, d):
     return add_similarity(pairs, "a", "b", "similarity").withColumn("similarity", F.round("similarity", 12))
 
 
+@query("jaro_winkler_full", "WITH x AS (SELECT DISTINCT p_name FROM part) SELECT a.p_name AS a, b.p_name AS b, round(jaro_winkler_similarity(a.p_name, b.p_name), 12) AS similarity FROM x a, x b")
+def jaro_winkler_full(spark, d):
+    """All pairs of distinct names; their number is the square of the names' by definition."""
+    x = read(spark, d, "part").select("p_name").distinct()
+    pairs = x.select(F.col("p_name").alias("a")).crossJoin(x.select(F.col("p_name").alias("b")))
+    return add_similarity(pairs, "a", "b", "similarity").withColumn("similarity", F.round("similarity", 12))
+
+
 @query("term_frequency", f"WITH {SQL_TOKENS}, {_TF} SELECT value, round(tf, 12) AS tf FROM tf")
 def term_frequency(spark, d):
     e = entities.documents(spark, d)

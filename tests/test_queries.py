@@ -93,3 +93,10 @@ def test_negatives_follow_positives(spark, tmp_path):
     assert rows(found) == rows(duck.sql(ORACLE["negative_pairs_full"]).df())
     out = {x["threshold"]: x for x in QUERIES["labelled_metrics_full"](spark, str(tmp_path)).collect()}
     assert all(x["tp"] + x["fn"] == 144 and x["fp"] + x["tn"] == len(found) for x in out.values())
+
+
+def test_similarity_of_names_that_begin_apart(spark, tmp_path):
+    names = ["almond steel", "lamond steel", "blue almond", "almond blue"]
+    spark.createDataFrame([(n,) for n in names], "p_name string").write.parquet(f"{tmp_path}/part.parquet")
+    found = {(x["a"], x["b"]): x["similarity"] for x in QUERIES["jaro_winkler_full"](spark, str(tmp_path)).collect()}
+    assert len(found) == 16 and found["almond steel", "lamond steel"] > 0.9
