@@ -171,8 +171,9 @@ def near_vectors(vectors: DataFrame, params: Rotation = Rotation(), id_col: str
 
     Rows are compared only if their labels are equal and not null and their vectors have equal length. A null,
     empty or zero vector, and one with a null or non-finite component, links with nothing, as does a row
-    with a null id (null component, kept). Rows that repeat an id are vectors of their own that share a
-    component. Other columns are not read.
+    with a null id (null component, kept). Every row is a vector of its own: rows that repeat an id count and
+    link one by one, each with its own component; equal rows link with one another. The component is named by its
+    smallest id, so ties don't arise. An empty table gives no rows. Other columns are not read.
     """
     p = params
     ready(vectors.sparkSession)
@@ -182,7 +183,9 @@ def near_vectors(vectors: DataFrame, params: Rotation = Rotation(), id_col: str
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).alias("label"), F.col(vector_col).cast("array<double>").alias("v"))
     rows = rows.withColumn("ok", F.coalesce(fine, F.lit(False)))
     good = rows.where("ok")
-    classes = stage(good.groupBy("label", "v").agg(F.min("id").alias("id"), F.count("*").alias("n")), "classes")
+    # a class has a number of its own, since rows of one id may lie in several classes; 0.0 and -0.0 are grouped as equal
+    classes = good.groupBy("label", "v").agg(F.min("id").alias("least"), F.count("*").alias("n"))
+    classes = stage(classes.withColumn("id", F.monotonically_increasing_id()), "classes")
     coded = classes.select("id", "n", "v", F.xxhash64("label", F.size("v")).alias("g"))
     coded = stage(coded.mapInArrow(_coded(p), "id long, n long, unit binary, code binary, factor binary, buckets array<long>"), "codes")
     member = coded.select("id", F.explode("buckets").alias("bucket"))
@@ -195,8 +198,10 @@ def near_vectors(vectors: DataFrame, params: Rotation = Rotation(), id_col: str
     found = stage(dealt.mapInArrow(_links(p), "id long, links long, root long"), "links")
     links = found.groupBy("id").agg(F.sum("links").alias("links"))
     comp = stage(components(found.select(F.col("id").alias("a"), F.col("root").alias("b"))), "components")
+    named = comp.join(classes.select("id", "least"), "id").groupBy("component_id").agg(F.min("least").alias("name"))
+    comp = comp.join(named, "component_id").select("id", F.col("name").alias("component_id"))
     known = classes.join(links, "id", "left").join(comp, "id", "left")
-    known = known.select("label", "v", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("component_id", "id").alias("component_id"))
+    known = known.select("label", "v", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("component_id", "least").alias("component_id"))
     out = rows.alias("r").join(known.alias("k"), F.col("r.ok") & (F.col("r.label") == F.col("k.label")) & (F.col("r.v") == F.col("k.v")), "left")
     component = F.coalesce("component_id", "id")
     return out.select(F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))

@@ -154,3 +154,15 @@ def test_vectors_equal_brute_force(spark):
     assert [(got[i]["n_links"], got[i]["component_id"]) for i in range(len(rows))] == list(zip(link.sum(axis=1).tolist(), comp.tolist(), strict=True))
     assert all(got[i]["n_links"] == 0 and got[i]["kept"] for i in (900, 901, 902, 903, 904, 905, None))
     assert near_vectors(spark.createDataFrame([], schema)).count() == 0
+
+
+def test_rows_that_repeat_an_id_are_vectors_of_their_own(spark):
+    rng = np.random.default_rng(11)
+    one, two = rng.standard_normal(16), rng.standard_normal(16)
+    close = lambda x: (x + rng.standard_normal(16) * 0.005).tolist()
+    rows = [(1, close(one), 0), (1, close(two), 0), (1, close(two), 1)]
+    rows += [(k, close(one), 0) for k in (4, 5, 6)] + [(k, close(two), 0) for k in (2, 7, 8, 9, 10)]
+    rows += [rows[4], rows[4]]
+    out = near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()
+    got = sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in out)
+    assert got == sorted([(1, 5, 1), (1, 5, 1), (1, 0, 1), (4, 5, 1), (5, 5, 1), (5, 5, 1), (5, 5, 1), (6, 5, 1)] + [(k, 5, 1) for k in (2, 7, 8, 9, 10)])
