@@ -49,15 +49,10 @@ def op7_language_model(spark, sf_dir):
 
 
 def op8_bm25_top_k(spark, sf_dir):
-    turns = table(spark, sf_dir, "conversations")
-    number = F.col("conv_id") * 65536 + F.col("turn")
-    queries = turns.where("conv_id % 50 = 0").select(number.alias("query"), "text")
-    found = top_k(turns.select(number.alias("doc"), "text"), queries)
-
-    def part(name):
-        return F.floor(F.col(name) / 65536).alias(f"{name}_conv_id"), (F.col(name) % 65536).alias(f"{name}_turn")
-
-    return found.select(*part("query"), "rank", *part("doc"), "score")
+    turns = table(spark, sf_dir, "conversations").where("conv_id is not null and turn is not null")
+    key = F.struct("conv_id", "turn")
+    found = top_k(turns.select(key.alias("doc"), "text"), turns.where("conv_id % 50 = 0").select(key.alias("query"), "text"))
+    return found.select(*(F.col(f"query.{c}").alias(f"query_{c}") for c in ("conv_id", "turn")), "rank", *(F.col(f"doc.{c}").alias(f"doc_{c}") for c in ("conv_id", "turn")), "score")
 
 
 def op9_source_mixing(spark, sf_dir):
@@ -100,8 +95,8 @@ def op10_html_extraction(spark, sf_dir):
 
 OP8_SQL = r"""
 WITH t AS (
-  SELECT conv_id, turn, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
-  FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL),
+  SELECT conv_id, turn, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+  FROM (SELECT DISTINCT conv_id, turn, coalesce(text, '') AS text FROM conversations) WHERE conv_id IS NOT NULL AND turn IS NOT NULL),
 s AS (SELECT count(*)::DOUBLE AS n, avg(len(words))::DOUBLE AS mean FROM t),
 p AS (SELECT conv_id, turn, word, count(*)::DOUBLE AS tf, any_value(length)::DOUBLE AS length
       FROM (SELECT conv_id, turn, unnest(words) AS word, len(words) AS length FROM t) GROUP BY ALL),

@@ -144,7 +144,8 @@ def test_search_equals_brute_force(spark):
     texts = [" ".join(rng.choice(vocabulary) for _ in range(rng.randint(0, 30))) for _ in range(400)] + ["T1 t2", "t1 T2", None, "", "q " * 9000]
     p = search.Bm25(k=7, shard=64, group=16, block=8)
     docs = spark.createDataFrame(list(enumerate(texts)) + [(None, "t1")], "doc long, text string")
-    asked = spark.createDataFrame([(i, t) for i, t in enumerate(texts) if i % 20 == 0 or i > 398], "query long, text string")
+    docs = docs.unionByName(docs.where("doc in (3, 400)"))
+    asked = spark.createDataFrame([(i, t) for i, t in enumerate(texts) if i % 20 == 0 or i > 398] + [(400, texts[400]), (None, "t1")], "query long, text string")
     got = {}
     for r in search.top_k(docs, asked, p).collect():
         got.setdefault(r["query"], {})[r["rank"]] = (r["doc"], r["score"])
@@ -166,6 +167,40 @@ def test_search_equals_brute_force(spark):
     assert search.top_k(none, asked, p).count() == 0 and search.top_k(docs, none.withColumnRenamed("doc", "query"), p).count() == 0
 
 
+def test_search_skips_postings_and_keeps_one_threshold():
+    rng = np.random.default_rng(3)
+    n, p = 4096, search.Bm25(k=5, block=16)
+    # documents of like words lie together, as in a crawl; the query asks for one region's words and frequent ones
+    words = [np.unique(np.concatenate([rng.integers(0, 40, 12), 100 + d // 64 * 10 + rng.integers(0, 10, 3)])) for d in range(n)]
+    tf = [rng.integers(1, 4, len(w)) for w in words]
+    owner = np.repeat(np.arange(n), [len(w) for w in words])
+    index = search.Index(np.arange(n), np.array([t.sum() for t in tf]), np.concatenate(words), owner, np.concatenate(tf), 30.0, p)
+    df = np.bincount(np.concatenate(words), minlength=1000)
+    terms = np.array([1, 2, 3, 4, 130, 131, 132])
+    idf = np.log(1 + (n - df[terms] + 0.5) / (df[terms] + 0.5))
+    docs, scores = index.search(terms, idf)
+    full = np.zeros(n)
+    for t, w in zip(terms, idf, strict=True):
+        at = slice(index.at[index.of[np.searchsorted(index.terms, t)]], index.at[index.of[np.searchsorted(index.terms, t) + 1]])
+        full[index.owner[at]] += w * index.impact[at]
+    full = np.round(full, p.digits)
+    want = np.lexsort((np.arange(n), -full))[:5]
+    assert docs.tolist() == want.tolist() and scores.tolist() == full[want].tolist()
+    first = index.read
+    assert first < index.asked / 4
+    # with the threshold known, less is read and the result is the same; above it nothing is
+    assert index.search(terms, idf, scores[-1])[0].tolist() == docs.tolist() and index.read - first <= first
+    before = index.read
+    assert len(index.search(terms, idf, float(scores[0]) + 1e9)[0]) == 0 and index.read == before
+
+
+def test_search_takes_rows_that_share_a_number_apart(spark):
+    docs = spark.createDataFrame([(1, "a b"), (1, "a b"), (1, "a c"), (2, "d")], "doc int, text string")
+    asked = spark.createDataFrame([(7, "a"), (7, "a"), (7, "d")], "query int, text string")
+    got = sorted((r["query"], r["rank"], r["doc"]) for r in search.top_k(docs, asked).collect())
+    assert got == [(7, 1, 1), (7, 1, 2), (7, 2, 1)]
+
+
 def test_mixing(spark):
     rng = random.Random(5)
     rows = [(k, "w " * rng.randint(1, 40), None, rng.choice(["a", "a", "a", "b", "c", None])) for k in range(400)]
