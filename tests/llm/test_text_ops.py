@@ -231,6 +231,11 @@ def test_mixing(spark):
         assert target[s] == pytest.approx(want[s]) and abs(taken[s] - target[s]) <= 40
     mixed = mixing.mixed_documents(table(spark, rows))
     assert mixed.columns == table(spark, []).columns and mixed.count() == sum(r["copies"] for r in out)
+    # columns of the names that the operator uses itself, a very long text, and many equal rows
+    odd = [(k, "w " * 60_000 if k == 3 else "w x", None, "a") for k in range(9)] + [(None, "u v", None, "b")] * 2500
+    clash = table(spark, odd).selectExpr("*", *(f"1 AS {c}" for c in ("pid", "psource", "did", "row", "copies", "ord", "of", "hash", "_pid")))
+    again = mixing.mixed_documents(clash)
+    assert again.columns == clash.columns and again.count() == sum(r["copies"] for r in mixing.mix(clash).collect()) > 2500
     assert mixing.mix(table(spark, [])).count() == 0 and mixing.mixed_documents(table(spark, [])).count() == 0
 
 
