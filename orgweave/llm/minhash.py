@@ -100,12 +100,12 @@ def odd_sketch(s: np.ndarray) -> np.ndarray:
     return np.packbits(parity.astype(np.uint8)).view(np.int64)
 
 
-def _signatures(p: Near, id_col: str, text_col: str):
+def _signatures(p: Near):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flip, odd = _samplers(p)
         salt = textvec.mix(np.arange(101, 101 + p.bands, dtype=np.uint64))
         step = textvec.mix(np.arange(1, p.rows + 1, dtype=np.uint64)) | np.uint64(1)
-        for rows, texts in textvec.blocks(textvec.arrow_rows(batches, id_col, text_col), 1):
+        for rows, texts in textvec.blocks(textvec.arrow_rows(batches, "rid", "doc", "text"), 2):
             sets = shingle_hashes(textvec.words(texts), p.shingle)
             n = len(sets)
             key, sketch = np.zeros((n, 2), np.int64), np.zeros((n, 4), np.int64)
@@ -118,8 +118,8 @@ def _signatures(p: Near, id_col: str, text_col: str):
                     band[i] = textvec.mix((s.reshape(p.bands, p.rows) * step).sum(axis=1, dtype=np.uint64) + salt).view(np.int64)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(0, n * p.bands + 1, p.bands, dtype=np.int32)), pa.array(band.ravel()))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in rows], pa.int64()), pa.array([len(x) for x in sets], pa.int64()), pa.array(key[:, 0]), pa.array(key[:, 1]), *(pa.array(np.ascontiguousarray(sketch[:, k])) for k in range(4)), lists],
-                ["id", "n_shingles", "k0", "k1", "s0", "s1", "s2", "s3", "bands"],
+                [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array([len(x) for x in sets], pa.int64()), pa.array(key[:, 0]), pa.array(key[:, 1]), *(pa.array(np.ascontiguousarray(sketch[:, k])) for k in range(4)), lists],
+                ["id", "doc", "n_shingles", "k0", "k1", "s0", "s1", "s2", "s3", "bands"],
             )
 
     return run
@@ -211,23 +211,20 @@ def _across(p: Near):
     return run
 
 
-def near_duplicates(docs: DataFrame, params: Near = Near(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(id, n_shingles, component_id, kept)`` for every row of ``docs``.
+def near_rows(rows: DataFrame, params: Near = Near()) -> DataFrame:
+    """``(rid, doc, n_shingles, root, name)`` for rows ``(rid, doc, text)`` of a written table with unique numbers ``rid``.
 
-    A null or blank text has no shingles and links with nothing; a text of fewer words than a shingle
-    is one shingle. Repeated ids are one document of several texts and share a row for each text;
-    rows with a null id are returned alone, with a null component and kept. Other columns are not read.
-    An empty table gives no rows.
+    ``root`` is the smallest ``rid`` that links lead to, itself included, and ``name`` the smallest ``doc``
+    there, null if all are null.
     """
     p = params
-    ready(docs.sparkSession)
-    slim = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    sig = slim.mapInArrow(_signatures(p, "id", "text"), "id long, n_shingles long, k0 long, k1 long, s0 long, s1 long, s2 long, s3 long, bands array<long>")
+    slim = rows.select(F.col("rid").alias("id"), "text")
+    sig = rows.select("rid", "doc", "text").mapInArrow(_signatures(p), "id long, doc long, n_shingles long, k0 long, k1 long, s0 long, s1 long, s2 long, s3 long, bands array<long>")
     sig = stage(sig, "signatures")
-    full = sig.where("n_shingles > 0 and id is not null")
+    full = sig.where("n_shingles > 0")
     # one class for each distinct set, under its smallest id
-    reps = full.groupBy("n_shingles", "k0", "k1").agg(F.min("id").alias("rep"), F.min(F.struct("id", "s0", "s1", "s2", "s3", "bands")).alias("x"))
-    reps = stage(reps.select("n_shingles", "k0", "k1", F.col("rep").alias("id"), "x.s0", "x.s1", "x.s2", "x.s3", "x.bands"), "classes")
+    reps = full.groupBy("n_shingles", "k0", "k1").agg(F.min("doc").alias("least"), F.min(F.struct("id", "s0", "s1", "s2", "s3", "bands")).alias("x"))
+    reps = stage(reps.select("n_shingles", "k0", "k1", "least", "x.*"), "classes")
     sketch = reps.select("id", "n_shingles", "s0", "s1", "s2", "s3")
     member = reps.select("id", F.explode("bands").alias("key"))
     star = member.groupBy("key").agg(F.min(F.struct(F.xxhash64("id", "key").alias("h"), "id")).alias("m"), F.count("*").alias("n")).where("n > 1").select("key", F.col("m.id").alias("star"))
@@ -275,7 +272,25 @@ def near_duplicates(docs: DataFrame, params: Near = Near(), id_col: str = "doc_i
     more = stage(dealt.select("key", "lo", "hi", "id", "c", "side", "set").mapInArrow(_across(p), "a long, b long"), "confirmed")
     if not more.isEmpty():
         comp = stage(components(links.unionByName(more)), "components")
-    named = reps.select("n_shingles", "k0", "k1", "id").join(comp, "id", "left").select("n_shingles", "k0", "k1", F.coalesce("component_id", "id").alias("component_id"))
-    out = sig.select("id", "n_shingles", "k0", "k1").join(named, ["n_shingles", "k0", "k1"], "left")
-    component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("id"))
-    return out.select(F.col("id").alias(id_col), "n_shingles", F.when(F.col("id").isNotNull(), component).alias("component_id"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))
+    named = reps.select("n_shingles", "k0", "k1", "id", "least").join(comp, "id", "left").withColumn("root", F.coalesce("component_id", "id"))
+    name = named.where("component_id is not null").groupBy("component_id").agg(F.min("least").alias("name"))
+    named = named.join(name, "component_id", "left").select("n_shingles", "k0", "k1", "root", F.when(F.col("component_id").isNull(), F.col("least")).otherwise(F.col("name")).alias("name"))
+    out = sig.select("id", "doc", "n_shingles", "k0", "k1").join(named, ["n_shingles", "k0", "k1"], "left")
+    some = F.col("n_shingles") > 0
+    return out.select(F.col("id").alias("rid"), "doc", "n_shingles", F.when(some, F.col("root")).otherwise(F.col("id")).alias("root"), F.when(some, F.col("name")).otherwise(F.col("doc")).alias("name"))
+
+
+def near_duplicates(docs: DataFrame, params: Near = Near(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(id, n_shingles, component_id, kept)`` for every row of ``docs``.
+
+    A null or blank text has no shingles and links with nothing; a text of fewer words than a shingle
+    is one shingle. Every row is a document of its own, also if it repeats another's id or both id and text: rows of
+    one id lie in one component only if their texts are linked. ``component_id`` is the smallest id in the component, null
+    if all are null; of a component without ids its first row is kept, otherwise each row whose id is
+    ``component_id``. Other columns are not read. An empty table gives no rows.
+    """
+    ready(docs.sparkSession)
+    rows = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
+    out = near_rows(stage(rows, "documents"), params)
+    kept = F.when(F.col("name").isNull(), F.col("rid") == F.col("root")).otherwise(F.coalesce(F.col("doc") == F.col("name"), F.lit(False)))
+    return out.select(F.col("doc").alias(id_col), "n_shingles", F.col("name").alias("component_id"), kept.alias("kept"))
