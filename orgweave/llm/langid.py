@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ready
+from .common import fresh, ready
 
 UNKNOWN = "und"
 
@@ -117,11 +117,11 @@ def train(labelled: DataFrame, p: Profiles) -> dict[str, np.ndarray]:
     return {lang: np.array([g for _, g in sorted(v)], np.int64) for lang, v in out.items()}
 
 
-def _predict(profiles: dict[str, np.ndarray], size: int, columns: list[str]):
+def _predict(profiles: dict[str, np.ndarray], size: int, columns: list[str], text_col: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranker = Ranker(profiles, size)
         for batch in batches:
-            out = [ranker.predict(t) for t in batch.column("_text").to_pylist()]
+            out = [ranker.predict(t) for t in batch.column(text_col).to_pylist()]
             arrays = [pa.array([x[0] for x in out], pa.string()), pa.array([x[1] for x in out], pa.float64())]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), *arrays], [*columns, "lang_pred", "score"])
 
@@ -134,7 +134,9 @@ def identify(docs: DataFrame, params: Profiles = Profiles(), id_col: str = "doc_
     Profiles are learned from the rows whose crc32 of the id as text is not divisible by 5 and whose language
     and text are not null; the others are held out (a null id is neither learned from nor held out).
     ``lang_pred`` is ``und`` with score 0 for a null text, one without letters, or if nothing was learned.
-    ``score`` is between 0 and 1, larger the closer. Columns of those three names are replaced.
+    ``score`` is between 0 and 1, larger the closer. Of languages at equal distance the first in code point order wins,
+    of n-grams of equal count the smaller ranks first. Repeated rows are predicted alike, and those learned from
+    count once each. An empty table gives no rows. Columns of those three names are replaced, all others pass through.
     """
     ready(docs.sparkSession)
     crc = F.crc32(F.col(id_col).cast("string").cast("binary")) % 5
@@ -143,6 +145,7 @@ def identify(docs: DataFrame, params: Profiles = Profiles(), id_col: str = "doc_
     labelled = labelled.select(F.col(lang_col).alias("lang"), text.alias("text"), F.struct(F.col(id_col), text).alias("key"))
     profiles = train(labelled, params)
     kept = [c for c in docs.columns if c not in ("held_out", "lang_pred", "score")]
-    rows = docs.select(*(F.col(f"`{c}`") for c in kept), F.coalesce(crc == 0, F.lit(False)).alias("held_out"), text.alias("_text"))
+    own = fresh(docs, "text")
+    rows = docs.select(*(F.col(f"`{c}`") for c in kept), F.coalesce(crc == 0, F.lit(False)).alias("held_out"), text.alias(own))
     schema = T.StructType([docs.schema[c] for c in kept]).add("held_out", "boolean").add("lang_pred", "string").add("score", "double")
-    return rows.mapInArrow(_predict(profiles, params.size, [*kept, "held_out"]), schema)
+    return rows.mapInArrow(_predict(profiles, params.size, [*kept, "held_out"], own), schema)

@@ -65,10 +65,10 @@ def test_components_equal_brute_force(spark, n, percent):
 
 def test_near_edge_cases(spark):
     assert near_duplicates(spark.createDataFrame([], DOC)).count() == 0
-    rows = [(None, "a b c d e f"), (3, "a b c d e f"), (3, "a b c d e f"), (2, None), (1, "word " * 30000)]
+    rows = [(None, "a b c d e f"), (3, "a b c d e f"), (3, "a b c d e f"), (2, None), (1, "word " * 30000), (3, "x y z u v w"), (8, "x y z u v w"), (None, "l m n o p"), (None, "l m n o p"), (None, None)]
     out = near_duplicates(spark.createDataFrame([(i, t, "", "") for i, t in rows], DOC)).collect()
-    assert sorted((r["doc_id"], r["component_id"], r["kept"]) for r in out if r["doc_id"]) == [(1, 1, True), (2, 2, True), (3, 3, True), (3, 3, True)]
-    assert [(r["component_id"], r["kept"]) for r in out if r["doc_id"] is None] == [(None, True)]
+    assert sorted((r["doc_id"], r["component_id"], r["kept"]) for r in out if r["doc_id"]) == [(1, 1, True), (2, 2, True), (3, 3, True), (3, 3, True), (3, 3, True), (8, 3, False)]
+    assert sorted((r["component_id"] or 0, r["kept"]) for r in out if r["doc_id"] is None) == [(0, False), (0, True), (0, True), (3, False)]
 
 
 def test_odd_sketch_counts_differences():
@@ -123,13 +123,66 @@ def test_copies_with_short_last_sentences_become_empty(spark):
 
 def test_passages_of_51_words_hold_a_span_wherever_they_stand():
     rng = random.Random(9)
-    for _ in range(1500):
-        passage = " ".join(f"v{rng.randrange(20000)}" for _ in range(51))
-        texts = [" ".join([*(f"u{rng.randrange(20000)}" for _ in range(rng.randint(0, 40))), passage, *(f"u{rng.randrange(20000)}" for _ in range(rng.randint(0, 40)))]) for _ in range(2)]
+    for k in range(3000):
+        stop = rng.choice((0, 0.03, 0.1, 0.3))
+        some = lambda n, v: [f"{v}{rng.randrange(20000)}" + "." * (rng.random() < stop) for _ in range(n)]  # noqa: E731, B023
+        passage = some(51, "v")
+        texts = [" ".join([*some(rng.randint(0, 40), "u"), *passage, *some(rng.randint(0, 40), "u")]) for _ in range(2)]
         one, two = (set(c.hash.tolist()) for c in cut([t.encode() for t in texts], Spans()))
         assert one & two
 
 
+def test_only_long_sentences_are_cut():
+    rng = random.Random(2)
+    sizes = [rng.randint(1, 16) for _ in range(400)] + [40]
+    text = " ".join(" ".join(f"v{rng.randrange(9000)}" for _ in range(n)) + "." for n in sizes)
+    bound = next(iter(cut([text.encode()], Spans()))).words
+    ends = np.cumsum([0, *sizes])
+    assert bound[: len(sizes)].tolist() == ends[:-1].tolist() and len(bound) > len(ends)
+
+
+def brute_removed(texts, p):
+    """Words left of each text when every run of sentences, not only the shortest, is looked up."""
+    bounds = [next(iter(cut([t.encode()], p))).words.tolist() for t in texts]
+    words = [t.lower().split() for t in texts]
+    seen, left = {}, []
+    places = []
+    for d, b in enumerate(bounds):
+        runs = [(i, j) for i in range(len(b) - 1) for j in range(i + p.sentences, len(b)) if b[j] - b[i] >= p.words]
+        places += [(d, i, j) for i, j in runs or [(0, len(b) - 1)] if b[-1]]
+    for d, i, j in places:
+        key = tuple(words[d][bounds[d][i] : bounds[d][j]])
+        seen[key] = min(seen.get(key, (d, i)), (d, i))
+    gone = [set() for _ in texts]
+    for d, i, j in places:
+        if seen[tuple(words[d][bounds[d][i] : bounds[d][j]])] != (d, i):
+            gone[d].update(range(bounds[d][i], bounds[d][j]))
+    for d, w in enumerate(words):
+        left.append([x for k, x in enumerate(w) if k not in gone[d]])
+    return left
+
+
+def test_removal_equals_brute_force_over_all_runs(spark):
+    rng = random.Random(21)
+    lines = [" ".join(f"w{rng.randrange(800)}" for _ in range(rng.choice((1, 3, 6, 9, 14, 30)))) + rng.choice((".", "!", "", "\n")) for _ in range(60)]
+    texts = [" ".join(rng.choice(lines) for _ in range(rng.randint(1, 14))) for _ in range(150)]
+    texts += ["one two three"] * 3 + ["One short line of a whole text, eighteen words long, that stands three times and is one sentence here"] * 3
+    p = Spans()
+    out = {r["doc_id"]: r for r in remove_repeats(spark.createDataFrame([(i, t, "", "") for i, t in enumerate(texts)], DOC), p).collect()}
+    want = brute_removed(texts, p)
+    assert [out[i]["text"].lower().split() for i in range(len(texts))] == want
+    assert out[len(texts) - 1]["text"] == out[len(texts) - 4]["text"] == "" and any(0 < len(w) < len(t.split()) for w, t in zip(want, texts, strict=True))
+
+
+def test_columns_of_names_used_inside_and_hot_spans(spark):
+    rng = random.Random(22)
+    hot = " ".join(sentences(rng, 3))
+    rows = [(k, " ".join([*sentences(rng, 3), hot, *sentences(rng, 2)])) for k in range(300)]
+    clash = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", *(f"doc_id AS {c}" for c in ("_text", "_spans", "_id", "_th", "_kept_text", "_id0", "id", "th", "spans", "h", "a", "salt", "hot")))
+    out = remove_repeats(clash).collect()
+    assert len(out) == 300 and sum(hot in r["text"] for r in out) == 1 and all(r["_text"] == r["spans"] == r["doc_id"] for r in out)
+
+
 def test_vectors_equal_brute_force(spark):
     rng = np.random.default_rng(5)
     rows = []

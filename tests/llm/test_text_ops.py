@@ -38,6 +38,8 @@ def test_language_id(spark, two_languages):
         assert out[i]["lang_pred"] == lang and 0 < out[i]["score"] <= 1
         assert out[i]["held_out"] == (zlib.crc32(str(i).encode()) % 5 == 0)
     assert [out[i]["lang_pred"] for i in (900, 901, 902)] == ["und"] * 3 and out[903]["lang_pred"] == "aa"
+    clash = langid.identify(table(spark, two_languages).selectExpr("*", "doc_id AS _text", "doc_id AS text0")).collect()
+    assert all(r["_text"] == r["text0"] == r["doc_id"] and r["lang_pred"] == out[r["doc_id"]]["lang_pred"] for r in clash)
     empty = langid.identify(table(spark, []).select("doc_id", "text", "lang"))
     assert empty.count() == 0 and "lang_pred" in empty.columns
     assert [r["lang_pred"] for r in langid.identify(table(spark, [(1, "abc", None, None)])).collect()] == ["und"]
