@@ -281,6 +281,60 @@ def test_extraction(spark):
     assert webtext.extract(pages.where("page_id > 5")).count() == 0
 
 
+def brute_pipeline(rows, p):
+    """The pipeline's documents by plain Python: whole sets, all runs, one queue; ``{(id, text): copies}``."""
+    import re
+
+    from tests.llm.test_near import brute_components, brute_removed
+
+    ranked = {}
+    for i, t, lang, _ in rows:
+        if i is not None and lang and t is not None and zlib.crc32(str(i).encode()) % 5:
+            ranked.setdefault(lang, Counter())
+            for g, n in zip(*langid.ngrams(t), strict=True):
+                ranked[lang][int(g)] += int(n)
+    profiles = {lang: [g for g, _ in sorted(c.items(), key=lambda x: (-x[1], x[0]))[:400]] for lang, c in ranked.items()}
+
+    def closeness(t):
+        own = sorted(zip(*langid.ngrams(t), strict=True), key=lambda x: (-x[1], x[0]))[:400]
+        far = [sum(abs(place.index(g) - k) if g in place else 400 for k, (g, _) in enumerate(own)) for place in profiles.values()]
+        return 1 - min(far) / (400 * len(own)) if own else -1.0
+
+    rows = [r for r in rows if closeness(r[1]) >= p.LEAST_SCORE]
+    rows.sort(key=lambda r: (r[0] is None, r[0] or 0))
+    comp = brute_components([(k, r[1]) for k, r in enumerate(rows)], 5, 80)
+    rows = [r for k, r in enumerate(rows) if comp[k][1] == k]
+    left = brute_removed([r[1] for r in rows], p.Spans())
+    rows = [(i, " ".join(w), s) for (i, _, _, s), w in zip(rows, left, strict=True) if w]
+    size = [len(re.findall(mixing.WORD, t)) for _, t, _ in rows]
+    total, names = sum(size), sorted({s for _, _, s in rows})
+    weight = {s: (5, 2, 1)[k % 3] for k, s in enumerate(names)}
+    whole = {s: sum(n for (_, _, x), n in zip(rows, size, strict=True) if x == s) for s in names}
+    target, free = {}, set(names)
+    while True:
+        level = (total - sum(target.values())) / max(1, sum(weight[s] for s in free))
+        over = {s for s in free if level * weight[s] > 3 * whole[s]}
+        if not over:
+            break
+        target |= {s: 3 * whole[s] for s in over}
+        free -= over
+    target |= {s: level * weight[s] for s in free}
+    queue = []
+    for s in names:
+        for r in range(3):
+            sent, done = sorted((hashlib.md5(f"mix|{r}|{i}|1".encode()).hexdigest(), k) for k, (i, _, x) in enumerate(rows) if x == s), 0
+            for h, k in sent:
+                done += size[k]
+                queue.append(((r * whole[s] + done) / target[s], s, r, h, k))
+    copies, used = Counter(), 0
+    for _, _, _, _, k in sorted(queue):
+        used += size[k]
+        if used > total:
+            break
+        copies[rows[k][0]] += 1
+    return {i: (t, copies[i]) for i, t, _ in rows if copies[i]}
+
+
 def test_pipeline(spark, tmp_path):
     import corpus_pipeline as c
 
@@ -309,3 +363,20 @@ def test_pipeline(spark, tmp_path):
     assert len(found["byte_bpe"]) == len(found["source_mixing"]) > 0
     out = c.run(spark, str(tmp_path)).collect()
     assert sorted(map(str, out)) == sorted(map(str, found["byte_bpe"]))
+    want = brute_pipeline(rows, c)
+    assert Counter(r["doc_id"] for r in out) == {i: n for i, (_, n) in want.items()}
+    assert {r["doc_id"]: r["text"].lower().split() for r in found["source_mixing"]} == {i: t.split() for i, (t, _) in want.items()}
+
+
+def test_pipeline_edge_cases(spark, tmp_path):
+    import corpus_pipeline as c
+
+    docs = table(spark, [(1, "a b c d e f", "aa", "s"), (1, "a b c d e f", "aa", "s"), (None, "a b c d e f", "aa", None), (None, None, None, None), (2, "", "aa", "s"), (3, "u v w " * 30_000, "aa", None), (1, "l m n o p", "aa", "s")])
+    docs = docs.selectExpr("*", *(f"doc_id AS {x}" for x in ("rid", "_rid", "_text", "_pid", "held_out", "lang_pred", "id", "root")))
+    kept = c.near(spark, docs, "")
+    assert kept.columns == docs.columns and sorted((r["doc_id"] or 0, len(r["text"] or "")) for r in kept.collect()) == [(0, 0), (1, 9), (1, 11), (2, 0), (3, 180_000)]
+    none = docs.where("doc_id > 9")
+    for name, step in c.STAGES:
+        docs, none = step(spark, docs, ""), step(spark, none, "")
+        assert none.count() == 0 and docs.columns == none.columns, name
+    assert docs.count() > 0
