@@ -1,10 +1,12 @@
 """Main text of web pages by minimum-cut labelling of text blocks.
 
 A page is read into blocks: runs of text between block-level tags, each with its open elements. A linear
-classifier gives each block a cost of being called content and one of being called boilerplate; they are
-capacities to the two terminals. Neighbours in page order, and blocks that follow one another inside one
-element, are joined by smoothness edges whose capacity falls with their distance in the element tree.
-The minimum cut, found by maximum flow, is the labelling of least total cost.
+classifier gives each block log-odds of being content, from the whole block; over 0 they are its capacity to the
+terminal of content, under 0 to that of boilerplate. Neighbours in page order, and blocks that follow one another
+inside one element, are joined by smoothness edges whose capacity falls with their distance in the element tree, and
+falls more where one of them lies in an element that is marked as boilerplate and the other doesn't.
+The minimum cut, found by maximum flow, is the labelling of least total cost. No mark decides alone: all weights are of the
+size of the evidence that text gives.
 """
 
 from __future__ import annotations
@@ -19,40 +21,69 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ready
+from .common import fresh, ready
 
 # Element names by how they are read.
 BLOCK = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul".split())
-HIDDEN = frozenset("audio canvas head iframe math noscript object script select style svg template textarea title video".split())
+HIDDEN = frozenset("datalist head option script select style template textarea title".split())
 RAW = frozenset("script style textarea title".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 CLOSES_P = BLOCK - {"body", "html", "caption", "td", "th", "tr", "tbody", "thead", "tfoot", "option"}
 SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 SCOPES = frozenset("ul ol menu dl table select body html".split())
-OUTSIDE = frozenset("nav footer aside form menu dialog button".split())
+OUTSIDE = frozenset("nav footer aside form menu dialog button noscript".split())
 INSIDE = frozenset("article main".split())
 # Words in class, id and role values.
 BAD_WORDS = frozenset("ad ads adv advert adverts advertisement advertising banner captcha comment comments commentlist consent cookie cookies discussion disqus donate gdpr login modal newsletter notice notices notification paywall popup promo promotion promoted recommended related replies reply respond share sharing signup sponsor sponsored subscribe subscription trending alert".split())
 LAYOUT_WORDS = frozenset("breadcrumb breadcrumbs complementary contentinfo copyright disclaimer footer form header legal masthead menu nav navbar navigation pager pagination privacy search sidebar skip social tagcloud toolbar widget".split())
 GOOD_WORDS = frozenset("article articlebody body content entry main page post story text".split())
+#: Parts of a name that say what shape its element has, not what it holds.
+SHAPES = frozenset("area bar block body bottom box button col column container content group holder inner item items label left line link links list main module outer panel right row section slot text top unit widget wrap wrapper zone".split())
+#: First parts of a name that tells a state of the page.
+STATES = frozenset("has hide is js no non not show with without".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)\]\]>|<[!?][^>]*>|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>", re.S)
-_NAMED = re.compile(r"""\b(class|id|role|itemprop|aria-hidden|hidden|style)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+)))?""")
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _STOPS = re.compile(r"[.!?,;:。，](?:\s|$)")
 
-#: Weights of the classifier, in log-odds of content.
-WEIGHTS = {"base": -0.6, "paragraph": 0.8, "heading": 0.5, "item": -0.5, "length": 0.45, "stops": 0.35, "links": -3.0, "inside": 3.0, "good": 1.2, "outside": -40.0, "bad": -40.0, "layout": -40.0, "header": -40.0}
-#: Capacity of an edge between blocks of one parent, and its factor for each step further apart.
-SMOOTH, DECAY = 1.5, 0.6
+#: Weights of the classifier, in log-odds of content. ``length`` and ``stops`` are reached by long texts with many stops.
+WEIGHTS = {"base": -1.4, "paragraph": 1.0, "heading": 1.2, "item": -0.3, "length": 3.0, "stops": 2.0, "links": -4.0, "inside": 3.0, "good": 1.5, "outside": -9.0, "bad": -9.0, "layout": -8.0, "header": -8.0}
+#: Words and stops at which half of their weight is reached.
+HALF_WORDS, HALF_STOPS = 12, 3
+#: Capacity of an edge between blocks of one parent, its factor for each step further apart, and where only one is marked.
+SMOOTH, DECAY, BORDER = 1.5, 0.6, 0.2
 _SCALE = 1000
 
 
+def attributes(source: str) -> dict[str, str]:
+    """An element's attributes by lower-case name; of a name that is given twice the first counts."""
+    out: dict[str, str] = {}
+    for name, a, b, c in _ATTRIBUTE.findall(source):
+        out.setdefault(name.lower(), entities.unescape(a or b or c))
+    return out
+
+
+def meanings(name: str) -> set[str]:
+    """What a class, id or role says its element is: the last part of each of its names that is no mere shape.
+
+    ``ad-slot`` and ``sidebarAd`` are an ad, ``ad-free`` and ``alert-story`` are not, ``no-comments`` is nothing, ``main`` is main.
+    """
+    out = set()
+    for one in name.split():
+        parts = [x.lower() for x in _PARTS.findall(one)]
+        if not parts or len(parts) > 1 and parts[0] in STATES:
+            continue
+        out.add(next((x for x in reversed(parts) if x not in SHAPES), parts[-1]))
+    return out
+
+
 class Block(NamedTuple):
     text: str
     path: tuple[int, ...]
     tag: str
     words: int
+    stops: int
     linked: float
     outside: bool
     bad: bool
@@ -63,18 +94,17 @@ class Block(NamedTuple):
 
 
 class Element:
-    __slots__ = ("number", "tag", "hidden", "outside", "bad", "layout", "inside", "good", "header")
+    __slots__ = ("number", "tag", "hidden", "link", "outside", "bad", "layout", "inside", "good", "header")
 
     def __init__(self, number: int, tag: str, attrs: str, parent: Element | None):
         self.number, self.tag = number, tag
         words, hidden = set(), tag in HIDDEN
         if attrs and not attrs.isspace():
-            for name, value in _NAMED.findall(attrs):
-                name, value = name.lower(), value.strip("\"'")
-                if name in ("class", "id", "role", "itemprop"):
-                    words.update(w.lower() for w in _PARTS.findall(value))
-                else:
-                    hidden |= name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and "display:none" in value.replace(" ", "").lower()
+            found = attributes(attrs)
+            for x in ("class", "id", "role", "itemprop"):
+                words |= meanings(found.get(x, ""))
+            hidden |= "hidden" in found or "display:none" in "".join(found.get("style", "").lower().split())
+        self.link = tag == "a" or bool(parent and parent.link)
         structural = tag not in ("html", "body")
         self.hidden = hidden or bool(parent and parent.hidden)
         self.outside = tag in OUTSIDE or bool(parent and parent.outside)
@@ -104,14 +134,14 @@ def blocks(page: str | None) -> list[Block]:
             buffer.clear()
             if text:
                 e = next((x for x in reversed(stack) if x.tag in BLOCK), stack[0])
-                out.append(Block(text, tuple(x.number for x in stack if x.tag in BLOCK), e.tag, len(text.split()), min(1.0, linked / len(text)), e.outside or stack[-1].outside, stack[-1].bad, stack[-1].layout, e.inside, e.good, e.header))
+                out.append(Block(text, tuple(x.number for x in stack if x.tag in BLOCK), e.tag, len(text.split()), len(_STOPS.findall(text)), min(1.0, linked / len(text)), e.outside or stack[-1].outside, stack[-1].bad, stack[-1].layout, e.inside, e.good, e.header))
         linked = 0
 
     def add(text: str) -> None:
         nonlocal linked
         if text and not stack[-1].hidden:
             buffer.append(text)
-            if any(x.tag == "a" for x in reversed(stack[-3:])):
+            if stack[-1].link:
                 linked += len(text)
 
     def pop_to(k: int) -> None:
@@ -169,7 +199,7 @@ def blocks(page: str | None) -> list[Block]:
 def log_odds(b: Block) -> float:
     """The classifier: positive for content."""
     w = WEIGHTS
-    x = w["base"] + w["length"] * min(b.words, 40) ** 0.5 + w["stops"] * min(6, len(_STOPS.findall(b.text[-400:]))) + w["links"] * b.linked
+    x = w["base"] + w["length"] * b.words / (b.words + HALF_WORDS) + w["stops"] * b.stops / (b.stops + HALF_STOPS) + w["links"] * b.linked
     x += w["heading"] if b.tag in ("h1", "h2", "h3", "h4", "h5", "h6") else w["item"] if b.tag in ("li", "td", "th", "option", "dt", "dd") else w["paragraph"] if b.tag in ("p", "blockquote", "pre") else 0.0
     x += w["inside"] * b.inside + w["good"] * (b.good and not b.inside) + w["outside"] * b.outside + w["bad"] * b.bad + w["layout"] * b.layout + w["header"] * b.header
     return x
@@ -183,8 +213,10 @@ def smoothness(found: list[Block]) -> list[tuple[int, int, int]]:
         k = 0
         while k < len(a) and k < len(b) and a[k] == b[k]:
             k += 1
-        return int(_SCALE * SMOOTH * DECAY ** max(0, len(a) + len(b) - 2 * k - 2))
+        border = BORDER if marked[i] != marked[j] else 1.0
+        return int(_SCALE * SMOOTH * border * DECAY ** max(0, len(a) + len(b) - 2 * k - 2))
 
+    marked = [b.outside or b.bad or b.layout or b.header for b in found]
     out, last = [], {}
     for j, b in enumerate(found):
         near = {j - 1} if j else set()
@@ -272,7 +304,7 @@ def main_text(page: str | None) -> str:
 def _extract(columns: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [main_text(h) for h in batch.column("_html").to_pylist()]
+            texts = [main_text(h) for h in batch.column(len(columns)).to_pylist()]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], [*columns, "text", "n_chars"])
 
     return run
@@ -282,9 +314,11 @@ def extract(pages: DataFrame, html_col: str = "html", keep: tuple[str, ...] = ("
     """``keep`` and ``text, n_chars`` for every row of ``pages``.
 
     Character references are decoded, white space inside a block is one space, blocks are joined by two line
-    feeds. A null or empty page, and one without content, gives an empty text. Other columns are not read.
+    feeds in page order. A null or empty page, and one without content, gives an empty text; repeated rows give equal
+    rows, an empty table none. A block whose log-odds are 0 is boilerplate by itself, and of several minimum cuts the one
+    with the most content stands. What a page hides by ``hidden`` or ``display:none`` isn't text. Other columns are not read.
     """
     ready(pages.sparkSession)
     types = dict(pages.dtypes)
     schema = ", ".join([*(f"`{c}` {types[c]}" for c in keep), "text string, n_chars long"])
-    return pages.select(*keep, F.col(html_col).alias("_html")).mapInArrow(_extract(list(keep)), schema)
+    return pages.select(*keep, F.col(html_col).alias(fresh(pages, "html"))).mapInArrow(_extract(list(keep)), schema)

@@ -281,6 +281,61 @@ def test_extraction(spark):
     assert webtext.extract(pages.where("page_id > 5")).count() == 0
 
 
+PROSE = "This is a paragraph of the article, with several words, commas, and more. It goes on for a while, as they do."
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        '<article class="ad-free"><p>{}</p><p>{}</p></article>',
+        '<div class="alert-story"><article><p>{}</p><p>{}</p></article></div>',
+        '<div class="post no-comments"><p>{}</p><p>{}</p></div>',
+        '<div class="post form-page"><p>{}</p><p>{}</p></div>',
+        '<article><p data-hidden="false">{}</p><p title="A hidden gem">{}</p></article>',
+        "<article><p class=intro data-x='<p hidden>'>{}</p><p id=\"hidden\" aria-label='ad nav footer'>{}</p></article>",
+        '<body class="has-sidebar"><main><div><p>{}</p></div><section><p>{}</p></section></main>',
+    ],
+)
+def test_names_that_only_look_like_boilerplate(page):
+    assert webtext.main_text(page.format(PROSE, PROSE + " Yes.")) == f"{PROSE}\n\n{PROSE} Yes."
+
+
+def test_boilerplate_by_its_names():
+    for name in ("ad", "ad-slot", "sidebarAd", "comment-list", "comments", "cookie-notice", "site-footer", "nav_menu", "newsletter-box", "share-links"):
+        page = f'<article><p>{PROSE}</p><div class="x {name}"><p>{PROSE} Not this.</p></div><p>{PROSE}</p></article>'
+        assert webtext.main_text(page) == f"{PROSE}\n\n{PROSE}", name
+
+
+def test_whole_blocks_count_and_nothing_else_is_dropped():
+    inside = "<p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn></math> be, in <canvas>a drawing</canvas> or <object>an object</object>, that number. It is even.</p>"
+    assert webtext.main_text(f"<article>{inside}</article>") == "Let x=2 be, in a drawing or an object, that number. It is even."
+    odds = [webtext.log_odds(webtext.blocks(f"<article><p>{text}</p></article>")[0]) for text in (PROSE, PROSE + " word" * 100, "word " * 100 + PROSE)]
+    assert odds[1] == pytest.approx(odds[2]) and odds[1] > odds[0]
+    deep = "<a href=x>" + "<b><i><u><s>" + "linked words " * 5 + "</s></u></i></b></a>"
+    assert webtext.blocks(f"<p>{deep}</p>")[0].linked > 0.9
+
+
+def test_labelling_is_the_cheapest_of_all(monkeypatch):
+    rng = random.Random(12)
+    parts = ["<p>Short.</p>", f"<p>{PROSE}</p>", "<ul><li><a href=x>Go</a></li><li>One, two.</li></ul>", "<div class='notice'><p>Mind this, please.</p></div>", "<h2>Part</h2>", "<footer>Some words</footer>", "<div>A few words here.</div>"]
+    flipped = 0
+    for _ in range(150):
+        inner = "".join(rng.choice(parts) for _ in range(rng.randint(1, 4)))
+        found = webtext.blocks(f"<div>{inner}</div><article>{rng.choice(parts)}{rng.choice(parts)}</article><p>{rng.choice(parts)}")
+        gain = [round(webtext._SCALE * webtext.log_odds(b)) or -1 for b in found]
+        edges = webtext.smoothness(found)
+        keep = webtext.minimum_cut(gain, edges)
+        cost = sum(abs(g) for g, k in zip(gain, keep, strict=True) if (g > 0) != k) + sum(c for i, j, c in edges if keep[i] != keep[j])
+        assert cost == brute_cut(gain, edges)
+        flipped += sum((g > 0) != k for g, k in zip(gain, keep, strict=True))
+    assert flipped > 20  # neighbours overrule the classifier, marks included
+    # a marked line of prose among marked lines of prose inside a long article: the cut, not the mark, keeps it
+    monkeypatch.setitem(webtext.WEIGHTS, "bad", -6.0)
+    page = f"<article><div class=story><div class=notice><p>{PROSE * 3}</p><p>Short one, here.</p><p>{PROSE * 3}</p></div></div></article>"
+    found = webtext.blocks(page)
+    assert all(b.bad for b in found) and webtext.log_odds(found[1]) < 0 < webtext.log_odds(found[0]) and webtext.main_text(page).count("Short one") == 1
+
+
 def brute_pipeline(rows, p):
     """The pipeline's documents by plain Python: whole sets, all runs, one queue; ``{(id, text): copies}``."""
     import re
