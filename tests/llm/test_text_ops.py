@@ -330,7 +330,7 @@ def test_labelling_is_the_cheapest_of_all(monkeypatch):
         flipped += sum((g > 0) != k for g, k in zip(gain, keep, strict=True))
     assert flipped > 20  # neighbours overrule the classifier, marks included
     # a marked line of prose among marked lines of prose inside a long article: the cut, not the mark, keeps it
-    monkeypatch.setitem(webtext.WEIGHTS, "bad", -6.0)
+    monkeypatch.setitem(webtext.WEIGHTS, "bad", -5.0)
     page = f"<article><div class=story><div class=notice><p>{PROSE * 3}</p><p>Short one, here.</p><p>{PROSE * 3}</p></div></div></article>"
     found = webtext.blocks(page)
     assert all(b.bad for b in found) and webtext.log_odds(found[1]) < 0 < webtext.log_odds(found[0]) and webtext.main_text(page).count("Short one") == 1
