@@ -1,15 +1,19 @@
-"""A log-bilinear neural language model trained by noise-contrastive estimation, and add-one unigram scores.
-
-The model predicts outputs: the most frequent words one by one, the end of a text, and classes of the other
-words by their last letters. The two words before a word, as context symbols, have vectors; each passes
-through the matrix of its place, and their sum meets the outputs' vectors and biases (Mnih and Hinton 2007). Inside
-its class a word has add-one probability, with room for one unseen word.
-
-What is learned covers the whole training corpus: word counts, and counts of context and output, are summed on
-the executors. The second has at most ``symbols**2 * outputs`` cells; the model is fitted to it on the driver in
-numpy. Each of ``passes`` passes goes over every cell, in ``steps`` updates of some contexts each, and weights it by
-its count, so every training token counts in every pass, however many there are. For scoring, every executor multiplies all contexts by all
-outputs and normalises the rows; that table of log-probabilities has as many cells.
+"""A log-bilinear neural language model over words, trained by noise-contrastive estimation, and add-one unigram scores.
+
+The outputs are the most frequent words one by one, the end of a text, and classes of the other words by their
+last three bytes; both their numbers grow with the square root of the corpus. Each of the ``context`` words before a token
+has a vector; multiplied by the weights of its place and added up, they predict the token (Mnih and Hinton 2007;
+Mnih and Kavukcuoglu 2013, whose weights of places are vectors too). Outputs are dealt to as many groups as each group has
+members: the model gives the probability of the group and, inside it, of the output, so a token is normalised
+by two short matrix products instead of one over all outputs. Inside its class a word has add-one probability, with room
+for one unseen word.
+
+Training goes over every token of the training corpus, ``rounds`` times: in each round the tokens are dealt to tasks, each
+trains a copy of the model on all of its tokens, in ``steps`` updates or more, and the copies and their step sizes are
+averaged, weighted by tokens. So draws grow with the corpus, work is spread over the executors, and the driver holds one
+model. The number of copies grows with the square root of the corpus too. Noise words are
+not drawn: their expected numbers under the unigram distribution enter the gradient. The average is taken in blocks of
+numbers, in two steps of bounded width.
 
 Counts of the most frequent words, ``frequent`` at most, go to every executor. The words of a text that are not
 among them are joined with the full counts.
@@ -17,8 +21,10 @@ among them are joined with the full counts.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -31,39 +37,64 @@ from . import textvec
 from .common import ready, stage
 
 END = -0x5DEECE66D0123457
-_CLASSES, _COARSE = 512, 32
+#: Numbers of a block of the model that is averaged at once, and copies that meet in the first step.
+BLOCK, FAN = 8192, 256
+#: Tokens that a task holds and trains on at once, and most tokens of an update.
+HELD, MOST = 1 << 23, 1 << 14
+#: Tokens that are dealt out together, about.
+PIECE = 1 << 14
+_PARTS = ("word", "place", "group", "group_bias", "member", "member_bias")
 
 
 @dataclass(frozen=True)
 class Lbl:
-    top: int = 511
-    near: int = 31
-    size: int = 32
-    passes: int = 40
-    steps: int = 64
+    """``share`` and ``floor``: words, and likewise classes, are ``floor + share * sqrt(tokens)``."""
+
+    share: float = 0.25
+    floor: int = 512
+    size: int = 16
+    context: int = 8
+    rounds: int = 2
+    steps: int = 256
+    least: int = 256
     noise: int = 64
-    rate: float = 0.15
+    rate: float = 0.3
+    copies: float = 1 / 256
     frequent: int = 500_000
     seed: int = 7
 
-    @property
-    def outputs(self) -> int:
-        return self.top + 1 + _CLASSES
+    def outputs(self, tokens: int) -> int:
+        """Words, or classes, of their own in a corpus of so many tokens."""
+        return self.floor + math.ceil(self.share * math.sqrt(tokens))
+
+
+    def tasks(self, tokens: int) -> int:
+        """Copies that are trained on so many tokens."""
+        return max(1, math.ceil(self.copies * math.sqrt(tokens)))
+
+
+class Vocabulary(NamedTuple):
+    """``hashes`` ascend, with ``counts`` and ``output``, a frequent word's number or -1.
+
+    Outputs are ``words`` words, the end, and ``classes`` classes, which have ``log_class`` (log10 of what add-one divides by).
+    """
 
-    @property
-    def symbols(self) -> int:
-        return self.near + _COARSE + 1
+    hashes: np.ndarray
+    counts: np.ndarray
+    output: np.ndarray
+    words: int
+    classes: int
+    log_class: np.ndarray
 
 
-def endings(w: textvec.Words) -> tuple[np.ndarray, np.ndarray]:
-    """For each word the class of its last three bytes and the coarser one of its last two."""
+def endings(w: textvec.Words) -> np.ndarray:
+    """For each word a hash of its last three bytes, lower-cased; not negative."""
     low = textvec._lower()[w.buffer]
     last = low[w.end - 1].astype(np.uint64)
     size = w.end - w.start
     second = np.where(size > 1, low[np.maximum(w.end - 2, 0)], 0).astype(np.uint64)
     third = np.where(size > 2, low[np.maximum(w.end - 3, 0)], 0).astype(np.uint64)
-    two = last | second << np.uint64(8)
-    return (textvec.mix(two | third << np.uint64(16)) % np.uint64(_CLASSES)).astype(np.int64), (textvec.mix(two + np.uint64(77)) % np.uint64(_COARSE)).astype(np.int64)
+    return (textvec.mix(last | second << np.uint64(8) | third << np.uint64(16)) >> np.uint64(1)).astype(np.int64)
 
 
 def _texts(batches: Iterator[pa.RecordBatch], *columns: str) -> Iterator[tuple[list[tuple], textvec.Words]]:
@@ -79,12 +110,12 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         h, c, n = (np.concatenate([x[k] for x in parts]) for k in range(3))
         parts.clear()
         h, at, inverse = np.unique(h, return_index=True, return_inverse=True)
-        return pa.RecordBatch.from_arrays([pa.array(h), pa.array(c[at].astype(np.int32)), pa.array(np.bincount(inverse, n, len(h)).astype(np.int64))], ["h", "cls", "n"])
+        return pa.RecordBatch.from_arrays([pa.array(h), pa.array(c[at]), pa.array(np.bincount(inverse, n, len(h)).astype(np.int64))], ["h", "ending", "n"])
 
     for rows, w in _texts(batches, "text"):
         ends += len(rows)
         h, at, n = np.unique(w.hash.view(np.int64), return_index=True, return_counts=True)
-        parts.append((h, endings(w)[0][at], n))
+        parts.append((h, endings(w)[at], n))
         held += len(h)
         if held > 1 << 22:
             yield merged()
@@ -93,120 +124,327 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield merged()
 
 
-def encode(w: textvec.Words, hashes: np.ndarray, output: np.ndarray, p: Lbl) -> tuple[np.ndarray, ...]:
-    """``(text, output, context, place)`` of each token; ``place`` is that of its word in ``hashes``, -1 if absent.
-
-    ``hashes`` ascends and ``output`` holds a top word's number or -1; an end stands after each text's words.
-    """
+def encode(w: textvec.Words, v: Vocabulary) -> tuple[np.ndarray, ...]:
+    """``(text, output, place)`` of each token; ``place`` is that of its word in ``hashes``, -1 if absent. An end stands after each text's words."""
     n_docs, n = len(w.first) - 1, len(w.hash)
     h = w.hash.view(np.int64)
-    fine, coarse = endings(w)
     place = np.full(n, -1)
     number = place
-    if len(hashes):
-        at = np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)
-        place = np.where(hashes[at] == h, at, -1)
-        number = np.where(place >= 0, output[at], -1)
+    if len(v.hashes):
+        at = np.minimum(np.searchsorted(v.hashes, h), len(v.hashes) - 1)
+        place = np.where(v.hashes[at] == h, at, -1)
+        number = np.where(place >= 0, v.output[at], -1)
     doc = np.repeat(np.arange(n_docs), np.diff(w.first))
     token = np.arange(n) + doc
     end = w.first[1:] + np.arange(n_docs)
-    total = n + n_docs
-    out, sym, where, text = (np.empty(total, np.int64) for _ in range(4))
-    out[token], out[end] = np.where(number >= 0, number, p.top + 1 + fine), p.top
-    sym[token], sym[end] = np.where((number >= 0) & (number < p.near), number, p.near + coarse), p.symbols - 1
+    out, where, text = (np.empty(n + n_docs, np.int64) for _ in range(3))
+    out[token], out[end] = np.where(number >= 0, number, v.words + 1 + endings(w) % v.classes), v.words
     where[token], where[end] = place, -1
     text[token], text[end] = doc, np.arange(n_docs)
-    one, two = np.full(total, p.symbols - 1), np.full(total, p.symbols - 1)
-    one[1:], two[2:] = sym[:-1], sym[:-2]
-    begin = w.first[:-1] + np.arange(n_docs)
-    two[begin] = p.symbols - 1
-    return text, out, one * p.symbols + two, where
-
+    return text, out, where
+
+
+def padded(text: np.ndarray, out: np.ndarray, pad: int, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """A stream with ``width`` pads before each text, and the places of the tokens in it."""
+    at = np.arange(len(out)) + (text + 1) * width
+    stream = np.full(at[-1] + 1 if len(at) else 0, pad, np.int32)
+    stream[at] = out
+    return stream, at
+
+
+class Model:
+    """The parameters, as views of one vector; ``seen`` holds what adapts the step sizes."""
+
+    def __init__(self, counts: np.ndarray, p: Lbl):
+        """``counts`` of all outputs."""
+        self.p, n = p, len(counts)
+        unigram = counts + 1.0
+        groups = math.ceil(math.sqrt(n))
+        members = -(-n // groups)
+        by_count = np.argsort(-unigram, kind="stable")
+        self.group_of, self.slot_of = np.empty(n, np.int64), np.empty(n, np.int64)
+        self.group_of[by_count], self.slot_of[by_count] = np.arange(n) % groups, np.arange(n) // groups
+        inner = np.zeros((groups, members))
+        inner[self.group_of, self.slot_of] = unigram
+        outer = inner.sum(axis=1)
+        inner, outer = inner / outer[:, None], outer / outer.sum()
+        shapes = [(n + 1, p.size), (p.context, p.size), (groups, p.size), (groups,), (groups, members, p.size), (groups, members)]
+        self.pad, self.cut = n, np.cumsum([0, *(math.prod(x) for x in shapes)])
+        self.shapes = shapes
+        real = np.float32
+        rng = np.random.default_rng(p.seed)
+        self.values = np.empty(self.cut[-1], real)
+        self.seen = np.full(self.cut[-1], 1e-4, real)
+        self.bind()
+        for x in (self.word, self.group, self.member):
+            x[...] = rng.standard_normal(x.shape) * 0.1
+        self.place[...] = p.context**-0.5
+        self.group_bias[...] = np.log(outer)
+        self.member_bias[...] = np.log(np.where(inner > 0, inner, 1))
+        self.member_bias[inner == 0] = -1e9  # no output has this place
+        self.outer_noise, self.inner_noise = (outer * p.noise).astype(real), (inner * p.noise).astype(real)
+        self.log_outer = np.log(self.outer_noise)
+        self.log_inner = np.log(np.where(inner > 0, self.inner_noise, 1))
+
+    def bind(self) -> None:
+        for name, shape, a, b in zip(_PARTS, self.shapes, self.cut[:-1], self.cut[1:], strict=True):
+            setattr(self, name, self.values[a:b].reshape(shape))
+            setattr(self, f"_{name}", self.seen[a:b].reshape(shape))
+
+    def __getstate__(self) -> dict:
+        views = {*_PARTS, *(f"_{x}" for x in _PARTS)}
+        return {k: v for k, v in self.__dict__.items() if k not in views}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state)
+        self.bind()
+
+    def load(self, vector: np.ndarray) -> None:
+        """Takes over values and step sizes, one after the other in one vector."""
+        self.values, self.seen = (x.astype(np.float32) for x in np.split(vector, 2))
+        self.bind()
+
+    def contexts(self, stream: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Vectors of all tokens, and the prediction for each but the first ``context``."""
+        k = self.p.context
+        r = self.word[stream]
+        q = np.zeros((len(stream) - k, self.p.size), np.float32)
+        for i in range(k):
+            q += r[k - 1 - i : len(stream) - 1 - i] * self.place[i]
+        return r, q
+
+    def log_probability(self, stream: np.ndarray) -> np.ndarray:
+        """Natural logarithms for all tokens of a stream but the first ``context``; those of pads mean nothing."""
+        k = self.p.context
+        out = np.zeros(len(stream) - k)
+        for a in range(0, len(out), MOST):
+            part = stream[a : a + MOST + k]
+            _, q = self.contexts(part)
+            y = np.minimum(part[k:], self.pad - 1)
+            g = self.group_of[y]
+            out[a : a + len(y)] = _log_softmax(q @ self.group.T + self.group_bias)[np.arange(len(y)), g]
+            order, bound = _by_group(g, len(self.group))
+            for j in range(len(self.group)):
+                at = order[bound[j] : bound[j + 1]]
+                if len(at):
+                    out[a + at] += _log_softmax(q[at] @ self.member[j].T + self.member_bias[j])[np.arange(len(at)), self.slot_of[y[at]]]
+        return out
+
+    def train(self, stream: np.ndarray, rate: float) -> None:
+        """One pass over a stream."""
+        k = self.p.context
+        batch = min(MOST, max(self.p.least, len(stream) // self.p.steps))
+        for a in range(0, len(stream) - k, batch):
+            self._update(stream[a : a + batch + k], np.float32(rate))
+
+    def _update(self, stream: np.ndarray, rate: np.float32) -> None:
+        k = self.p.context
+        r, q = self.contexts(stream)
+        live = np.flatnonzero(stream[k:] != self.pad)
+        y = stream[k:][live]
+        if not len(y):
+            return
+        order, bound = _by_group(self.group_of[y], len(self.group))
+        live, y = live[order], y[order]
+        q, g = q[live], self.group_of[y]
+        share = np.float32(len(y))
+        error = _nce(q @ self.group.T + self.group_bias, self.log_outer, self.outer_noise, g, share)
+        dq = error @ self.group
+        d_group, d_group_bias = error.T @ q, error.sum(axis=0)
+        d_member, d_bias = np.zeros_like(self.member), np.zeros_like(self.member_bias)
+        slot = self.slot_of[y]
+        for j in range(len(self.group)):
+            x = slice(bound[j], bound[j + 1])
+            if bound[j + 1] > bound[j]:
+                error = _nce(q[x] @ self.member[j].T + self.member_bias[j], self.log_inner[j], self.inner_noise[j], slot[x], share)
+                dq[x] += error @ self.member[j]
+                d_member[j], d_bias[j] = error.T @ q[x], error.sum(axis=0)
+        full = np.zeros((len(stream) - k, self.p.size), np.float32)
+        full[live] = dq
+        dr, d_place = np.zeros_like(r), np.empty_like(self.place)
+        for i in range(k):
+            x = slice(k - 1 - i, len(stream) - 1 - i)
+            dr[x] += full * self.place[i]
+            d_place[i] = np.einsum("ij,ij->j", full, r[x])
+        rows, inverse = np.unique(stream, return_inverse=True)
+        d_word = np.stack([np.bincount(inverse, dr[:, d], len(rows)) for d in range(self.p.size)], axis=1).astype(np.float32)
+        self._word[rows] += d_word**2
+        self.word[rows] -= rate * d_word / np.sqrt(self._word[rows])
+        for name, d in (("place", d_place), ("group", d_group), ("group_bias", d_group_bias), ("member", d_member), ("member_bias", d_bias)):
+            seen = getattr(self, f"_{name}")
+            seen += d * d
+            d *= rate
+            d /= np.sqrt(seen)
+            getattr(self, name).__isub__(d)
+
+
+def _by_group(g: np.ndarray, groups: int) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(g, kind="stable")
+    return order, np.searchsorted(g[order], np.arange(groups + 1))
+
+
+def _log_softmax(x: np.ndarray) -> np.ndarray:
+    x = x - x.max(axis=1, keepdims=True)
+    return x - np.log(np.exp(x).sum(axis=1, keepdims=True, dtype=np.float64))
+
+
+def _nce(logits: np.ndarray, log_noise: np.ndarray, noise: np.ndarray, target: np.ndarray, share: np.float32) -> np.ndarray:
+    """The gradient by the logits: each row has its true output once and all outputs at their expected number as noise."""
+    with np.errstate(over="ignore"):
+        x = np.exp(log_noise - logits)  # the probability of being noise is x / (1 + x)
+    x += 1
+    np.reciprocal(x, out=x)
+    row = np.arange(len(x))
+    true = x[row, target] - 1
+    x *= noise
+    x[row, target] += true
+    x /= share
+    return x
+
+
+def _encoded(shared, width: str):
+    """Outputs of texts in pieces, with the numbers of tokens of the texts."""
 
-def _cells(p: Lbl, shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, output = shared.value
-        total = np.zeros(p.symbols**2 * p.outputs, np.int32)
+        vocabulary = shared.value
         for _, w in _texts(batches, "text"):
-            _, out, context, _ = encode(w, hashes, output, p)
-            cell, n = np.unique(context * p.outputs + out, return_counts=True)
-            total[cell] += n.astype(np.int32)
-        cell = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(cell.astype(np.int32)), pa.array(total[cell].astype(np.int64))], ["cell", "n"])
+            text, out, _ = encode(w, vocabulary)
+            size = np.bincount(text, minlength=len(w.first) - 1)
+            piece = (np.cumsum(size) - size) // PIECE
+            first = np.flatnonzero(np.concatenate([[True], piece[1:] != piece[:-1]]))
+            texts = np.split(size.astype(np.int32), first[1:])
+            outs = np.split(out.astype(width), np.cumsum([x.sum() for x in texts])[:-1])
+            yield pa.RecordBatch.from_arrays([pa.array([x.tobytes() for x in part], pa.binary()) for part in (outs, texts)], ["outputs", "sizes"])
 
     return run
 
 
-def fit(cell: np.ndarray, n: np.ndarray, p: Lbl) -> np.ndarray:
-    """Trains on counts of cells ``context * outputs + output``; returns log10 probabilities, contexts by outputs."""
-    rng = np.random.default_rng(p.seed)
-    unigram = np.bincount(cell % p.outputs, n, p.outputs) + 1.0
-    unigram /= unigram.sum()
-    real = np.float32
-    log_noise = np.log(unigram * p.noise).astype(real)
-    seen_in = np.zeros((p.symbols**2, p.outputs), real)
-    seen_in.reshape(-1)[cell] = n
-    tokens = seen_in.sum(axis=1, dtype=np.float64)
-    contexts = np.flatnonzero(tokens)
-    word = (rng.standard_normal((p.symbols, p.size)) * 0.1).astype(real)
-    through = np.stack([np.eye(p.size, dtype=real)] * 2)
-    vector = (rng.standard_normal((p.outputs, p.size)) * 0.1).astype(real)
-    bias = np.log(unigram).astype(real)
-    seen = [np.full(x.shape, 1e-4, real) for x in (word, through, vector, bias)]
-
-    def update(k: int, x: np.ndarray, gradient: np.ndarray, rate: float) -> None:
-        seen[k] += gradient**2
-        x -= rate * gradient / np.sqrt(seen[k])
-
-    one_hot = np.eye(p.symbols, dtype=real)
-    share = tokens.sum() / p.steps
-    total = p.passes * p.steps if len(contexts) else 0
-    for step in range(total):
-        rate = real(p.rate * (1 - step / total))
-        if step % p.steps == 0:
-            parts = np.array_split(rng.permutation(contexts), p.steps)
-        mine = parts[step % p.steps]
-        if not len(mine):
-            continue
-        a, b = one_hot[mine // p.symbols], one_hot[mine % p.symbols]
-        ra, rb = a @ word, b @ word
-        q = ra @ through[0] + rb @ through[1]
-        # by counts: tokens against their expected number of noise words, of which none are drawn
-        noise = (tokens[mine, None] * (unigram * p.noise)).astype(real)
-        apart = np.clip(q @ vector.T + bias - log_noise, -30, 30)
-        g = ((seen_in[mine] + noise) / (1 + np.exp(-apart)) - seen_in[mine]) / real(share)
-        dq = g @ vector
-        d_word = a.T @ (dq @ through[0].T) + b.T @ (dq @ through[1].T)
-        d_through = np.stack([ra.T @ dq, rb.T @ dq])
-        for k, (x, d) in enumerate(((word, d_word), (through, d_through), (vector, g.T @ q), (bias, g.sum(axis=0)))):
-            update(k, x, d, rate)
-    return table(*(x.astype(np.float64) for x in (word, through, vector, bias)))
-
-
-def table(word: np.ndarray, through: np.ndarray, vector: np.ndarray, bias: np.ndarray) -> np.ndarray:
-    """Log10 probabilities of every output after every pair of context symbols."""
-    q = ((word @ through[0])[:, None, :] + (word @ through[1])[None, :, :]).reshape(-1, word.shape[1])
-    logits = q @ vector.T + bias
-    logits -= logits.max(axis=1, keepdims=True)
-    return ((logits - np.log(np.exp(logits).sum(axis=1, keepdims=True))) / np.log(10)).astype(np.float32)
+def _trained(p: Lbl, shared, width: str, turn: int, rate: float):
+    """One copy of the model, trained on a partition, in blocks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model, vector = shared.value
+        task = TaskContext.get().partitionId()
+        rng = np.random.default_rng((p.seed, turn, task))
+        model.load(vector)
+        outs: list[np.ndarray] = []
+        sizes: list[np.ndarray] = []
+        held = total = 0
+
+        def learn() -> None:
+            """Trains on the texts held, in shuffled order."""
+            out, size = np.concatenate(outs), np.concatenate(sizes)
+            order = rng.permutation(len(size))
+            start, size = (np.cumsum(size) - size)[order], size[order]
+            text = np.repeat(np.arange(len(size)), size)
+            at = np.arange(len(out)) + (start - np.cumsum(size) + size)[text]
+            model.train(padded(text, out[at], model.pad, p.context)[0], rate)
+            outs.clear()
+            sizes.clear()
+
+        for x, n in textvec.arrow_rows(batches, "outputs", "sizes"):
+            outs.append(np.frombuffer(x, width))
+            sizes.append(np.frombuffer(n, np.int32).astype(np.int64))
+            held += len(outs[-1])
+            total += len(outs[-1])
+            if held > HELD:
+                learn()
+                held = 0
+        if outs:
+            learn()
+        if total:
+            both = np.concatenate([model.values, model.seen])
+            for k in range(0, len(both), BLOCK):
+                yield pa.RecordBatch.from_arrays([pa.array([task]), pa.array([k // BLOCK]), pa.array([float(total)]), pa.array([both[k : k + BLOCK].astype(np.float64).tobytes()])], ["task", "block", "tokens", "x"])
+
+    return run
+
+
+def _average(key: tuple, table: pa.Table) -> pa.Table:
+    """Of the copies of one block the mean, weighted by tokens."""
+    n = table.column("tokens").to_numpy()
+    total = sum(np.frombuffer(x.as_py()) * w for x, w in zip(table.column("x"), n, strict=True)) / n.sum()
+    return pa.table({"task": [0], "block": table.column("block")[:1].to_pylist(), "tokens": [n.sum()], "x": [total.tobytes()]})
+
+
+class Learned(NamedTuple):
+    counts: DataFrame
+    tokens: int
+    distinct: int
+    vocabulary: Vocabulary
+    model: Model | None
+
+
+def learn(train: DataFrame, p: Lbl = Lbl()) -> Learned:
+    """Word counts and the trained model of all rows ``(text,)``; no model if there are none."""
+    spark = train.sparkSession
+    counts = stage(train.mapInArrow(_counts, "h long, ending long, n long").where("n > 0").groupBy("h").agg(F.min("ending").alias("ending"), F.sum("n").alias("n")), "counts")
+    tokens, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    words = counts.where(F.col("ending") >= 0)
+    classes = p.outputs(tokens)
+    top = words.orderBy(F.desc("n"), "h").limit(classes).select("h", "ending", "n").collect()
+    number = {r[0]: k for k, r in enumerate(top)}
+    # the least count that at most ``frequent`` words reach, on a scale of eighths of a power of two
+    level = F.floor(F.log2("n") * 8)
+    least, room = 1 << 62, p.frequent
+    for x, k in sorted(counts.groupBy(level.alias("x")).agg(F.count("*")).collect(), reverse=True):
+        room -= k
+        if room < 0:
+            break
+        least = x
+    # the words of the model are among these whatever their counts
+    named = spark.createDataFrame([(END,), *((h,) for h in number)], "h long")
+    near = counts.where(level >= least).select("h", "n").unionByName(counts.where(level < least).join(F.broadcast(named), "h", "left_semi").select("h", "n")).toArrow()
+    hashes, n = near.column("h").to_numpy(), near.column("n").to_numpy()
+    order = np.argsort(hashes)
+    hashes, n = hashes[order], n[order]
+    output = np.array([number.get(h, -1) for h in hashes.tolist()], np.int64)
+    mass, kinds = np.zeros(classes), np.zeros(classes)
+    for c, some, different in words.groupBy((F.col("ending") % classes).alias("c")).agg(F.sum("n"), F.count("*")).collect():
+        mass[c], kinds[c] = some, different
+    own = np.array([r[1] % classes for r in top], np.int64)
+    top_n = np.array([r[2] for r in top], float)
+    mass -= np.bincount(own, top_n, classes)
+    kinds -= np.bincount(own, minlength=classes)
+    vocabulary = Vocabulary(hashes, n, output, len(top), classes, np.log10(mass + kinds + 1))
+    if not tokens:
+        return Learned(counts, 0, 0, vocabulary, None)
+    ends = n[hashes == END].sum()
+    model = Model(np.concatenate([top_n, [float(ends)], mass]), p)
+    few = output >= 0
+    slim = vocabulary._replace(hashes=hashes[few], counts=n[few], output=output[few])
+    width = "u2" if model.pad < 1 << 16 else "u4"
+    encoded = stage(train.mapInArrow(_encoded(spark.sparkContext.broadcast(slim), width), "outputs binary, sizes binary"), "tokens")
+    for turn in range(p.rounds):
+        shared = spark.sparkContext.broadcast((model, np.concatenate([model.values, model.seen])))
+        schema = "task long, block long, tokens double, x binary"
+        copies = encoded.repartition(p.tasks(tokens)).mapInArrow(_trained(p, shared, width, turn, p.rate * (1 - turn / p.rounds)), schema)
+        copies = copies.groupBy("block", F.floor(F.col("task") / FAN)).applyInArrow(_average, schema)
+        mean = stage(copies.groupBy("block").applyInArrow(_average, schema), "model").toArrow().sort_by("block")
+        model.load(np.frombuffer(b"".join(mean.column("x").to_pylist())))
+    return Learned(counts, tokens, distinct, vocabulary, model)
 
 
 def _score(p: Lbl, shared, id_type: pa.DataType):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, output, counts, log_model, log_class = shared.value
-        log_count = np.log10(np.append(counts, 0) + 1.0)
+        v, model = shared.value
+        log_count = np.log10(np.append(v.counts, 0) + 1.0)
         at = TaskContext.get().partitionId() << 36
         for rows, w in _texts(batches, "id", "held_out", "text"):
-            text, out, context, place = encode(w, hashes, output, p)
+            text, out, place = encode(w, v)
             n = len(rows)
-            end = out == p.top
-            if len(hashes):
-                place[end] = np.minimum(np.searchsorted(hashes, END), len(hashes) - 1)
-                place[end & (hashes[place] != END)] = -1
+            end = out == v.words
+            if len(v.hashes):
+                place[end] = np.minimum(np.searchsorted(v.hashes, END), len(v.hashes) - 1)
+                place[end & (v.hashes[place] != END)] = -1
             ours = place >= 0
             plain = np.where(ours, log_count[place], 0.0)
-            inner = out > p.top
-            model = log_model[context, out] + np.where(inner, plain - log_class[out], 0.0)
+            inner = out > v.words
+            own = np.zeros(len(out))
+            if model:
+                stream, where = padded(text, out, model.pad, p.context)
+                own = model.log_probability(stream)[where - p.context] / math.log(10)
+                own += np.where(inner, plain - v.log_class[np.where(inner, out - v.words - 1, 0)], 0.0)
             rest = ~ours & ~end
             size = np.bincount(text[rest], minlength=n)
             words = w.hash.view(np.int64)[rest[~end]]
@@ -214,7 +452,7 @@ def _score(p: Lbl, shared, id_type: pa.DataType):
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.arange(at, at + n)), pa.array([r[0] for r in rows], id_type), pa.array([r[1] for r in rows], pa.bool_()), pa.array(np.bincount(text, minlength=n)),
-                    pa.array(np.bincount(text[ours], minlength=n)), pa.array(np.bincount(text, plain, n)), pa.array(np.bincount(text, model, n)), pa.ListArray.from_arrays(pa.array(off), pa.array(words)),
+                    pa.array(np.bincount(text[ours], minlength=n)), pa.array(np.bincount(text, plain, n)), pa.array(np.bincount(text, own, n)), pa.ListArray.from_arrays(pa.array(off), pa.array(words)),
                 ],
                 ["rid", "id", "held_out", "n_tokens", "n_known", "base", "model", "rest"],
             )
@@ -227,46 +465,19 @@ def score(docs: DataFrame, params: Lbl = Lbl(), id_col: str = "doc_id", text_col
     """``(id, held_out, n_tokens, n_known, train_tokens, base_score, score)`` for every row of ``docs``.
 
     The rows whose crc32 of the id as text leaves 2 modulo 7 are held out; the others with an id are learned
-    from. Tokens are lower-cased words and one end, so a null or blank text has one token. ``base_score`` adds
-    log10((c + 1) / (N + V + 1)) over them; ``score`` is the model's log10 probability of the text. Without
-    training rows both are those of the only outcome known, 0. Other columns are not read.
+    from, repeated rows as often as they stand. Tokens are lower-cased words and one end, so a null or blank text has one
+    token. ``base_score`` adds log10((c + 1) / (N + V + 1)) over them; ``score`` is the model's log10 probability of the
+    text. Without training rows both are those of the only outcome known, 0. Of words of equal count those of smaller hash
+    are in the model. An empty table gives no rows. Other columns are not read.
     """
     spark = docs.sparkSession
     ready(spark)
-    p = params
     held = F.crc32(F.col(id_col).cast("string").cast("binary")) % 7 == 2
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(held, F.lit(False)).alias("held_out"), F.col(text_col).alias("text"))
-    train = docs.where(~held).select(F.col(text_col).alias("text"))
-    counts = stage(train.mapInArrow(_counts, "h long, cls int, n long").where("n > 0").groupBy("h").agg(F.min("cls").alias("cls"), F.sum("n").alias("n")), "counts")
-    tokens, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    top = counts.where(F.col("cls") >= 0).orderBy(F.desc("n"), "h").limit(p.top).select("h", "cls", "n").collect()
-    number = {r[0]: k for k, r in enumerate(top)}
-    # the least count that at most ``frequent`` words reach, on a scale of eighths of a power of two
-    level = F.floor(F.log2("n") * 8)
-    least, room = 1 << 62, p.frequent
-    for x, k in sorted(counts.groupBy(level.alias("x")).agg(F.count("*")).collect(), reverse=True):
-        room -= k
-        if room < 0:
-            break
-        least = x
-    near = counts.where((level >= least) | F.col("h").isin([END, *number])).select("h", "n").toArrow()
-    hashes, n = near.column("h").to_numpy(), near.column("n").to_numpy()
-    order = np.argsort(hashes)
-    hashes, n = hashes[order], n[order]
-    output = np.array([number.get(h, -1) for h in hashes.tolist()], np.int64)
-    few = output >= 0
-    cells = train.mapInArrow(_cells(p, spark.sparkContext.broadcast((hashes[few], output[few]))), "cell int, n long")
-    cells = cells.groupBy("cell").agg(F.sum("n").alias("n")).toArrow().sort_by("cell")
-    log_model = fit(cells.column("cell").to_numpy().astype(np.int64), cells.column("n").to_numpy().astype(np.float64), p)
-    log_class = np.zeros(p.outputs)
-    for c, words, distinct_words in counts.where(F.col("cls") >= 0).groupBy("cls").agg(F.sum("n"), F.count("*")).collect():
-        mine = [r for r in top if r[1] == c]
-        log_class[p.top + 1 + c] = np.log10(words - sum(r[2] for r in mine) + distinct_words - len(mine) + 1)
-    if not tokens:
-        log_model = np.zeros_like(log_model)
-    shared = spark.sparkContext.broadcast((hashes, output, n, log_model, log_class))
+    counts, tokens, distinct, vocabulary, model = learn(docs.where(~held).select(F.col(text_col).alias("text")), params)
+    shared = spark.sparkContext.broadcast((vocabulary, model))
     kind = dict(rows.dtypes)["id"]
-    scored = rows.mapInArrow(_score(p, shared, to_arrow_type(rows.schema["id"].dataType)), f"rid long, id {kind}, held_out boolean, n_tokens long, n_known long, base double, model double, rest array<long>")
+    scored = rows.mapInArrow(_score(params, shared, to_arrow_type(rows.schema["id"].dataType)), f"rid long, id {kind}, held_out boolean, n_tokens long, n_known long, base double, model double, rest array<long>")
     scored = stage(scored, "scores")
     rest = scored.select("rid", F.explode("rest").alias("h")).join(counts.select("h", "n"), "h")
     rest = rest.groupBy("rid").agg(F.sum(F.log10(F.col("n") + 1.0)).alias("more"), F.count("*").alias("seen"))

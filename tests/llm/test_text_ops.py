@@ -56,7 +56,7 @@ def test_out_of_place_distance_by_hand():
 
 
 def test_language_model(spark, two_languages):
-    out = {r["doc_id"]: r for r in lm.score(table(spark, two_languages), lm.Lbl(steps=60, frequent=40)).collect()}
+    out = {r["doc_id"]: r for r in lm.score(table(spark, two_languages), lm.Lbl(floor=30, frequent=40)).collect()}
     words = {i: (t or "").encode().lower().split() + [None] for i, t, _, _ in two_languages}
     known = Counter(w for i, ws in words.items() if i is not None and zlib.crc32(str(i).encode()) % 7 != 2 for w in ws)
     n, v = sum(known.values()), len(known)
@@ -66,27 +66,86 @@ def test_language_model(spark, two_languages):
         assert r["base_score"] == pytest.approx(sum(math.log10((known[w] + 1) / (n + v + 1)) for w in ws), abs=1e-6)
         assert r["score"] < 0 and not (r["held_out"] and i is None)
     assert lm.score(table(spark, [])).count() == 0
-    assert [(r["base_score"], r["train_tokens"]) for r in lm.score(table(spark, [(None, "a b", None, None)]), lm.Lbl(steps=1)).collect()] == [(0.0, 0)]
-
-
-def test_model_is_normalised():
-    p = lm.Lbl(steps=40)
-    rng = np.random.default_rng(0)
-    cell = np.unique(rng.integers(0, p.symbols**2 * p.outputs, 5000))
-    log10 = lm.fit(cell, np.ones(len(cell)), p)
-    assert np.allclose((10.0 ** log10.astype(float)).sum(axis=1), 1, atol=1e-4)
-
-
-def test_all_counted_tokens_reach_the_model():
-    p = lm.Lbl(steps=1)
-    rng = np.random.default_rng(4)
-    contexts, outputs = rng.choice(p.symbols**2, 10, replace=False), rng.choice(p.outputs, 10, replace=False)
-    cell = np.sort((contexts[:, None] * p.outputs + outputs).ravel())
-    n = np.full((10, 10), 100_000.0)
-    moved = n.copy()
-    # 200 of ten million tokens change places; each output's and each context's own count stays
-    moved[:2, :2] += np.array([[-100, 100], [100, -100]])
-    assert not np.array_equal(lm.fit(cell, n.ravel(), p), lm.fit(cell, moved.ravel(), p))
+    assert [(r["base_score"], r["train_tokens"]) for r in lm.score(table(spark, [(None, "a b", None, None)]), lm.Lbl()).collect()] == [(0.0, 0)]
+
+
+def dense(model, before):
+    """All outputs' probabilities after some outputs, by the formula, without groups of tokens or batches."""
+    p = model.p
+    before = ([model.pad] * p.context + before)[-p.context :]
+    q = sum(model.word[x].astype(float) * model.place[k] for k, x in enumerate(before[::-1]))
+    soft = lambda x: np.exp(x - x.max()) / np.exp(x - x.max()).sum()
+    outer = soft(model.group @ q + model.group_bias)
+    inner = [soft(m @ q + b) for m, b in zip(model.member.astype(float), model.member_bias.astype(float), strict=True)]
+    return np.array([outer[g] * inner[g][s] for g, s in zip(model.group_of, model.slot_of, strict=True)])
+
+
+def test_scores_recomputed_word_by_word(spark, two_languages):
+    p = lm.Lbl(floor=20, context=3)
+    rows = [r for r in two_languages if r[0] != 903]
+    train = [t for i, t, _, _ in rows if i is not None and zlib.crc32(str(i).encode()) % 7 != 2]
+    found = lm.learn(table(spark, rows).where("crc32(cast(cast(doc_id as string) as binary)) % 7 <> 2").select("text"), p)
+    v, model = found.vocabulary, found.model
+    known = Counter(w for t in train for w in (t or "").lower().split())
+    output = {x: int(lm.encode(lm.textvec.words([x.encode()]), v)[1][0]) for x in {*known, *(w for _, t, _, _ in rows for w in (t or "").lower().split())}}
+    mass, kinds = Counter(), Counter()
+    for x, n in known.items():
+        mass[output[x]] += n
+        kinds[output[x]] += 1
+    table_of = {x: (o, 1.0 if o < v.words else (known[x] + 1) / (mass[o] + kinds[o] + 1)) for x, o in output.items()}
+    out = {r["doc_id"]: r["score"] for r in lm.score(table(spark, rows), p).collect()}
+    for i, t, _, _ in rows[:12]:
+        before, total = [], 0.0
+        for w in (t or "").lower().split():
+            o, share = table_of[w]
+            total += math.log10(dense(model, before)[o] * share)
+            before.append(o)
+        total += math.log10(dense(model, before)[v.words])
+        assert out[i] == pytest.approx(total, rel=1e-4)
+    assert dense(model, [1, 2, 3]).sum() == pytest.approx(1) and len(model.group_of) == v.words + 1 + v.classes
+    # of the words of one class, and one word unseen, the shares are all there is
+    assert all(share <= 1 for _, share in table_of.values()) and out[900] == out[901]
+
+
+def test_vocabulary_and_draws_grow_with_the_corpus():
+    p = lm.Lbl()
+    assert [p.outputs(n) for n in (0, 10**4, 10**8, 10**10)] == [512, 537, 3012, 25512]
+    updates = []
+    model = lm.Model(np.ones(9), p)
+    model._update = lambda stream, rate: updates.append(len(stream) - p.context)
+    for n in (10**4, 10**6, 10**7):
+        updates.clear()
+        model.train(np.zeros(n + p.context, np.int32), 0.1)
+        assert sum(updates) == n and max(updates) <= lm.MOST and len(updates) >= min(p.steps, n // p.least)
+
+
+def test_model_beats_an_interpolated_bigram_on_new_texts(spark):
+    """Texts that have copies in the training rows are left out: word pairs remember them, which is no knowledge of language."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    words = {r["doc_id"]: (r["text"] or "").lower().split() + [None] for r in docs.collect()}
+    held = {i for i in words if zlib.crc32(str(i).encode()) % 7 == 2}
+    one, two, five = Counter(), Counter(), set()
+    runs = lambda ws: {tuple(ws[k : k + 5]) for k in range(len(ws) - 4)}
+    for i, ws in words.items():
+        if i not in held:
+            one.update(ws)
+            two.update(zip([0, *ws], ws, strict=False))
+            five |= runs(ws)
+    kinds, after = Counter(u for u, _ in two), Counter()
+    for (u, _), n in two.items():
+        after[u] += n
+    new = {i for i in held if len(runs(words[i]) & five) * 10 <= len(runs(words[i]))}
+    out = [r for r in lm.score(docs).collect() if r["doc_id"] in new]
+    bigram, tokens, known_plain = 0.0, 0, {}
+    for i in new:
+        for u, w in zip([0, *words[i]], words[i], strict=False):
+            plain = (one[w] + 1) / (sum(one.values()) + len(one) + 1) if w not in known_plain else known_plain[w]
+            known_plain[w] = plain
+            bigram -= math.log2((two[u, w] + kinds[u] * plain) / (after[u] + kinds[u]) if after[u] else plain)
+            tokens += 1
+    bits, unigram = (-sum(r[c] for r in out) * math.log2(10) / tokens for c in ("score", "base_score"))
+    print(f"bits a held-out token of {len(new)} new texts: unigram {unigram:.2f}, bigram {bigram / tokens:.2f}, model {bits:.2f}")
+    assert sum(r["n_tokens"] for r in out) == tokens and bits < min(bigram / tokens, unigram - 1)
 
 
 def test_licenses():
