@@ -40,7 +40,9 @@ END = -0x5DEECE66D0123457
 #: Numbers of a block of the model that is averaged at once, and copies that meet in the first step.
 BLOCK, FAN = 8192, 256
 #: Tokens that a task holds and trains on at once, and most tokens of an update.
-HELD, MOST = 1 << 23, 1 << 14
+HELD, MOST = 1 << 23, 1 << 13
+#: Tokens of one group that are multiplied at once.
+TILE = 32
 #: Tokens that are dealt out together, about.
 PIECE = 1 << 14
 _PARTS = ("word", "place", "group", "group_bias", "member", "member_bias")
@@ -50,10 +52,10 @@ _PARTS = ("word", "place", "group", "group_bias", "member", "member_bias")
 class Lbl:
     """``share`` and ``floor``: words, and likewise classes, are ``floor + share * sqrt(tokens)``."""
 
-    share: float = 0.25
-    floor: int = 512
+    share: float = 0.15
+    floor: int = 384
     size: int = 16
-    context: int = 8
+    context: int = 6
     rounds: int = 2
     steps: int = 256
     least: int = 256
@@ -162,7 +164,7 @@ class Model:
         groups = math.ceil(math.sqrt(n))
         members = -(-n // groups)
         by_count = np.argsort(-unigram, kind="stable")
-        self.group_of, self.slot_of = np.empty(n, np.int64), np.empty(n, np.int64)
+        self.group_of, self.slot_of = np.empty(n, np.int16 if groups < 1 << 15 else np.int64), np.empty(n, np.int64)
         self.group_of[by_count], self.slot_of[by_count] = np.arange(n) % groups, np.arange(n) // groups
         inner = np.zeros((groups, members))
         inner[self.group_of, self.slot_of] = unigram
@@ -209,25 +211,28 @@ class Model:
         k = self.p.context
         r = self.word[stream]
         q = np.zeros((len(stream) - k, self.p.size), np.float32)
+        one = np.empty_like(q)
         for i in range(k):
-            q += r[k - 1 - i : len(stream) - 1 - i] * self.place[i]
+            q += np.multiply(r[k - 1 - i : len(stream) - 1 - i], self.place[i], out=one)
         return r, q
 
     def log_probability(self, stream: np.ndarray) -> np.ndarray:
-        """Natural logarithms for all tokens of a stream but the first ``context``; those of pads mean nothing."""
+        """Natural logarithms for all tokens of a stream but the first ``context``; those of pads are 0."""
         k = self.p.context
         out = np.zeros(len(stream) - k)
         for a in range(0, len(out), MOST):
             part = stream[a : a + MOST + k]
             _, q = self.contexts(part)
-            y = np.minimum(part[k:], self.pad - 1)
-            g = self.group_of[y]
-            out[a : a + len(y)] = _log_softmax(q @ self.group.T + self.group_bias)[np.arange(len(y)), g]
-            order, bound = _by_group(g, len(self.group))
-            for j in range(len(self.group)):
-                at = order[bound[j] : bound[j + 1]]
-                if len(at):
-                    out[a + at] += _log_softmax(q[at] @ self.member[j].T + self.member_bias[j])[np.arange(len(at)), self.slot_of[y[at]]]
+            live = np.flatnonzero(part[k:] != self.pad)
+            y = part[k:][live]
+            order, g, tile, at = _tiles(self.group_of[y], len(self.group))
+            live, y = live[order], y[order]
+            q = q[live]
+            got = _log_softmax(q @ self.group.T + self.group_bias, np.arange(len(y)), g)
+            x = _dealt(q, tile, at) @ self.member[tile].transpose(0, 2, 1)
+            x += self.member_bias[tile][:, None, :]
+            got += _log_softmax(x.reshape(-1, x.shape[2]), at, self.slot_of[y])
+            out[a + live] = got
         return out
 
     def train(self, stream: np.ndarray, rate: float) -> None:
@@ -244,30 +249,35 @@ class Model:
         y = stream[k:][live]
         if not len(y):
             return
-        order, bound = _by_group(self.group_of[y], len(self.group))
+        order, g, tile, at = _tiles(self.group_of[y], len(self.group))
         live, y = live[order], y[order]
-        q, g = q[live], self.group_of[y]
+        q, row = q[live], np.arange(len(y))
         share = np.float32(len(y))
-        error = _nce(q @ self.group.T + self.group_bias, self.log_outer, self.outer_noise, g, share)
+        error = _nce(q @ -self.group.T, self.log_outer - self.group_bias, self.outer_noise / share, row, g, share)
         dq = error @ self.group
         d_group, d_group_bias = error.T @ q, error.sum(axis=0)
         d_member, d_bias = np.zeros_like(self.member), np.zeros_like(self.member_bias)
-        slot = self.slot_of[y]
-        for j in range(len(self.group)):
-            x = slice(bound[j], bound[j + 1])
-            if bound[j + 1] > bound[j]:
-                error = _nce(q[x] @ self.member[j].T + self.member_bias[j], self.log_inner[j], self.inner_noise[j], slot[x], share)
-                dq[x] += error @ self.member[j]
-                d_member[j], d_bias[j] = error.T @ q[x], error.sum(axis=0)
+        dealt, member = _dealt(q, tile, at), self.member[tile]
+        x = dealt @ -member.transpose(0, 2, 1)
+        error = _nce(x, (self.log_inner - self.member_bias)[tile][:, None, :], (self.inner_noise / share)[tile][:, None, :], at, self.slot_of[y], share)
+        empty = np.ones(len(tile) * TILE, bool)
+        empty[at] = False
+        error.reshape(-1, error.shape[2])[empty] = 0
+        dq += (error @ member).reshape(-1, self.p.size)[at]
+        first = np.flatnonzero(np.concatenate([[True], tile[1:] != tile[:-1]]))
+        d_member[tile[first]] = np.add.reduceat(error.transpose(0, 2, 1) @ dealt, first, axis=0)
+        d_bias[tile[first]] = np.add.reduceat(error.sum(axis=1), first, axis=0)
         full = np.zeros((len(stream) - k, self.p.size), np.float32)
         full[live] = dq
-        dr, d_place = np.zeros_like(r), np.empty_like(self.place)
+        dr, d_place, one = np.zeros_like(r), np.empty_like(self.place), np.empty_like(full)
         for i in range(k):
             x = slice(k - 1 - i, len(stream) - 1 - i)
-            dr[x] += full * self.place[i]
+            dr[x] += np.multiply(full, self.place[i], out=one)
             d_place[i] = np.einsum("ij,ij->j", full, r[x])
-        rows, inverse = np.unique(stream, return_inverse=True)
-        d_word = np.stack([np.bincount(inverse, dr[:, d], len(rows)) for d in range(self.p.size)], axis=1).astype(np.float32)
+        order = np.argsort(stream, kind="stable")
+        ordered = stream[order]
+        first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+        rows, d_word = ordered[first], np.add.reduceat(dr[order], first, axis=0)
         self._word[rows] += d_word**2
         self.word[rows] -= rate * d_word / np.sqrt(self._word[rows])
         for name, d in (("place", d_place), ("group", d_group), ("group_bias", d_group_bias), ("member", d_member), ("member_bias", d_bias)):
@@ -278,27 +288,46 @@ class Model:
             getattr(self, name).__isub__(d)
 
 
-def _by_group(g: np.ndarray, groups: int) -> tuple[np.ndarray, np.ndarray]:
+def _tiles(g: np.ndarray, groups: int) -> tuple[np.ndarray, ...]:
+    """Deals tokens to tiles of one group each: their order, their groups in it, the tiles' groups, and each token's place in the tiles."""
     order = np.argsort(g, kind="stable")
-    return order, np.searchsorted(g[order], np.arange(groups + 1))
+    size = np.bincount(g, minlength=groups)
+    tiles = -(-size // TILE)
+    start = (np.cumsum(tiles) - tiles) * TILE - (np.cumsum(size) - size)
+    g = g[order]
+    return order, g, np.repeat(np.arange(groups), tiles), np.arange(len(g)) + start[g]
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True, dtype=np.float64))
+def _dealt(q: np.ndarray, tile: np.ndarray, at: np.ndarray) -> np.ndarray:
+    out = np.zeros((len(tile) * TILE, q.shape[1]), np.float32)
+    out[at] = q
+    return out.reshape(len(tile), TILE, q.shape[1])
 
 
-def _nce(logits: np.ndarray, log_noise: np.ndarray, noise: np.ndarray, target: np.ndarray, share: np.float32) -> np.ndarray:
-    """The gradient by the logits: each row has its true output once and all outputs at their expected number as noise."""
+def _log_softmax(x: np.ndarray, row: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """The logarithms of the targets' shares of their rows; the largest value is taken off only against overflow."""
+    true = x[row, target].astype(np.float64)
     with np.errstate(over="ignore"):
-        x = np.exp(log_noise - logits)  # the probability of being noise is x / (1 + x)
+        total = np.exp(x).sum(axis=1, dtype=np.float32)[row]
+    if not (np.isfinite(total) & (total > 0)).all():
+        most = x.max(axis=1, keepdims=True)
+        total, true = np.exp(x - most).sum(axis=1)[row], true - most[row, 0]
+    return true - np.log(total.astype(np.float64))
+
+
+def _nce(x: np.ndarray, shift: np.ndarray, noise: np.ndarray, row: np.ndarray, target: np.ndarray, share: np.float32) -> np.ndarray:
+    """Turns negated products into the gradient by the logits: rows have their true output once and all outputs at their expected number as noise.
+
+    ``shift`` is the noise's logarithm less the bias, ``noise`` and the result are parted by ``share``.
+    """
+    x += shift
+    with np.errstate(over="ignore"):
+        np.exp(x, out=x)  # the probability of being no noise is 1 / (1 + x)
     x += 1
-    np.reciprocal(x, out=x)
-    row = np.arange(len(x))
-    true = x[row, target] - 1
-    x *= noise
-    x[row, target] += true
-    x /= share
+    flat = x.reshape(-1, x.shape[-1])
+    true = (1 / flat[row, target] - 1) / share
+    np.divide(noise, x, out=x)
+    flat[row, target] += true
     return x
 
 
