@@ -52,8 +52,8 @@ _PARTS = ("word", "place", "group", "group_bias", "member", "member_bias")
 class Lbl:
     """``share`` and ``floor``: words, and likewise classes, are ``floor + share * sqrt(tokens)``."""
 
-    share: float = 0.15
-    floor: int = 384
+    share: float = 0.08
+    floor: int = 512
     size: int = 16
     context: int = 6
     rounds: int = 2

@@ -109,7 +109,7 @@ def test_scores_recomputed_word_by_word(spark, two_languages):
 
 def test_vocabulary_and_draws_grow_with_the_corpus():
     p = lm.Lbl()
-    assert [p.outputs(n) for n in (0, 10**4, 10**8, 10**10)] == [384, 399, 1884, 15384]
+    assert [p.outputs(n) for n in (0, 10**4, 10**8, 10**10)] == [512, 520, 1312, 8512]
     updates = []
     model = lm.Model(np.ones(9), p)
     model._update = lambda stream, rate: updates.append(len(stream) - p.context)
