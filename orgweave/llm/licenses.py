@@ -22,24 +22,42 @@ from .common import ready
 # Phrases and their labels.
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 
-# Templates of common notices and texts, and their labels.
+# The wording of common licences and notices, in parts that several of them share.
+_GRANT = "{{licensed|released|distributed|available}} under the [[terms of the]]"
+_MIT_OPENING = "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction"
+_BSD_OPENING = "redistribution and use in source and binary forms with or without modification are permitted [[{{1-6}}]] provided that the following conditions are met"
+_BSD_TWO = "[[{{1|a|i}}]] redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer [[{{2|b|ii}}]] redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution"
+_BSD_NAMES = "[[{{3|c|iii}}]] neither the name of {{1-12}} nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission"
+_BSD_DISCLAIMER = "this software is provided by {{the copyright holders and contributors|the copyright holder and contributors|the regents and contributors|the authors and contributors}} as is and any express or implied warranties including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed in no event shall {{1-6}} be liable for any direct indirect incidental special exemplary or consequential damages including but not limited to procurement of substitute goods or services loss of use data or profits or business interruption however caused and on any theory of liability whether in contract strict liability or tort including negligence or otherwise arising in any way out of the use of this software even if advised of the possibility of such damage"
+_GNU = "{{this|the}} {{1-4}} is free software you can redistribute it and or modify it under the terms of the"
+_FSF = "general public license as published by the free software foundation {{either version|version}} {{1-2}} [[of the license]] [[or at your option any later version]]"
+_HOPE = "[[this]] [[{{1-4}}]] is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose"
+
+# Templates and their labels. Those named opening or notice are not whole licences.
 TEMPLATES = {
-    "apache": "[[{{this|the}} {{1-4}} {{is|are}}]] {{licensed|released|distributed|available}} under the [[terms of the]] apache [[software]] license [[version {{1-2}}]]",
-    "apache-header": "licensed under the apache license version 2 0 the license you may not use this {{1-3}} except in compliance with the license [[you may obtain a copy of the license at {{1-12}}]]",
-    "bsd": "redistribution and use in source and binary forms with or without modification are permitted [[{{1-6}}]] provided that the following conditions are met",
-    "bsd-notice": "{{licensed|released|distributed|available}} under the [[terms of the]] [[{{2|3}} clause]] bsd [[{{2|3}} clause]] license",
+    "apache": "[[{{this|the}} {{1-4}} {{is|are}}]] " + _GRANT + " apache [[software]] license [[version {{1-2}}]]",
+    "apache-header": "licensed under the apache license version 2 0 the license you may not use this {{1-3}} except in compliance with the license [[you may obtain a copy of the license at {{1-12}}]] unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied see the license for the specific language governing permissions and limitations under the license",
+    "bsd-2-clause": f"{_BSD_OPENING} {_BSD_TWO} {_BSD_DISCLAIMER}",
+    "bsd-3-clause": f"{_BSD_OPENING} {_BSD_TWO} {_BSD_NAMES} {_BSD_DISCLAIMER}",
+    "bsd-notice": _GRANT + " [[{{2|3}} clause]] bsd [[{{2|3}} clause]] license",
+    "bsd-opening": _BSD_OPENING,
     "cc-by-nc": "{{licensed|released|distributed|available}} under [[a|the]] {{cc by nc|creative commons attribution noncommercial|creative commons attribution non commercial}} [[{{sa|nd|sharealike|noderivatives}}]] [[{{1-3}} license]]",
     "cc-notice": "{{licensed|released|distributed|available}} under [[a|the]] {{cc by|creative commons attribution}} [[{{sa|nd|sharealike|noderivatives}}]] [[{{1-3}} license]]",
-    "gpl-header": "this {{1-3}} is free software you can redistribute it and or modify it under the terms of the gnu [[lesser|affero]] general public license as published by the free software foundation [[either version {{1-2}} of the license or at your option any later version]]",
-    "gpl-notice": "[[this {{1-4}} is]] {{licensed|released|distributed|available}} under the [[terms of the]] gnu general public license [[version {{1-2}}]]",
-    "isc": "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies",
-    "lgpl-notice": "[[this {{1-4}} is]] {{licensed|released|distributed|available}} under the [[terms of the]] gnu lesser general public license [[version {{1-2}}]]",
-    "mit": "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction",
-    "mit-notice": "{{licensed|released|distributed|available}} under the [[terms of the]] {{mit|expat}} license",
+    "agpl-header": f"{_GNU} gnu affero {_FSF} {_HOPE} see the gnu affero general public license for more details",
+    "gpl-header": f"{_GNU} gnu {_FSF} {_HOPE} see the gnu general public license for more details",
+    "gpl-notice": "[[this {{1-4}} is]] " + _GRANT + " gnu general public license [[version {{1-2}}]]",
+    "isc": "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies the software is provided as is and {{1-4}} disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness in no event shall {{1-4}} be liable for any special direct indirect or consequential damages or any damages whatsoever resulting from loss of use data or profits whether in an action of contract negligence or other tortious action arising out of or in connection with the use or performance of this software",
+    "lgpl-header": f"{_GNU} gnu {{{{lesser|library}}}} {_FSF} {_HOPE} see the gnu {{{{lesser|library}}}} general public license for more details",
+    "lgpl-notice": "[[this {{1-4}} is]] " + _GRANT + " gnu lesser general public license [[version {{1-2}}]]",
+    "mit": _MIT_OPENING + " including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions the above copyright notice and this permission notice [[including the next paragraph]] shall be included in all copies or substantial portions of the software the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement in no event shall the {{authors or copyright holders|copyright holders}} be liable for any claim damages or other liability whether in an action of contract tort or otherwise arising from out of or in connection with the software or the use or other dealings in the software",
+    "mit-notice": _GRANT + " {{mit|expat}} license",
+    "mit-opening": _MIT_OPENING,
     "mpl-notice": "[[this {{1-4}} is]] {{licensed|released|subject}} {{under|to}} the terms of the mozilla public license [[v {{1-2}}|version {{1-2}}]]",
     "public-domain": "this is free and unencumbered software released into the public domain",
     "reserved-notice": "copyright [[c]] [[{{1-2}}]] {{1-6}} all rights reserved",
 }
+#: Scores of a template that stands for a whole licence, header or notice, of one that is an opening only, and of a phrase alone.
+WHOLE, OPENING, PHRASE = 1.0, 0.75, 0.5
 
 #: Keeps 0-9, a-z and every byte of a longer character; A-Z are lower-cased; all else parts words.
 _WORDS = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -177,7 +195,7 @@ def scan(text: str | None, s: Scanner = Scanner()) -> tuple:
         if found := places(flat, phrase):
             at += found
             base.add(label)
-    spans, labels = set(), set(base)
+    spans, accepted = set(), set()
     for label, automaton in templates:
         tried: set[int] = set()
         done = 0
@@ -187,12 +205,13 @@ def scan(text: str | None, s: Scanner = Scanner()) -> tuple:
                     tried.add(start)
                     if (end := automaton.accept(words, start)) > p:
                         spans.add((start, end))
-                        labels.add(label)
+                        accepted.add(label)
                         done = end
                         break
     covered = sum(1 for _ in {k for a, b in spans for k in range(a, b)})
-    score = 1.0 if spans else 0.5 if at else 0.0
-    return len(words), len(at), min(at, default=None), max(at, default=None), ",".join(sorted(base)), ",".join(sorted(labels)), len(spans), covered, score
+    whole = any(not x.endswith("-opening") for x in accepted)
+    score = WHOLE if whole else OPENING if accepted else PHRASE if at else 0.0
+    return len(words), len(at), min(at, default=None), max(at, default=None), ",".join(sorted(base)), ",".join(sorted(base | accepted)), len(spans), covered, score
 
 
 _FIELDS = [("n_words", pa.int64()), ("n_base", pa.int64()), ("first_word", pa.int64()), ("last_word", pa.int64()), ("base_labels", pa.string()), ("labels", pa.string()), ("n_templates", pa.int64()), ("matched_words", pa.int64()), ("score", pa.float64())]
@@ -201,7 +220,7 @@ _FIELDS = [("n_words", pa.int64()), ("n_base", pa.int64()), ("first_word", pa.in
 def _scan(s: Scanner, id_col: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [scan(t, s) for t in batch.column("_text").to_pylist()]
+            rows = [scan(t, s) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(id_col), *(pa.array([r[k] for r in rows], t) for k, (_, t) in enumerate(_FIELDS))], [id_col, *(n for n, _ in _FIELDS)])
 
     return run
@@ -212,11 +231,13 @@ def scan_licenses(docs: DataFrame, scanner: Scanner = Scanner(), id_col: str = "
 
     ``n_base`` counts all places of all phrases; ``first_word`` and ``last_word`` are the smallest and largest
     word numbers at which one begins, null if there is none. ``labels`` are those of the phrases and of the
-    accepted templates. ``score`` is 1 if a template accepts, else 0.5 if a phrase stands, else 0. A null text
-    is empty. Other columns are not read.
+    accepted templates. ``score`` is 1 if a template accepts that stands for a whole licence, header or notice, 0.75 if only
+    the opening of a licence is there (whatever follows it departs from the licence), 0.5 if only a phrase stands, else 0.
+    A null or blank text has no words and nothing found. Repeated rows give equal rows, an empty table none; several
+    templates may accept the same words, and all labels stand. Other columns are not read.
     """
     ready(docs.sparkSession)
     kind = dict(docs.dtypes)[id_col]
     names = {pa.int64(): "long", pa.string(): "string", pa.float64(): "double"}
     schema = ", ".join([f"`{id_col}` {kind}", *(f"{n} {names[t]}" for n, t in _FIELDS)])
-    return docs.select(F.col(id_col), F.col(text_col).alias("_text")).mapInArrow(_scan(scanner, id_col), schema)
+    return docs.select(F.col(id_col), F.col(text_col).alias("text" if id_col != "text" else "text_")).mapInArrow(_scan(scanner, id_col), schema)

@@ -159,6 +159,33 @@ def test_licenses():
     assert s(long)[5] == "apache" and s(long)[0] == 50008
 
 
+def plain_wording(template):
+    """A template's text with its optional regions left out, its first alternatives and fewest words taken."""
+    import re
+
+    while (t := re.sub(r"\[\[[^\[\]]*\]\]", " ", template)) != template:
+        template = t
+    return re.sub(r"\{\{(.*?)\}\}", lambda m: "some " * int(m[1][0]) if re.fullmatch(r"\d+-\d+", m[1]) else m[1].split("|")[0], template).split()
+
+
+def test_whole_licenses_match_exactly():
+    s = licenses.scan
+    for label in ("mit", "isc", "bsd-2-clause", "bsd-3-clause", "apache-header", "gpl-header", "lgpl-header", "agpl-header"):
+        words = plain_wording(licenses.TEMPLATES[label])
+        found = s("x y. " + ", ".join(w.upper() for w in words) + " z")
+        assert label in found[5].split(",") and found[8] == 1.0, label
+        for k in (len(words) // 2, len(words) - 2):  # a mandatory word changed
+            if words[k] != "some":
+                found = s(" ".join([*words[:k], "not", *words[k + 1 :]]))
+                assert label not in found[5].split(",") and (label not in ("mit", "bsd-2-clause") or found[8] == 0.75), (label, words[k])
+    lgpl = s(" ".join(plain_wording(licenses.TEMPLATES["lgpl-header"])))
+    assert set(lgpl[5].split(",")) == {"gpl", "lgpl-header"}
+    three = s(" ".join(plain_wording(licenses.TEMPLATES["bsd-3-clause"])))
+    assert "bsd-2-clause" not in three[5]
+    mit = " ".join(plain_wording(licenses.TEMPLATES["mit"]))
+    assert s(mit.replace("without restriction", "without restriction except for war"))[5:9:3] == ("mit-opening", 0.75)
+
+
 def test_automaton_equals_regular_expression():
     import re
 
