@@ -26,8 +26,7 @@ def corpus_stopwords(idf: DataFrame, percentile: float = 0.10) -> DataFrame:
 def candidate_tokens(name: Column, stops: list[str]) -> Column:
     """Tokens of over three letters that are no stopwords; if there are none, of three; if none, the whole name."""
     w = words(name)
-    stop = F.array(*map(F.lit, stops)) if stops else F.array().cast("array<string>")
-    free = F.filter(w, lambda x: ~F.array_contains(stop, x))
+    free = F.filter(w, lambda x: ~x.isin(stops)) if stops else w  # many literals become one hash set
     long, three = F.filter(free, lambda x: F.length(x) > 3), F.filter(free, lambda x: F.length(x) >= 3)
     whole = F.lower(strip(name))
     return F.when(F.size(long) > 0, long).when(F.size(three) > 0, three).when(F.length(whole) >= 3, F.array(whole)).otherwise(F.array().cast("array<string>"))

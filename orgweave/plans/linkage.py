@@ -13,6 +13,7 @@ from ..operators.cluster import attach, disambiguate, star_clusters
 from ..operators.compare import add_gammas, comparisons, needed_columns
 from ..operators.model import default_settings
 from ..operators.score import add_scores, term_frequencies
+from ..sources.progress import progress
 from ..sources.staging import spread, stage
 
 LEAST = 0.5
@@ -46,7 +47,7 @@ def link(left: DataFrame, right: DataFrame, settings: dict | None = None, **opti
 def link_by_source(left: DataFrame, right: DataFrame, sources: list[str], **options) -> tuple[list[DataFrame], dict[str, str]]:
     """One plan for each source, where they must run apart; a source that fails is reported and skipped."""
     done, failed = [], {}
-    for s in sources:
+    for s in progress(sources, "sources"):
         try:
             done.append(link(left, right.where(F.col("source_table") == s), **options))
         except Exception as e:

@@ -11,6 +11,8 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .progress import timed
+
 ROOT = str(Path(__file__).resolve().parents[2])
 _written: list[tuple[SparkSession, str]] = []
 
@@ -24,9 +26,12 @@ def ready(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; only where that is unset, one of our own."""
+    """The folder in ``spark.checkpoint.dir``; only where that is unset and the master is local, one of our own."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = tempfile.mkdtemp(prefix="orgweave-")
         spark.conf.set("spark.checkpoint.dir", found)
         atexit.register(shutil.rmtree, found, True)
@@ -37,7 +42,8 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """Writes ``df`` to a table of its own and reads it back."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with timed(name):
+        df.write.parquet(path)
     if not _written:
         atexit.register(_clean)
     _written.append((spark, path))

@@ -239,3 +239,27 @@ def test_streaming(spark, tmp_path):
     q = score_stream(stream, left, lambda b: prepare.prepare([b], [left])[0], f"{tmp_path}/out", f"{tmp_path}/check")
     q.awaitTermination(120)
     assert spark.read.parquet(f"{tmp_path}/out").select("unique_id_r").distinct().count() >= 5
+
+
+def test_steps_are_timed_and_logged(spark, caplog):
+    import logging
+
+    from orgweave.sources import progress
+
+    with caplog.at_level(logging.INFO, logger="orgweave"):
+        assert progress.query(spark, "SELECT  id FROM\n range(5)").count() == 5
+        assert list(progress.progress("ab", "letters")) == ["a", "b"]
+        with pytest.raises(ValueError), progress.timed("bad"):
+            raise ValueError
+    said = caplog.text
+    assert "SELECT id FROM range(5): 5 rows" in said and "letters: 1 of 2 (50 %)" in said and "bad failed" in said
+
+
+def test_a_cluster_needs_a_shared_folder(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from orgweave.sources.staging import shared_dir
+
+    conf = SimpleNamespace(get=lambda k, d=None: d)
+    with pytest.raises(RuntimeError):
+        shared_dir(SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master="spark://host:7077")))
