@@ -43,6 +43,8 @@ BLOCK, FAN = 8192, 256
 HELD, MOST = 1 << 23, 1 << 13
 #: Tokens of one group that are multiplied at once.
 TILE = 32
+#: Vectors that one row of weights is laid along at once.
+RUN = 64
 #: Tokens that are dealt out together, about.
 PIECE = 1 << 14
 _PARTS = ("word", "place", "group", "group_bias", "member", "member_bias")
@@ -89,13 +91,13 @@ class Vocabulary(NamedTuple):
     log_class: np.ndarray
 
 
-def endings(w: textvec.Words) -> np.ndarray:
-    """For each word a hash of its last three bytes, lower-cased; not negative."""
-    low = textvec._lower()[w.buffer]
-    last = low[w.end - 1].astype(np.uint64)
-    size = w.end - w.start
-    second = np.where(size > 1, low[np.maximum(w.end - 2, 0)], 0).astype(np.uint64)
-    third = np.where(size > 2, low[np.maximum(w.end - 3, 0)], 0).astype(np.uint64)
+def endings(w: textvec.Words, at: np.ndarray) -> np.ndarray:
+    """For each word of those numbers a hash of its last three bytes, lower-cased; not negative."""
+    low, end = textvec._lower(), w.end[at]
+    size = end - w.start[at]
+    last = low[w.buffer[end - 1]].astype(np.uint64)
+    second = np.where(size > 1, low[w.buffer[np.maximum(end - 2, 0)]], 0).astype(np.uint64)
+    third = np.where(size > 2, low[w.buffer[np.maximum(end - 3, 0)]], 0).astype(np.uint64)
     return (textvec.mix(last | second << np.uint64(8) | third << np.uint64(16)) >> np.uint64(1)).astype(np.int64)
 
 
@@ -117,7 +119,7 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for rows, w in _texts(batches, "text"):
         ends += len(rows)
         h, at, n = np.unique(w.hash.view(np.int64), return_index=True, return_counts=True)
-        parts.append((h, endings(w)[at], n))
+        parts.append((h, endings(w, at), n))
         held += len(h)
         if held > 1 << 22:
             yield merged()
@@ -126,21 +128,44 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield merged()
 
 
-def encode(w: textvec.Words, v: Vocabulary) -> tuple[np.ndarray, ...]:
+class Places:
+    """Finds hashes in an ascending array by their first bits; only where several share these it searches."""
+
+    def __init__(self, hashes: np.ndarray):
+        self.hashes = hashes
+        self.shift = np.uint64(61 - len(hashes).bit_length())
+        slot = self._slot(hashes)
+        self.table = np.full(8 << len(hashes).bit_length(), -1, np.int32)
+        self.table[slot] = np.arange(len(hashes), dtype=np.int32)
+        self.table[slot[1:][slot[1:] == slot[:-1]]] = -2
+
+    def _slot(self, h: np.ndarray) -> np.ndarray:
+        # the sign turned, so that slots ascend with signed hashes
+        return ((h.view(np.uint64) ^ np.uint64(1 << 63)) >> self.shift).astype(np.int64)
+
+    def find(self, h: np.ndarray) -> np.ndarray:
+        """The place of each hash, -1 if absent."""
+        if not len(self.hashes):
+            return np.full(len(h), -1)
+        at = self.table[self._slot(h)].astype(np.int64)
+        several = np.flatnonzero(at == -2)
+        at[several] = np.minimum(np.searchsorted(self.hashes, h[several]), len(self.hashes) - 1)
+        at[self.hashes[at] != h] = -1  # an empty slot's -1 names the last hash, which the slot doesn't hold
+        return at
+
+
+def encode(w: textvec.Words, v: Vocabulary, places: Places | None = None) -> tuple[np.ndarray, ...]:
     """``(text, output, place)`` of each token; ``place`` is that of its word in ``hashes``, -1 if absent. An end stands after each text's words."""
     n_docs, n = len(w.first) - 1, len(w.hash)
-    h = w.hash.view(np.int64)
-    place = np.full(n, -1)
-    number = place
-    if len(v.hashes):
-        at = np.minimum(np.searchsorted(v.hashes, h), len(v.hashes) - 1)
-        place = np.where(v.hashes[at] == h, at, -1)
-        number = np.where(place >= 0, v.output[at], -1)
+    place = (places or Places(v.hashes)).find(w.hash.view(np.int64))
+    number = np.where(place >= 0, v.output[place], -1) if len(v.hashes) else place
     doc = np.repeat(np.arange(n_docs), np.diff(w.first))
     token = np.arange(n) + doc
     end = w.first[1:] + np.arange(n_docs)
     out, where, text = (np.empty(n + n_docs, np.int64) for _ in range(3))
-    out[token], out[end] = np.where(number >= 0, number, v.words + 1 + endings(w) % v.classes), v.words
+    rare = np.flatnonzero(number < 0)
+    out[token], out[end] = number, v.words
+    out[token[rare]] = v.words + 1 + endings(w, rare) % v.classes
     where[token], where[end] = place, -1
     text[token], text[end] = doc, np.arange(n_docs)
     return text, out, where
@@ -213,9 +238,17 @@ class Model:
         q = np.zeros((len(stream) - k, self.p.size), np.float32)
         one = np.empty_like(q)
         for i in range(k):
-            q += np.multiply(r[k - 1 - i : len(stream) - 1 - i], self.place[i], out=one)
+            q += _scaled(r[k - 1 - i : len(stream) - 1 - i], self.place[i], one)
         return r, q
 
+    def outer(self, sign: int, shift: np.ndarray) -> np.ndarray:
+        """Weights of groups with a bias, transposed."""
+        return np.column_stack([self.group * np.float32(sign), shift]).T
+
+    def inner(self, tile: np.ndarray, sign: int, shift: np.ndarray) -> np.ndarray:
+        """Weights of the members of the tiles' groups with a bias, transposed."""
+        return np.concatenate([self.member * np.float32(sign), shift[:, :, None]], axis=2)[tile].transpose(0, 2, 1)
+
     def log_probability(self, stream: np.ndarray) -> np.ndarray:
         """Natural logarithms for all tokens of a stream but the first ``context``; those of pads are 0."""
         k = self.p.context
@@ -227,10 +260,9 @@ class Model:
             y = part[k:][live]
             order, g, tile, at = _tiles(self.group_of[y], len(self.group))
             live, y = live[order], y[order]
-            q = q[live]
-            got = _log_softmax(q @ self.group.T + self.group_bias, np.arange(len(y)), g)
-            x = _dealt(q, tile, at) @ self.member[tile].transpose(0, 2, 1)
-            x += self.member_bias[tile][:, None, :]
+            q = _biased(q, live)
+            got = _log_softmax(q @ self.outer(1, self.group_bias), np.arange(len(y)), g)
+            x = _dealt(q, tile, at) @ self.inner(tile, 1, self.member_bias)
             got += _log_softmax(x.reshape(-1, x.shape[2]), at, self.slot_of[y])
             out[a + live] = got
         return out
@@ -251,36 +283,35 @@ class Model:
             return
         order, g, tile, at = _tiles(self.group_of[y], len(self.group))
         live, y = live[order], y[order]
-        q, row = q[live], np.arange(len(y))
+        q, row, size = _biased(q, live), np.arange(len(y)), self.p.size
         share = np.float32(len(y))
-        error = _nce(q @ -self.group.T, self.log_outer - self.group_bias, self.outer_noise / share, row, g, share)
+        error = _nce(q @ self.outer(-1, self.log_outer - self.group_bias), self.outer_noise / share, row, g, share)
         dq = error @ self.group
-        d_group, d_group_bias = error.T @ q, error.sum(axis=0)
-        d_member, d_bias = np.zeros_like(self.member), np.zeros_like(self.member_bias)
-        dealt, member = _dealt(q, tile, at), self.member[tile]
-        x = dealt @ -member.transpose(0, 2, 1)
-        error = _nce(x, (self.log_inner - self.member_bias)[tile][:, None, :], (self.inner_noise / share)[tile][:, None, :], at, self.slot_of[y], share)
+        d_group = error.T @ q
+        d_member = np.zeros((*self.member_bias.shape, size + 1), np.float32)
+        dealt = _dealt(q, tile, at)
+        x = dealt @ self.inner(tile, -1, self.log_inner - self.member_bias)
+        error = _nce(x, (self.inner_noise / share)[tile][:, None, :], at, self.slot_of[y], share)
         empty = np.ones(len(tile) * TILE, bool)
         empty[at] = False
         error.reshape(-1, error.shape[2])[empty] = 0
-        dq += (error @ member).reshape(-1, self.p.size)[at]
+        dq += (error @ self.member[tile]).reshape(-1, size)[at]
         first = np.flatnonzero(np.concatenate([[True], tile[1:] != tile[:-1]]))
         d_member[tile[first]] = np.add.reduceat(error.transpose(0, 2, 1) @ dealt, first, axis=0)
-        d_bias[tile[first]] = np.add.reduceat(error.sum(axis=1), first, axis=0)
         full = np.zeros((len(stream) - k, self.p.size), np.float32)
         full[live] = dq
         dr, d_place, one = np.zeros_like(r), np.empty_like(self.place), np.empty_like(full)
         for i in range(k):
             x = slice(k - 1 - i, len(stream) - 1 - i)
-            dr[x] += np.multiply(full, self.place[i], out=one)
-            d_place[i] = np.einsum("ij,ij->j", full, r[x])
-        order = np.argsort(stream, kind="stable")
+            dr[x] += _scaled(full, self.place[i], one)
+            d_place[i] = _product_sums(full, r[x])
+        order = np.argsort(stream.astype(np.uint16) if self.pad < 1 << 16 else stream, kind="stable")
         ordered = stream[order]
         first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
         rows, d_word = ordered[first], np.add.reduceat(dr[order], first, axis=0)
         self._word[rows] += d_word**2
         self.word[rows] -= rate * d_word / np.sqrt(self._word[rows])
-        for name, d in (("place", d_place), ("group", d_group), ("group_bias", d_group_bias), ("member", d_member), ("member_bias", d_bias)):
+        for name, d in (("place", d_place), ("group", d_group[:, :size]), ("group_bias", d_group[:, size]), ("member", d_member[:, :, :size]), ("member_bias", d_member[:, :, size])):
             seen = getattr(self, f"_{name}")
             seen += d * d
             d *= rate
@@ -288,6 +319,32 @@ class Model:
             getattr(self, name).__isub__(d)
 
 
+def _runs(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows joined by ``RUN`` to long rows, and those left over."""
+    whole = len(x) // RUN * RUN
+    return x[:whole].reshape(-1, RUN * x.shape[1]), x[whole:]
+
+
+def _scaled(x: np.ndarray, weights: np.ndarray, out: np.ndarray) -> np.ndarray:
+    """Each row times the weights, into ``out``."""
+    for part, to, by in zip(_runs(x), _runs(out), (np.tile(weights, RUN), weights), strict=True):
+        np.multiply(part, by, out=to)
+    return out
+
+
+def _product_sums(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """The sums of the columns of ``x * y``."""
+    (long_x, short_x), (long_y, short_y) = _runs(x), _runs(y)
+    return np.einsum("ij,ij->j", long_x, long_y).reshape(RUN, -1).sum(axis=0) + np.einsum("ij,ij->j", short_x, short_y)
+
+
+def _biased(q: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Those rows with a last column of ones, whose weights are biases."""
+    out = np.ones((len(rows), q.shape[1] + 1), np.float32)
+    out[:, :-1] = q[rows]
+    return out
+
+
 def _tiles(g: np.ndarray, groups: int) -> tuple[np.ndarray, ...]:
     """Deals tokens to tiles of one group each: their order, their groups in it, the tiles' groups, and each token's place in the tiles."""
     order = np.argsort(g, kind="stable")
@@ -308,19 +365,18 @@ def _log_softmax(x: np.ndarray, row: np.ndarray, target: np.ndarray) -> np.ndarr
     """The logarithms of the targets' shares of their rows; the largest value is taken off only against overflow."""
     true = x[row, target].astype(np.float64)
     with np.errstate(over="ignore"):
-        total = np.exp(x).sum(axis=1, dtype=np.float32)[row]
+        total = (np.exp(x) @ np.ones(x.shape[1], np.float32))[row]
     if not (np.isfinite(total) & (total > 0)).all():
         most = x.max(axis=1, keepdims=True)
         total, true = np.exp(x - most).sum(axis=1)[row], true - most[row, 0]
     return true - np.log(total.astype(np.float64))
 
 
-def _nce(x: np.ndarray, shift: np.ndarray, noise: np.ndarray, row: np.ndarray, target: np.ndarray, share: np.float32) -> np.ndarray:
-    """Turns negated products into the gradient by the logits: rows have their true output once and all outputs at their expected number as noise.
+def _nce(x: np.ndarray, noise: np.ndarray, row: np.ndarray, target: np.ndarray, share: np.float32) -> np.ndarray:
+    """Turns the noise's logarithms less the logits into the gradient by these: rows have their true output once and all outputs at their expected number as noise.
 
-    ``shift`` is the noise's logarithm less the bias, ``noise`` and the result are parted by ``share``.
+    ``noise`` and the result are parted by ``share``.
     """
-    x += shift
     with np.errstate(over="ignore"):
         np.exp(x, out=x)  # the probability of being no noise is 1 / (1 + x)
     x += 1
@@ -336,8 +392,9 @@ def _encoded(shared, width: str):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = shared.value
+        places = Places(vocabulary.hashes)
         for _, w in _texts(batches, "text"):
-            text, out, _ = encode(w, vocabulary)
+            text, out, _ = encode(w, vocabulary, places)
             size = np.bincount(text, minlength=len(w.first) - 1)
             piece = (np.cumsum(size) - size) // PIECE
             first = np.flatnonzero(np.concatenate([[True], piece[1:] != piece[:-1]]))
@@ -458,14 +515,14 @@ def _score(p: Lbl, shared, id_type: pa.DataType):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v, model = shared.value
         log_count = np.log10(np.append(v.counts, 0) + 1.0)
+        places = Places(v.hashes)
+        end_place = places.find(np.array([END]))[0]
         at = TaskContext.get().partitionId() << 36
         for rows, w in _texts(batches, "id", "held_out", "text"):
-            text, out, place = encode(w, v)
+            text, out, place = encode(w, v, places)
             n = len(rows)
             end = out == v.words
-            if len(v.hashes):
-                place[end] = np.minimum(np.searchsorted(v.hashes, END), len(v.hashes) - 1)
-                place[end & (v.hashes[place] != END)] = -1
+            place[end] = end_place
             ours = place >= 0
             plain = np.where(ours, log_count[place], 0.0)
             inner = out > v.words
