@@ -1,4 +1,4 @@
-"""Jaro-Winkler and Metaphone, which Spark lacks, as Arrow functions that remember values seen before."""
+"""Jaro-Winkler and Metaphone, which Spark lacks, as Arrow functions: the one over arrays of pairs, the other remembers words."""
 
 from __future__ import annotations
 
@@ -14,7 +14,6 @@ from pyspark.sql.types import DoubleType, StringType
 from ..sources.staging import ready
 
 
-@lru_cache(1 << 16)
 def jaro_winkler_bytes(a: bytes, b: bytes) -> float:
     """On bytes, with a prefix of four at most, weight 0.1, and only where Jaro is over 0.7."""
     if a == b:
@@ -47,6 +46,54 @@ def jaro_winkler_bytes(a: bytes, b: bytes) -> float:
     return jaro + 0.1 * same * (1 - jaro)
 
 
+#: Bytes of a text whose places fit one word.
+PLACES = 64
+
+
+def _padded(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Texts as rows of ``PLACES`` bytes, and their lengths."""
+    rows = np.frombuffer(b"".join(x.ljust(PLACES, b"\0") for x in texts), np.uint8).reshape(-1, PLACES)
+    return rows, np.array([len(x) for x in texts], np.int64)
+
+
+def _low_bits(n: np.ndarray) -> np.ndarray:
+    """Words with that many low bits set, 0 to 64."""
+    n = np.clip(n, 0, PLACES)
+    return np.where(n >= PLACES, ~np.uint64(0), (np.uint64(1) << np.minimum(n, PLACES - 1).astype(np.uint64)) - np.uint64(1))
+
+
+def jaro_winkler_many(a: list[bytes], b: list[bytes]) -> np.ndarray:
+    """``jaro_winkler_bytes`` of many pairs at once; texts of over ``PLACES`` bytes go one by one.
+
+    A word for each pair marks the places of ``b`` that are taken. Byte by byte of ``a``, each takes the first free equal
+    place in its reach.
+    """
+    out = np.empty(len(a))
+    short = np.array([0 < len(x) <= PLACES and 0 < len(y) <= PLACES for x, y in zip(a, b, strict=True)], bool)
+    for k in np.flatnonzero(~short):
+        out[k] = jaro_winkler_bytes(a[k], b[k])
+    rows = np.flatnonzero(short)
+    if not len(rows):
+        return out
+    (x, n), (y, m) = _padded([a[k] for k in rows]), _padded([b[k] for k in rows])
+    reach = np.maximum(np.maximum(n, m) // 2 - 1, 0)
+    taken, mine = np.zeros(len(rows), np.uint64), np.zeros((len(rows), PLACES), bool)
+    for i in range(int(n.max())):
+        equal = np.packbits(y == x[:, i : i + 1], axis=1, bitorder="little").view("<u8")[:, 0]
+        window = _low_bits(np.minimum(m, i + reach + 1)) & ~_low_bits(i - reach)
+        free = np.where(i < n, equal & window & ~taken, np.uint64(0))
+        taken |= free & (~free + np.uint64(1))
+        mine[:, i] = free != 0
+    theirs = np.unpackbits(taken.astype("<u8")[:, None].view(np.uint8), axis=1, bitorder="little").view(bool)
+    k = mine.sum(axis=1)
+    moved = np.repeat(np.arange(len(rows)), k)[x[mine] != y[theirs]]
+    swaps = np.bincount(moved, minlength=len(rows)) // 2
+    jaro = np.where(k > 0, (k / n + k / m + (k - swaps) / np.maximum(k, 1)) / 3, 0.0)
+    prefix = np.cumprod((x[:, :4] == y[:, :4]) & (np.arange(4) < np.minimum(n, m)[:, None]), axis=1).sum(axis=1)
+    out[rows] = np.where(jaro > 0.7, jaro + 0.1 * prefix * (1 - jaro), jaro)
+    return out
+
+
 def _byte_matrix(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Counts of each byte in each text, and the first four bytes."""
     length = np.array([len(x) for x in texts])
@@ -71,8 +118,13 @@ def _jaro_winkler(a: pa.Array, b: pa.Array, least: pa.Array) -> pa.Array:
     out: list[float | None] = [None] * len(a)
     for start in range(0, len(known), 2048):  # bounds the byte counts
         xs, ys = x[start : start + 2048], y[start : start + 2048]
-        for k in np.flatnonzero(may_reach(xs, ys, least[0].as_py())):
-            out[known[start + k]] = jaro_winkler_bytes(xs[k], ys[k])
+        open_ = np.array([max(len(p), len(q)) <= PLACES for p, q in zip(xs, ys, strict=True)], bool)
+        far = np.flatnonzero(~open_)
+        if len(far):
+            open_[far] = may_reach([xs[k] for k in far], [ys[k] for k in far], least[0].as_py())
+        near = np.flatnonzero(open_)
+        for k, v in zip(near, jaro_winkler_many([xs[k] for k in near], [ys[k] for k in near]).tolist(), strict=True):
+            out[known[start + k]] = v
     return pa.array(out, pa.float64())
 
 
@@ -86,9 +138,9 @@ def upper_bound(a: Column, b: Column) -> Column:
 def add_similarity(pairs: DataFrame, a: str, b: str, out: str, least: float = 0.0) -> DataFrame:
     """``pairs`` with the Jaro-Winkler similarity of two columns.
 
-    Computed only for unequal texts whose lengths, bytes and prefix allow ``least``; other unequal ones get null,
-    equal texts 1.
-    Callers compare with at least ``least``. Nothing is shuffled: pairs that repeat are remembered in each worker.
+    Computed only for unequal texts whose lengths, and if one is long also bytes and prefix, allow ``least``; other
+    unequal ones get null, equal texts 1.
+    Callers compare with at least ``least``. Nothing is shuffled: a block of pairs is computed by whole arrays.
     """
     ready(pairs.sparkSession)
     x, y = F.col(a), F.col(b)

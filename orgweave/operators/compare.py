@@ -86,7 +86,7 @@ def gamma(c: Comparison) -> Column:
 def add_gammas(pairs: DataFrame, found: list[Comparison]) -> DataFrame:
     """``pairs`` with a ``gamma_`` column for each comparison.
 
-    Jaro-Winkler is computed beforehand for distinct pairs of values that may reach the lowest level.
+    Jaro-Winkler is computed beforehand, for the pairs of values that may reach the lowest level.
     """
     least: dict[str, float] = {}
     for c in found:

@@ -242,7 +242,17 @@ def contains_filter(spark, d):
     return entities.documents(spark, d).where(t.contains_text(F.col("name"), "The")).select("unique_id")
 
 
-@query("soundex_codes")
+def _soundex_sql(x: str) -> str:
+    """Soundex of a lower-case word by nested replacements: codes of letters, H and W left out, runs made one, the vowels dropped."""
+    codes = f"translate(regexp_replace({x}, '[^a-z]', 'a', 'g'), 'abcdefghijklmnopqrstuvwxyz', '01230127022455012623017202')"
+    codes = f"regexp_replace({codes}, '^7', '0')"
+    codes = f"replace({codes}, '7', '')"
+    for k in range(7):
+        codes = f"regexp_replace({codes}, '{k}+', '{k}', 'g')"
+    return f"CASE WHEN regexp_matches({x}, '^[a-z]') THEN upper(left({x}, 1)) || rpad(left(replace(substring({codes}, 2), '0', ''), 3), 3, '0') ELSE {x} END"
+
+
+@query("soundex_codes", f"WITH w AS (SELECT DISTINCT unnest({sql_words('p_name')}) AS word FROM part), f AS (SELECT word, translate(lower(word), '{t.ACCENTED}', '{t.PLAIN}') AS x FROM w) SELECT word, {_soundex_sql('x')} AS soundex FROM f")
 def soundex_codes(spark, d):
     words = read(spark, d, "part").select(F.explode(t.words(F.col("p_name"))).alias("word")).distinct()
     return words.select("word", t.soundex(F.col("word")).alias("soundex"))
@@ -306,7 +316,10 @@ def value_counts_top5(spark, d):
     return profile.value_counts(read(spark, d, "events"), "event_type", 5)
 
 
-@query("describe_table")
+_CUSTOMER = {"c_custkey": "bigint", "c_name": "string", "c_nationkey": "int", "c_acctbal": "double", "c_mktsegment": "string"}
+
+
+@query("describe_table", " UNION ALL ".join(f"SELECT '{c}' AS field, '{k}' AS type, round(100.0::DOUBLE * (count(*) - count({c})) / count(*), 1) AS null_pct, count(*) AS n_rows FROM customer" for c, k in _CUSTOMER.items()))
 def describe_table(spark, d):
     return profile.describe(read(spark, d, "customer"))
 
@@ -417,15 +430,31 @@ def _case(c, value) -> str:
     return f"CASE {' '.join(whens)} ELSE {value(0, c.levels[-1])} END"
 
 
-_WIDE = "g0 AS (SELECT p.*, " + ", ".join(f"l.{c} AS {c}_l, r.{c} AS {c}_r" for c in sorted({*_NEED, "name"})) + " FROM p JOIN l ON p.unique_id_l = l.unique_id JOIN r ON p.unique_id_r = r.unique_id)"
-_GAMMAS = "g AS (SELECT *, " + ", ".join(f"({_case(c, lambda k, x: k)})::INT AS gamma_{c.name}" for c in _FOUND) + " FROM g0)"
+def _wide(need: list[str]) -> str:
+    return "g0 AS (SELECT p.*, " + ", ".join(f"l.{c} AS {c}_l, r.{c} AS {c}_r" for c in sorted({*need, "name"})) + " FROM p JOIN l ON p.unique_id_l = l.unique_id JOIN r ON p.unique_id_r = r.unique_id)"
+
+
+def _gammas(found: list) -> str:
+    return "g AS (SELECT *, " + ", ".join(f"({_case(c, lambda k, x: k)})::INT AS gamma_{c.name}" for c in found) + " FROM g0)"
+
+
+def _step(c) -> str:
+    return f"CASE gamma_{c.name} " + " ".join(f"WHEN {k} THEN {match_weight(x.m, x.u)!r}::DOUBLE" for k, x in c.gammas) + " ELSE 0 END"
+
+
+_WIDE, _GAMMAS = _wide(_NEED), _gammas(_FOUND)
 _TF = "tf AS (SELECT name_normalized AS value, count(*)::DOUBLE / (SELECT count(*) FROM f WHERE name_normalized IS NOT NULL) AS tf FROM f WHERE name_normalized IS NOT NULL GROUP BY 1)"
 _EXACT = next(x for c in _FOUND for x in c.levels if x.tf_column)
-_WEIGHTS = " + ".join("CASE gamma_" + c.name + " " + " ".join(f"WHEN {k} THEN {match_weight(x.m, x.u)!r}::DOUBLE" for k, x in c.gammas) + " ELSE 0 END" for c in _FOUND)
-_SCORES = f"""s0 AS (SELECT g.*, {log2(PRIOR / (1 - PRIOR))!r}::DOUBLE + {_WEIGHTS} + CASE WHEN gamma_name_normalized = 4 THEN log2({_EXACT.u!r}::DOUBLE / greatest(a.tf, b.tf)) ELSE 0 END AS match_weight
+_PRIOR_WEIGHT = f"{log2(PRIOR / (1 - PRIOR))!r}::DOUBLE"
+
+
+def _scores(found: list) -> str:
+    return f"""s0 AS (SELECT g.*, {_PRIOR_WEIGHT} + {' + '.join(map(_step, found))} + CASE WHEN gamma_name_normalized = 4 THEN log2({_EXACT.u!r}::DOUBLE / greatest(a.tf, b.tf)) ELSE 0 END AS match_weight
 FROM g LEFT JOIN tf a ON a.value = name_normalized_l LEFT JOIN tf b ON b.value = name_normalized_r),
 s AS (SELECT *, 1 / (1 + pow(2.0::DOUBLE, -match_weight)) AS match_probability FROM s0)"""
-_SCORED_SQL = f"WITH {SQL_TOKENS}, {_SIDES.format('f')}, {_PAIRS}, {_WIDE}, {_GAMMAS}, {_TF}, {_SCORES}"
+
+
+_SCORED_SQL = f"WITH {SQL_TOKENS}, {_SIDES.format('f')}, {_PAIRS}, {_WIDE}, {_GAMMAS}, {_TF}, {_scores(_FOUND)}"
 
 
 def _pairs(spark, d):
@@ -480,12 +509,42 @@ def score_waterfall(spark, d):
     return score.waterfall(_full_scored(spark, d)[2], _FULL, PRIOR)
 
 
-# The whole model: all rules and comparisons, phonetic ones too, which have no SQL here.
+# The whole model: all rules and comparisons, phonetic ones too. SQL has Soundex and so all nine comparisons, but no
+# Metaphone and so three of the four rules.
 
 _FULL = comparisons(default_settings())
 _FULL_NEED = sorted({*needed_columns(_FULL), "name"})
 
 
+_NINE_SQL = f"""WITH {SQL_TOKENS}, fx AS (SELECT *, translate(lower(distinctive_token), '{t.ACCENTED}', '{t.PLAIN}') AS x FROM f), f9 AS (SELECT *, {_soundex_sql('x')} AS distinctive_soundex FROM fx),
+{_SIDES.format('f9')}, {_PAIRS}, {_wide(needed_columns(_FULL))}, {_gammas(_FULL)}, {_TF}, {_scores(_FULL)}"""
+
+
+def _nine(spark, d):
+    l, r = _tokens(spark, d)
+    pairs = add_gammas(blocking.block(l, r, RULES, sorted({*needed_columns(_FULL), "name"})), _FULL)
+    return score.add_scores(pairs, _FULL, PRIOR, {"name_normalized": score.term_frequencies([l, r], "name_normalized")}, None)
+
+
+@query("gamma_vectors_nine", f"{_NINE_SQL} SELECT unique_id_l, unique_id_r, {', '.join(f'gamma_{c.name}' for c in _FULL)} FROM g")
+def gamma_vectors_nine(spark, d):
+    """All nine comparisons, of the pairs of three rules."""
+    return _nine(spark, d).select("unique_id_l", "unique_id_r", *(f"gamma_{c.name}" for c in _FULL))
+
+
+@query("score_pairs_nine", f"{_NINE_SQL} SELECT unique_id_l, unique_id_r, round(match_weight, 6) AS match_weight, round(match_probability, 9) AS match_probability FROM s")
+def score_pairs_nine(spark, d):
+    return _nine(spark, d).select("unique_id_l", "unique_id_r", F.round("match_weight", 6).alias("match_weight"), F.round("match_probability", 9).alias("match_probability"))
+
+
+_STEPS = " UNION ALL ".join(f"SELECT unique_id_l, unique_id_r, {k} AS place, '{name}' AS step, round({w}, 9) AS weight FROM g" for k, (name, w) in enumerate([("prior", _PRIOR_WEIGHT), *((c.name, _step(c)) for c in _FULL)]))
+
+
+@query("score_waterfall_nine", f"{_NINE_SQL} {_STEPS}")
+def score_waterfall_nine(spark, d):
+    return score.waterfall(_nine(spark, d), _FULL, PRIOR).withColumn("weight", F.round("weight", 9))
+
+
 def _full_tokens(spark, d):
     e = entities.documents(spark, d)
     return entities.sides(spread(stage(features(e, tokens.token_idf(e)), "features")))
@@ -742,11 +801,17 @@ def _fill(parts: list[str]) -> str:
     return " || ".join(x for pair in zip((f"'{x}'" for x in texts), [*parts, ""], strict=True) for x in pair if x)
 
 
-@query("prompt_text", f"WITH {SQL}, {_SIDES.format('e')} SELECT l.unique_id AS unique_id_l, r.unique_id AS unique_id_r, md5({_fill(['r.city', 'r.name', 'l.name', "array_to_string(list_slice(l.all_names, 1, 3), ', ')", 'l.city', 'l.country_code'])}) AS prompt_md5 FROM l JOIN r USING (ror_id)")
+_CONTEXTS = {"web": {"description": "Pages of the web.", "key_fields": ["name", "city"], "notes": "Names are often shortened."}, "b.*": {"description": "Books.", "key_fields": [], "notes": ""}}
+_CONTEXT_SQL = "CASE WHEN r.city = 'web' THEN 'Pages of the web. Telling fields: name, city. Names are often shortened.' WHEN starts_with(r.city, 'b') THEN 'Books.' ELSE 'Unknown source table. No specific context available for this source.' END"
+_PARTS = ["r.city", "r.name", "coalesce(" + _CONTEXT_SQL + ", '')", "CASE WHEN r.country_code <> '' THEN 'email: ' || r.country_code ELSE 'None' END", "l.name", "array_to_string(list_slice(l.all_names, 1, 3), ', ')", "l.city", "l.country_code"]
+
+
+@query("prompt_text", f"WITH {SQL}, {_SIDES.format('e')} SELECT l.unique_id AS unique_id_l, r.unique_id AS unique_id_r, md5({_fill(_PARTS)}) AS prompt_md5 FROM l JOIN r USING (ror_id)")
 def prompt_text(spark, d):
     l, r = entities.sides(entities.documents(spark, d))
     x = l.alias("l").join(r.alias("r"), F.col("l.ror_id") == F.col("r.ror_id"))
-    text = judge.prompt(F.col("r.city"), F.col("r.name"), F.col("l.name"), F.col("l.all_names"), F.col("l.city"), F.col("l.country_code"))
+    known = F.create_map(F.lit("email"), F.col("r.country_code"), F.lit("other"), F.lit("never shown"))
+    text = judge.prompt(F.col("r.city"), F.col("r.name"), F.col("l.name"), F.col("l.all_names"), F.col("l.city"), F.col("l.country_code"), judge.context_text(F.col("r.city"), _CONTEXTS), judge.metadata_text(known))
     return x.select(F.col("l.unique_id").alias("unique_id_l"), F.col("r.unique_id").alias("unique_id_r"), F.md5(text.cast("binary")).alias("prompt_md5"))
 
 

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from orgweave.functions import text as t
-from orgweave.functions.similarity import jaro_winkler_bytes, may_reach, metaphone_word
+from orgweave.functions.similarity import jaro_winkler_bytes, jaro_winkler_many, may_reach, metaphone_word
 from orgweave.operators import cluster, compare, judge, model, profile, report, score, tokens, train
 from orgweave.operators.filters import filter_bad_records
 from orgweave.plans import linkage, prepare
@@ -67,6 +67,13 @@ def test_jaro_winkler_equals_duckdb():
         can = may_reach([a.encode() for a, _ in pairs], [b.encode() for _, b in pairs], least)
         assert all(c or w < least for c, (w,) in zip(can, want, strict=True)) and not can.all()
     assert jaro_winkler_bytes(b"abcd", b"abxyzwqr") == pytest.approx(0.5833333333333334)
+    rng = random.Random(5)
+    text = lambda: "".join(rng.choice("abcé ") for _ in range(rng.randint(0, 70))).encode()
+    left = [text() for _ in range(600)]
+    right = [x[: rng.randint(0, 70)] + text()[:9] if k % 2 else text() for k, x in enumerate(left)]
+    left, right = [*left, b"\0ab", b"ab"], [*right, b"ab", b"ab\0"]
+    assert jaro_winkler_many(left, right).tolist() == [jaro_winkler_bytes(x, y) for x, y in zip(left, right, strict=True)]
+    assert jaro_winkler_many([], []).tolist() == []
 
 
 def test_metaphone():
@@ -169,6 +176,15 @@ def test_judge(spark):
     assert judge.ask(spark.createDataFrame([("p",)], "prompt string"), lambda x: 1 / 0, wait=0.01).first()["response"].startswith("error: ")
     assert judge.source_context("a.b", {"a.*": {"notes": "x"}})["notes"] == "x" and judge.source_context("z", {}) == judge.UNKNOWN_SOURCE
     m = spark.range(1).select(F.create_map(*map(F.lit, ("email", "a@b", "class", "", "name_aliases", "x, y,,z"))).alias("m"))
+    assert m.select(judge.metadata_text(F.col("m"))).first()[0] == "email: a@b; aliases: x, y, z"
+    contexts = {"a.*": {"description": "All of a."}, "a.b": {"description": "Only a.b.", "key_fields": ["name", "city"]}}
+    sources = spark.createDataFrame([("a.b",), ("a.c",), ("z",), (None,)], "s string").select(judge.context_text(F.col("s"), contexts))
+    unknown = "Unknown source table. No specific context available for this source."
+    assert [r[0] for r in sources.collect()] == ["Only a.b. Telling fields: name, city.", "All of a.", unknown, unknown]
+    found = spark.createDataFrame([("l1", "r1", "Ab Ltd", "a.c", {"email": "a@b", "noise": "n"})], "unique_id_l string, unique_id_r string, name_r string, source_table string, metadata map<string,string>")
+    known = spark.createDataFrame([("l1", "Ab", ["Ab", "AB"], "Oslo", "NO")], "unique_id string, name string, all_names array<string>, city string, country_code string")
+    out = judge.judge(found, known, lambda x: '{"match": true, "reason": "%s"}' % ("All of a." in x and "email: a@b" in x and "noise" not in x and "Oslo, NO" in x), contexts=contexts).first()
+    assert out["llm_match"] and out["llm_reason"] == "True"
     assert m.select(judge.useful_metadata(F.col("m")), judge.useful_aliases(F.col("m"))).first()[:] == ({"email": "a@b"}, ["x", "y", "z"])
 
 
