@@ -1,15 +1,13 @@
-"""Jaro-Winkler and Metaphone, which Spark lacks, as Arrow functions: the one over arrays of pairs, the other remembers words."""
+"""Jaro-Winkler and Metaphone, which Spark lacks: the one an Arrow function over arrays of pairs, the other an expression."""
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StringType
+from pyspark.sql.types import DoubleType
 
 from ..sources.staging import ready
 
@@ -148,80 +146,48 @@ def add_similarity(pairs: DataFrame, a: str, b: str, out: str, least: float = 0.
     return pairs.withColumn(out, F.when(x == y, F.lit(1.0)).otherwise(_jaro_winkler(F.when(open_, x), F.when(open_, y), F.lit(float(least)))))
 
 
-_VOWELS = set("AEIOU")
-
-
-@lru_cache(1 << 16)
-def metaphone_word(text: str) -> str:
-    """Metaphone of one word by Philips's rules of 1990."""
-    w = "".join(c for c in text.upper() if "A" <= c <= "Z")
-    for start, to in (("AE", "E"), ("GN", "N"), ("KN", "N"), ("PN", "N"), ("WR", "R"), ("X", "S"), ("WH", "W")):
-        if w.startswith(start):
-            w = to + w[len(start) :]
-            break
-    out: list[str] = []
-
-    def at(k: int) -> str:
-        return w[k] if 0 <= k < len(w) else ""
-
-    for k, c in enumerate(w):
-        if c == at(k - 1) and c != "C":
-            continue
-        after = at(k + 1)
-        if c in _VOWELS:
-            code = c if k == 0 else ""
-        elif c == "B":
-            code = "" if k == len(w) - 1 and at(k - 1) == "M" else "B"
-        elif c == "C":
-            if after and after in "IEY":
-                code = "X" if w[k : k + 3] == "CIA" else "" if at(k - 1) == "S" else "S"
-            elif after == "H":
-                code = "K" if at(k - 1) == "S" else "X"
-            else:
-                code = "K"
-        elif c == "D":
-            code = "J" if after == "G" and at(k + 2) and at(k + 2) in "EIY" else "T"
-        elif c == "G":
-            if after == "H":
-                code = "K" if at(k + 2) in _VOWELS and at(k + 2) else ""
-            elif after == "N":
-                code = "" if k + 2 == len(w) or w[k:] == "GNED" else "K"
-            elif after and after in "IEY" and at(k - 1) != "G":
-                code = "" if at(k - 1) == "D" else "J"
-            else:
-                code = "K"
-        elif c == "H":
-            code = "H" if after in _VOWELS and after and not (at(k - 1) and at(k - 1) in "CSPTG") else ""
-        elif c == "K":
-            code = "" if at(k - 1) == "C" else "K"
-        elif c == "P":
-            code = "F" if after == "H" else "P"
-        elif c == "Q":
-            code = "K"
-        elif c == "S":
-            code = "X" if after == "H" or w[k : k + 3] in ("SIO", "SIA") else "S"
-        elif c == "T":
-            code = "X" if w[k : k + 3] in ("TIA", "TIO") else "0" if after == "H" else "" if w[k : k + 3] == "TCH" else "T"
-        elif c == "V":
-            code = "F"
-        elif c in "WY":
-            code = c if after in _VOWELS and after else ""
-        elif c == "X":
-            code = "KS"
-        elif c == "Z":
-            code = "S"
-        else:
-            code = c
-        out.append(code)
-    return "".join(out)
-
-
-@F.arrow_udf(returnType=StringType())
-def _metaphone(a: pa.Array) -> pa.Array:
-    return pa.array([None if x is None else metaphone_word(x) for x in a.to_pylist()], pa.string())
+# Philips's rules of 1990, as SQL that more than one engine reads: the code of each letter but vowels. x.p, x.c, x.n and x.m
+# are the letter before, the letter, and the two after it; x.r is five from the letter on. Outside the word are blanks.
+_VOWELS = "('A', 'E', 'I', 'O', 'U')"
+_CODES = {
+    "B": "CASE WHEN x.p = 'M' AND x.n = ' ' THEN '' ELSE 'B' END",
+    "C": "CASE WHEN x.n = 'I' AND x.m = 'A' THEN 'X' WHEN x.n IN ('I', 'E', 'Y') THEN CASE WHEN x.p = 'S' THEN '' ELSE 'S' END WHEN x.n = 'H' AND x.p <> 'S' THEN 'X' ELSE 'K' END",
+    "D": "CASE WHEN x.n = 'G' AND x.m IN ('E', 'I', 'Y') THEN 'J' ELSE 'T' END",
+    "G": f"CASE WHEN x.n = 'H' THEN CASE WHEN x.m IN {_VOWELS} THEN 'K' ELSE '' END WHEN x.n = 'N' THEN CASE WHEN x.m = ' ' OR x.r = 'GNED ' THEN '' ELSE 'K' END WHEN x.n IN ('I', 'E', 'Y') THEN CASE WHEN x.p = 'D' THEN '' ELSE 'J' END ELSE 'K' END",
+    "H": f"CASE WHEN x.n IN {_VOWELS} AND x.p NOT IN ('C', 'S', 'P', 'T', 'G') THEN 'H' ELSE '' END",
+    "K": "CASE WHEN x.p = 'C' THEN '' ELSE 'K' END",
+    "P": "CASE WHEN x.n = 'H' THEN 'F' ELSE 'P' END",
+    "Q": "'K'",
+    "S": "CASE WHEN x.n = 'H' OR x.n = 'I' AND x.m IN ('O', 'A') THEN 'X' ELSE 'S' END",
+    "T": "CASE WHEN x.n = 'I' AND x.m IN ('O', 'A') THEN 'X' WHEN x.n = 'H' THEN '0' WHEN x.n = 'C' AND x.m = 'H' THEN '' ELSE 'T' END",
+    "V": "'F'",
+    "W": f"CASE WHEN x.n IN {_VOWELS} THEN 'W' ELSE '' END",
+    "X": "'KS'",
+    "Y": f"CASE WHEN x.n IN {_VOWELS} THEN 'Y' ELSE '' END",
+    "Z": "'S'",
+}
+#: A letter's code; a letter that repeats the one before has none, but for C, and a vowel only at the start.
+METAPHONE_CODE = f"CASE WHEN x.c = x.p AND x.c <> 'C' THEN '' WHEN x.c IN {_VOWELS} THEN CASE WHEN x.p = ' ' THEN x.c ELSE '' END " + " ".join(f"WHEN x.c = '{c}' THEN {code}" for c, code in _CODES.items()) + " ELSE x.c END"
+#: The letters before, here, next, after that, and five from here, of a word between blanks.
+METAPHONE_WINDOW = {"p": "substr(z, k, 1)", "c": "substr(z, k + 1, 1)", "n": "substr(z, k + 2, 1)", "m": "substr(z, k + 3, 1)", "r": "substr(z, k + 1, 5)"}
+
+
+def metaphone_letters(word: str, every: str = "") -> str:
+    """SQL of a word's letters in upper case, its start respelled, between blanks. ``every`` is what makes a replacement global."""
+    out = f"upper(regexp_replace({word}, '[^A-Za-z]', ''{every}))"
+    for start, to in (("AE", "E"), ("[GKP]N", "N"), ("WR", "R"), ("X", "S"), ("WH", "W")):
+        out = f"regexp_replace({out}, '^{start}', '{to}')"
+    return f"concat(' ', {out}, '     ')"
+
+
+def metaphone(word: str) -> Column:
+    """Metaphone of a column's words; the empty text if a word has no letters, null if it is null."""
+    window = ", ".join(f"'{k}', {v}" for k, v in METAPHONE_WINDOW.items())
+    codes = f"transform(transform(sequence(1, length(z) - 6), k -> named_struct({window})), x -> {METAPHONE_CODE})"
+    # an array of one binds the word, so that its letters are read once
+    return F.expr(f"transform(array({metaphone_letters(word)}), z -> CASE WHEN length(z) = 6 THEN '' ELSE array_join({codes}, '') END)[0]")
 
 
 def add_metaphone(df: DataFrame, word: str, out: str) -> DataFrame:
     """``df`` with the Metaphone of a column's words."""
-    ready(df.sparkSession)
-    return df.withColumn(out, _metaphone(F.col(word)))
+    return df.withColumn(out, metaphone(f"`{word}`"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from .functions import text as t
 from .functions.places import COUNTRY_CODES
-from .functions.similarity import add_metaphone, add_similarity
+from .functions.similarity import METAPHONE_CODE, METAPHONE_WINDOW, add_metaphone, add_similarity, metaphone_letters
 from .functions.text import match_weight
 from .operators import blocking, cluster, filters, judge, profile, report, score, tokens, train, truth
 from .operators.compare import add_gammas, comparisons, needed_columns
@@ -24,9 +24,7 @@ from .sources.staging import spread, stage
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
-#: Comparisons that SQL without Soundex can repeat, and their rules.
-SQL_COMPARISONS = ["name_normalized", "distinctive_match", "token_overlap", "containment_check", "first_token_match", "alias_match", "country_match", "city_match"]
-RULES = blocking.PREDICTION_RULES[:3]
+RULES = blocking.PREDICTION_RULES
 
 
 def query(name: str, sql: str | None = None):
@@ -123,7 +121,11 @@ def name_prefixes(spark, d):
 _SKIP = "[" + ", ".join(f"'{w}'" for w in t.SKIP_WORDS) + "]"
 
 
-@query("first_significant_word", f"WITH {SQL} SELECT unique_id, coalesce(list_filter({sql_words('name')}, lambda x: NOT list_contains({_SKIP}, x) AND length(x) > 2)[1], {sql_words('name')}[1]) AS word, {sql_words('name')}[1] AS raw_word FROM e")
+def _significant_sql(x: str) -> str:
+    return f"coalesce(list_filter({sql_words(x)}, lambda x: NOT list_contains({_SKIP}, x) AND length(x) > 2)[1], {sql_words(x)}[1])"
+
+
+@query("first_significant_word", f"WITH {SQL} SELECT unique_id, {_significant_sql('name')} AS word, {sql_words('name')}[1] AS raw_word FROM e")
 def first_significant_word(spark, d):
     return entities.documents(spark, d).select("unique_id", t.first_significant_word(F.col("name")).alias("word"), t.first_word(F.col("name")).alias("raw_word"))
 
@@ -258,12 +260,25 @@ def soundex_codes(spark, d):
     return words.select("word", t.soundex(F.col("word")).alias("soundex"))
 
 
-@query("metaphone_codes")
+def _metaphone_sql(x: str) -> str:
+    """Metaphone with the same table of codes, over lists."""
+    window = ", ".join(f"'{k}': {v}" for k, v in METAPHONE_WINDOW.items())
+    codes = f"list_transform(list_transform(range(1, length(z) - 5), lambda k: {{{window}}}), lambda x: {METAPHONE_CODE})"
+    return f"CASE WHEN {x} IS NOT NULL THEN list_transform([{metaphone_letters(x, ", 'g'")}], lambda z: CASE WHEN length(z) = 6 THEN '' ELSE array_to_string({codes}, '') END)[1] END"
+
+
+@query("metaphone_codes", f"WITH w AS (SELECT DISTINCT unnest({sql_words('p_name')}) AS word FROM part) SELECT word, {_metaphone_sql('word')} AS metaphone FROM w")
 def metaphone_codes(spark, d):
     words = read(spark, d, "part").select(F.explode(t.words(F.col("p_name"))).alias("word")).distinct()
     return add_metaphone(words, "word", "metaphone")
 
 
+#: The view with all that the rules and comparisons of the model read, as ``ft``.
+SQL_FEATURES = f"""{SQL_TOKENS},
+fw AS (SELECT *, {_significant_sql('name_normalized')} AS name_first_word, translate(lower(distinctive_token), '{t.ACCENTED}', '{t.PLAIN}') AS plain_token FROM f),
+ft AS (SELECT *, {_soundex_sql('plain_token')} AS distinctive_soundex, {_metaphone_sql('name_first_word')} AS name_metaphone FROM fw)"""
+
+
 # tokens of a corpus
 
 _PART_IDF = f"""x AS (SELECT {sql_words("p_name")} AS w FROM part WHERE p_name IS NOT NULL),
@@ -371,7 +386,8 @@ _PAIRS = "p AS (" + " UNION ALL ".join(f"SELECT l.unique_id AS unique_id_l, r.un
 
 def _tokens(spark, d):
     """Both sides with features, written once: every rule reads them."""
-    return entities.sides(spread(stage(entities.with_tokens(entities.documents(spark, d)), "features")))
+    e = entities.documents(spark, d)
+    return entities.sides(spread(stage(features(e, tokens.token_idf(e)), "features")))
 
 
 @query("block_exact", f"WITH {SQL}, {_SIDES.format('e')} SELECT l.unique_id AS unique_id_l, r.unique_id AS unique_id_r FROM l JOIN r USING (name_normalized)")
@@ -389,19 +405,17 @@ def block_token_city(spark, d):
     return blocking.block(*_tokens(spark, d), RULES[2:3]).drop("match_key")
 
 
-@query("block_metaphone_country_city")
+@query("block_metaphone_country_city", f"WITH {SQL_FEATURES}, {_SIDES.format('ft')} SELECT l.unique_id AS unique_id_l, r.unique_id AS unique_id_r FROM l JOIN r USING (name_metaphone, country_code, city)")
 def block_metaphone_country_city(spark, d):
-    from .plans.prepare import blocking_keys
-
-    return blocking.block(*entities.sides(blocking_keys(entities.documents(spark, d))), blocking.PREDICTION_RULES[3:]).drop("match_key")
+    return blocking.block(*_tokens(spark, d), RULES[3:]).drop("match_key")
 
 
-@query("block_union_dedup", f"WITH {SQL_TOKENS}, {_SIDES.format('f')}, {_PAIRS} SELECT unique_id_l, unique_id_r, match_key::INT AS match_key FROM p")
+@query("block_union_dedup", f"WITH {SQL_FEATURES}, {_SIDES.format('ft')}, {_PAIRS} SELECT unique_id_l, unique_id_r, match_key::INT AS match_key FROM p")
 def block_union_dedup(spark, d):
     return blocking.block(*_tokens(spark, d), RULES)
 
 
-@query("cumulative_blocking_counts", f"WITH {SQL_TOKENS}, {_SIDES.format('f')}, {_PAIRS}, c AS (SELECT k, (SELECT count(*) FROM p WHERE match_key = k) AS n FROM (SELECT unnest([0, 1, 2]) AS k)) SELECT k::INT AS match_key, n AS new_pairs, (sum(n) OVER (ORDER BY k))::BIGINT AS cumulative_pairs FROM c")
+@query("cumulative_blocking_counts", f"WITH {SQL_FEATURES}, {_SIDES.format('ft')}, {_PAIRS}, c AS (SELECT k, (SELECT count(*) FROM p WHERE match_key = k) AS n FROM (SELECT unnest([0, 1, 2, 3]) AS k)) SELECT k::INT AS match_key, n AS new_pairs, (sum(n) OVER (ORDER BY k))::BIGINT AS cumulative_pairs FROM c")
 def cumulative_blocking_counts(spark, d):
     return blocking.cumulative_counts(blocking.block(*_tokens(spark, d), RULES), RULES).drop("rule")
 
@@ -415,8 +429,7 @@ def _duck(sql: str) -> str:
     return sql
 
 
-_SETTINGS = default_settings(SQL_COMPARISONS)
-_FOUND = comparisons(_SETTINGS)
+_FOUND = comparisons(default_settings())
 _NEED = needed_columns(_FOUND)
 
 
@@ -454,7 +467,7 @@ FROM g LEFT JOIN tf a ON a.value = name_normalized_l LEFT JOIN tf b ON b.value =
 s AS (SELECT *, 1 / (1 + pow(2.0::DOUBLE, -match_weight)) AS match_probability FROM s0)"""
 
 
-_SCORED_SQL = f"WITH {SQL_TOKENS}, {_SIDES.format('f')}, {_PAIRS}, {_WIDE}, {_GAMMAS}, {_TF}, {_scores(_FOUND)}"
+_SCORED_SQL = f"WITH {SQL_FEATURES}, {_SIDES.format('ft')}, {_PAIRS}, {_WIDE}, {_GAMMAS}, {_TF}, {_scores(_FOUND)}"
 
 
 def _pairs(spark, d):
@@ -468,23 +481,16 @@ def _scored(spark, d, least: float | None = 0.5):
     return l, r, score.add_scores(pairs, _FOUND, PRIOR, tf, least)
 
 
-@query("gamma_vectors", f"WITH {SQL_TOKENS}, {_SIDES.format('f')}, {_PAIRS}, {_WIDE}, {_GAMMAS} SELECT unique_id_l, unique_id_r, {', '.join(f'gamma_{c.name}' for c in _FOUND)} FROM g")
+@query("gamma_vectors", f"WITH {SQL_FEATURES}, {_SIDES.format('ft')}, {_PAIRS}, {_WIDE}, {_GAMMAS} SELECT unique_id_l, unique_id_r, {', '.join(f'gamma_{c.name}' for c in _FOUND)} FROM g")
 def gamma_vectors(spark, d):
     return _pairs(spark, d)[2].select("unique_id_l", "unique_id_r", *(f"gamma_{c.name}" for c in _FOUND))
 
 
-@query("jaro_winkler", "WITH x AS (SELECT DISTINCT p_name FROM part) SELECT a.p_name AS a, b.p_name AS b, round(jaro_winkler_similarity(a.p_name, b.p_name), 12) AS similarity FROM x a JOIN x b ON left(a.p_name, 2) = left(b.p_name, 2)")
+@query("jaro_winkler", f"WITH {SQL_FEATURES}, {_SIDES.format('ft')}, {_PAIRS}, {_WIDE}, x AS (SELECT DISTINCT name_normalized_l AS a, name_normalized_r AS b FROM g0) SELECT a, b, round(jaro_winkler_similarity(a, b), 12) AS similarity FROM x")
 def jaro_winkler(spark, d):
-    x = read(spark, d, "part").select("p_name").distinct()
-    pairs = x.select(F.col("p_name").alias("a")).join(x.select(F.col("p_name").alias("b")), F.substring("a", 1, 2) == F.substring("b", 1, 2))
-    return add_similarity(pairs, "a", "b", "similarity").withColumn("similarity", F.round("similarity", 12))
-
-
-@query("jaro_winkler_full", "WITH x AS (SELECT DISTINCT p_name FROM part) SELECT a.p_name AS a, b.p_name AS b, round(jaro_winkler_similarity(a.p_name, b.p_name), 12) AS similarity FROM x a, x b")
-def jaro_winkler_full(spark, d):
-    """All pairs of distinct names; their number is the square of the names' by definition."""
-    x = read(spark, d, "part").select("p_name").distinct()
-    pairs = x.select(F.col("p_name").alias("a")).crossJoin(x.select(F.col("p_name").alias("b")))
+    """Similarity of the distinct pairs of names that the blocking rules give."""
+    pairs = blocking.block(*_tokens(spark, d), RULES, ["name_normalized"])
+    pairs = pairs.select(F.col("name_normalized_l").alias("a"), F.col("name_normalized_r").alias("b")).distinct()
     return add_similarity(pairs, "a", "b", "similarity").withColumn("similarity", F.round("similarity", 12))
 
 
@@ -504,84 +510,13 @@ def model_parameters(spark, d):
     return score.parameter_table(spark, comparisons(default_settings())).drop("condition").withColumn("weight", F.round("weight", 9))
 
 
-@query("score_waterfall")
-def score_waterfall(spark, d):
-    return score.waterfall(_full_scored(spark, d)[2], _FULL, PRIOR)
-
-
-# The whole model: all rules and comparisons, phonetic ones too. SQL has Soundex and so all nine comparisons, but no
-# Metaphone and so three of the four rules.
-
-_FULL = comparisons(default_settings())
-_FULL_NEED = sorted({*needed_columns(_FULL), "name"})
-
-
-_NINE_SQL = f"""WITH {SQL_TOKENS}, fx AS (SELECT *, translate(lower(distinctive_token), '{t.ACCENTED}', '{t.PLAIN}') AS x FROM f), f9 AS (SELECT *, {_soundex_sql('x')} AS distinctive_soundex FROM fx),
-{_SIDES.format('f9')}, {_PAIRS}, {_wide(needed_columns(_FULL))}, {_gammas(_FULL)}, {_TF}, {_scores(_FULL)}"""
+_STEPS = " UNION ALL ".join(f"SELECT unique_id_l, unique_id_r, {k} AS place, '{name}' AS step, round({w}, 9) AS weight FROM s" for k, (name, w) in enumerate([("prior", _PRIOR_WEIGHT), *((c.name, _step(c)) for c in _FOUND)]))
 
 
-def _nine(spark, d):
-    l, r = _tokens(spark, d)
-    pairs = add_gammas(blocking.block(l, r, RULES, sorted({*needed_columns(_FULL), "name"})), _FULL)
-    return score.add_scores(pairs, _FULL, PRIOR, {"name_normalized": score.term_frequencies([l, r], "name_normalized")}, None)
-
-
-@query("gamma_vectors_nine", f"{_NINE_SQL} SELECT unique_id_l, unique_id_r, {', '.join(f'gamma_{c.name}' for c in _FULL)} FROM g")
-def gamma_vectors_nine(spark, d):
-    """All nine comparisons, of the pairs of three rules."""
-    return _nine(spark, d).select("unique_id_l", "unique_id_r", *(f"gamma_{c.name}" for c in _FULL))
-
-
-@query("score_pairs_nine", f"{_NINE_SQL} SELECT unique_id_l, unique_id_r, round(match_weight, 6) AS match_weight, round(match_probability, 9) AS match_probability FROM s")
-def score_pairs_nine(spark, d):
-    return _nine(spark, d).select("unique_id_l", "unique_id_r", F.round("match_weight", 6).alias("match_weight"), F.round("match_probability", 9).alias("match_probability"))
-
-
-_STEPS = " UNION ALL ".join(f"SELECT unique_id_l, unique_id_r, {k} AS place, '{name}' AS step, round({w}, 9) AS weight FROM g" for k, (name, w) in enumerate([("prior", _PRIOR_WEIGHT), *((c.name, _step(c)) for c in _FULL)]))
-
-
-@query("score_waterfall_nine", f"{_NINE_SQL} {_STEPS}")
-def score_waterfall_nine(spark, d):
-    return score.waterfall(_nine(spark, d), _FULL, PRIOR).withColumn("weight", F.round("weight", 9))
-
-
-def _full_tokens(spark, d):
-    e = entities.documents(spark, d)
-    return entities.sides(spread(stage(features(e, tokens.token_idf(e)), "features")))
-
-
-def _full_scored(spark, d, least: float | None = 0.5):
-    l, r = _full_tokens(spark, d)
-    pairs = add_gammas(blocking.block(l, r, blocking.PREDICTION_RULES, _FULL_NEED), _FULL)
-    tf = {"name_normalized": score.term_frequencies([l, r], "name_normalized")}
-    return l, r, score.add_scores(pairs, _FULL, PRIOR, tf, least)
-
-
-@query("block_union_dedup_full")
-def block_union_dedup_full(spark, d):
-    return blocking.block(*_full_tokens(spark, d), blocking.PREDICTION_RULES)
-
-
-@query("gamma_vectors_full")
-def gamma_vectors_full(spark, d):
-    l, r = _full_tokens(spark, d)
-    pairs = add_gammas(blocking.block(l, r, blocking.PREDICTION_RULES, _FULL_NEED), _FULL)
-    return pairs.select("unique_id_l", "unique_id_r", *(f"gamma_{c.name}" for c in _FULL))
-
-
-@query("score_pairs_full")
-def score_pairs_full(spark, d):
-    return _full_scored(spark, d, None)[2].select("unique_id_l", "unique_id_r", F.round("match_weight", 6).alias("match_weight"), F.round("match_probability", 9).alias("match_probability"))
-
-
-@query("disambiguate_full")
-def disambiguate_full(spark, d):
-    return cluster.disambiguate(_full_scored(spark, d)[2]).select("unique_id_l", "unique_id_r")
-
-
-@query("cluster_stars_full")
-def cluster_stars_full(spark, d):
-    return cluster.star_clusters(cluster.disambiguate(_full_scored(spark, d)[2]))
+@query("score_waterfall", f"{_SCORED_SQL} {_STEPS}")
+def score_waterfall(spark, d):
+    """The steps of every pair's weight, of unlikely pairs too."""
+    return score.waterfall(_scored(spark, d, None)[2], _FOUND, PRIOR).withColumn("weight", F.round("weight", 9))
 
 
 # training
@@ -591,37 +526,42 @@ _U_SIDE = 1000
 _U_PAIRS = f"l0 AS (SELECT * FROM l ORDER BY md5('1:' || unique_id), unique_id LIMIT {_U_SIDE}), r0 AS (SELECT * FROM r ORDER BY md5('1:' || unique_id), unique_id LIMIT {_U_SIDE}), g0 AS (SELECT " + ", ".join(f"l0.{c} AS {c}_l, r0.{c} AS {c}_r" for c in _NEED) + " FROM l0, r0)"
 
 
-@query("u_estimates", f"WITH {SQL_TOKENS}, {_SIDES.format('f')}, {_U_PAIRS}, {_GAMMAS}, x AS (" + " UNION ALL ".join(f"SELECT '{c.name}' AS comparison, gamma_{c.name} AS gamma FROM g" for c in _FOUND) + "), y AS (SELECT comparison, gamma, count(*) AS n FROM x WHERE gamma >= 0 GROUP BY ALL) SELECT comparison, gamma, n, round(n::DOUBLE / sum(n) OVER (PARTITION BY comparison), 12) AS u FROM y")
+@query("u_estimates", f"WITH {SQL_FEATURES}, {_SIDES.format('ft')}, {_U_PAIRS}, {_GAMMAS}, x AS (" + " UNION ALL ".join(f"SELECT '{c.name}' AS comparison, gamma_{c.name} AS gamma FROM g" for c in _FOUND) + "), y AS (SELECT comparison, gamma, count(*) AS n FROM x WHERE gamma >= 0 GROUP BY ALL) SELECT comparison, gamma, n, round(n::DOUBLE / sum(n) OVER (PARTITION BY comparison), 12) AS u FROM y")
 def u_estimates(spark, d):
     return train.estimate_u(*_tokens(spark, d), _FOUND, _U_SIDE**2).withColumn("u", F.round("u", 12))
 
 
 @query("em_m_estimates")
 def em_m_estimates(spark, d):
-    l, r = _full_tokens(spark, d)
-    u = {(x["comparison"], x["gamma"]): x["u"] for x in train.estimate_u(l, r, _FULL).collect()}
-    m = train.estimate_m(l, r, _FULL, u)
+    l, r = _tokens(spark, d)
+    u = {(x["comparison"], x["gamma"]): x["u"] for x in train.estimate_u(l, r, _FOUND).collect()}
+    m = train.estimate_m(l, r, _FOUND, u)
     return spark.createDataFrame([(c, k, v) for (c, k), v in sorted(m.items())], "comparison string, gamma int, m double")
 
 
 # labels and measures
 
 _POSITIVE = "pos AS (SELECT l.unique_id AS unique_id_l, ror_id, r.unique_id AS unique_id_r FROM l JOIN r USING (ror_id))"
-_DRAWS = 400
-_NEGATIVE = f"""a AS (SELECT unique_id AS unique_id_l, ror_id AS ror_id_l, row_number() OVER (ORDER BY md5('42:' || unique_id), unique_id) - 1 AS pl FROM l QUALIFY pl < {_DRAWS}),
-b AS (SELECT unique_id AS unique_id_r, ror_id AS ror_id_r, row_number() OVER (ORDER BY md5('42:' || unique_id), unique_id) - 1 AS pr FROM r QUALIFY pr < {_DRAWS}),
-dr AS (SELECT ('0x' || substr(md5('42:l:' || i), 1, 8))::BIGINT % (SELECT count(*) FROM a) AS pl, ('0x' || substr(md5('42:r:' || i), 1, 8))::BIGINT % (SELECT count(*) FROM b) AS pr FROM range({_DRAWS}) t(i)),
+# two draws for each positive pair
+_NEGATIVE = f"""nd AS (SELECT least(2 * count(*), {truth.MOST_NEGATIVES}) AS n FROM pos),
+a AS (SELECT unique_id AS unique_id_l, ror_id AS ror_id_l, row_number() OVER (ORDER BY md5('42:' || unique_id), unique_id) - 1 AS pl FROM l QUALIFY pl < (SELECT n FROM nd)),
+b AS (SELECT unique_id AS unique_id_r, ror_id AS ror_id_r, row_number() OVER (ORDER BY md5('42:' || unique_id), unique_id) - 1 AS pr FROM r QUALIFY pr < (SELECT n FROM nd)),
+dr AS (SELECT ('0x' || substr(md5('42:l:' || i), 1, 8))::BIGINT % (SELECT count(*) FROM a) AS pl, ('0x' || substr(md5('42:r:' || i), 1, 8))::BIGINT % (SELECT count(*) FROM b) AS pr FROM (SELECT unnest(range((SELECT n FROM nd))) AS i)),
 neg AS (SELECT unique_id_l, unique_id_r, ror_id_l, ror_id_r FROM dr JOIN a USING (pl) JOIN b USING (pr) WHERE ror_id_l <> ror_id_r)"""
 
 
+def _negatives(l, r):
+    return truth.negative_pairs(l, r, truth.negative_draws(truth.positive_pairs(l, r).count()))
+
+
 @query("positive_pairs", f"WITH {SQL}, {_SIDES.format('e')}, {_POSITIVE} SELECT *, true AS is_match FROM pos")
 def positive_pairs(spark, d):
     return truth.positive_pairs(*entities.sides(entities.documents(spark, d)))
 
 
-@query("negative_pairs_hash", f"WITH {SQL}, {_SIDES.format('e')}, {_NEGATIVE} SELECT *, false AS is_match FROM neg")
+@query("negative_pairs_hash", f"WITH {SQL}, {_SIDES.format('e')}, {_POSITIVE}, {_NEGATIVE} SELECT *, false AS is_match FROM neg")
 def negative_pairs_hash(spark, d):
-    return truth.negative_pairs(*entities.sides(entities.documents(spark, d)), _DRAWS)
+    return _negatives(*entities.sides(entities.documents(spark, d)))
 
 
 _TRUTH = "tl AS (SELECT s.*, CASE WHEN EXISTS (SELECT 1 FROM pos WHERE pos.unique_id_l = s.unique_id_l AND pos.unique_id_r = s.unique_id_r) THEN 'TRUE_MATCH' WHEN EXISTS (SELECT 1 FROM neg WHERE neg.unique_id_l = s.unique_id_l AND neg.unique_id_r = s.unique_id_r) THEN 'TRUE_NON_MATCH' ELSE 'UNKNOWN' END AS truth FROM s)"
@@ -629,7 +569,7 @@ _TRUTH = "tl AS (SELECT s.*, CASE WHEN EXISTS (SELECT 1 FROM pos WHERE pos.uniqu
 
 def _labelled(spark, d):
     l, r, s = _scored(spark, d, None)
-    return truth.truth_labels(s, truth.positive_pairs(l, r), truth.negative_pairs(l, r, _DRAWS))
+    return truth.truth_labels(s, truth.positive_pairs(l, r), _negatives(l, r))
 
 
 @query("truth_labels", f"{_SCORED_SQL}, {_POSITIVE}, {_NEGATIVE}, {_TRUTH} SELECT truth, count(*) AS n_pairs FROM tl GROUP BY truth")
@@ -657,40 +597,7 @@ def threshold_metrics(spark, d):
 @query("labelled_metrics", f"{_SCORED_SQL}, {_POSITIVE}, {_NEGATIVE}, x AS (SELECT m, coalesce(match_probability, 0) AS p FROM (SELECT unique_id_l, unique_id_r, true AS m FROM pos UNION ALL SELECT unique_id_l, unique_id_r, false FROM neg) LEFT JOIN s USING (unique_id_l, unique_id_r)) {_METRICS.format('x')}")
 def labelled_metrics(spark, d):
     l, r, s = _scored(spark, d, None)
-    labels = truth.positive_pairs(l, r).unionByName(truth.negative_pairs(l, r, _DRAWS), allowMissingColumns=True)
-    return truth.metrics(truth.labelled_predictions(labels, s)).withColumns({c: F.round(c, 9) for c in ("precision", "recall", "f1")})
-
-
-# The same by the reference's own number of draws, which follows the positives, and by the whole model.
-
-
-def _full_negatives(l, r):
-    return truth.negative_pairs(l, r, truth.negative_draws(truth.positive_pairs(l, r).count()))
-
-
-_FULL_DRAWS = f"nd AS (SELECT least(2 * count(*), {truth.MOST_NEGATIVES}) AS n FROM pos)"
-_FULL_NEGATIVE = _NEGATIVE.replace(f"< {_DRAWS})", "< (SELECT n FROM nd))").replace(f"FROM range({_DRAWS}) t(i)", "FROM (SELECT unnest(range((SELECT n FROM nd))) AS i)")
-
-
-@query("negative_pairs_full", f"WITH {SQL}, {_SIDES.format('e')}, {_POSITIVE}, {_FULL_DRAWS}, {_FULL_NEGATIVE} SELECT *, false AS is_match FROM neg")
-def negative_pairs_full(spark, d):
-    return _full_negatives(*entities.sides(entities.documents(spark, d)))
-
-
-def _full_labelled(spark, d):
-    l, r, s = _full_scored(spark, d, None)
-    return truth.truth_labels(s, truth.positive_pairs(l, r), _full_negatives(l, r))
-
-
-@query("truth_labels_full")
-def truth_labels_full(spark, d):
-    return _full_labelled(spark, d).groupBy("truth").agg(F.count("*").alias("n_pairs"))
-
-
-@query("labelled_metrics_full")
-def labelled_metrics_full(spark, d):
-    l, r, s = _full_scored(spark, d, None)
-    labels = truth.positive_pairs(l, r).unionByName(_full_negatives(l, r), allowMissingColumns=True)
+    labels = truth.positive_pairs(l, r).unionByName(_negatives(l, r), allowMissingColumns=True)
     return truth.metrics(truth.labelled_predictions(labels, s)).withColumns({c: F.round(c, 9) for c in ("precision", "recall", "f1")})
 
 
@@ -775,13 +682,6 @@ def final_output(spark, d):
     return report.final_output(best, l).withColumn("confidence", F.round("confidence", 9))
 
 
-@query("final_output_full")
-def final_output_full(spark, d):
-    l, r, s = _full_scored(spark, d)
-    best = cluster.disambiguate(s).join(r.select(F.col("unique_id").alias("unique_id_r"), "source_table"), "unique_id_r", "left")
-    return report.final_output(best, l).withColumn("confidence", F.round("confidence", 9))
-
-
 # the judge
 
 _ANSWERS = ['{"match": true, "confidence": 0.8, "reason": "same"}', '```json\n{"match": true}\n```', '{"match": false}', "abc"]

@@ -52,10 +52,9 @@ def planted(spark, tmp_path_factory):
 
 
 def test_whole_model_equals_brute_force(spark, planted):
-    from orgweave.functions.text import match_weight
-    from orgweave.queries import _FULL, _full_tokens
+    from orgweave.queries import _FOUND, _tokens
 
-    l, r = ([x.asDict() for x in side.collect()] for side in _full_tokens(spark, planted))
+    l, r = ([x.asDict() for x in side.collect()] for side in _tokens(spark, planted))
     same = lambda a, b, *c: all(a[x] is not None and a[x] == b[x] for x in c)
     want = {}
     for a in l:
@@ -65,17 +64,16 @@ def test_whole_model_equals_brute_force(spark, planted):
             if any(rules):
                 want[a["unique_id"], b["unique_id"]] = rules.index(True), int(a["distinctive_soundex"] == b["distinctive_soundex"])
     assert any(k == 3 for k, _ in want.values())
-    pairs = [(x["unique_id_l"], x["unique_id_r"], x["match_key"]) for x in QUERIES["block_union_dedup_full"](spark, planted).collect()]
+    pairs = [(x["unique_id_l"], x["unique_id_r"], x["match_key"]) for x in QUERIES["block_union_dedup"](spark, planted).collect()]
     assert sorted(pairs) == sorted((*p, k) for p, (k, _) in want.items())
-    gammas = {(x["unique_id_l"], x["unique_id_r"]): x["gamma_phonetic_match"] for x in QUERIES["gamma_vectors_full"](spark, planted).collect()}
+    gammas = {(x["unique_id_l"], x["unique_id_r"]): x["gamma_phonetic_match"] for x in QUERIES["gamma_vectors"](spark, planted).collect()}
     assert gammas == {p: g for p, (_, g) in want.items()}
-    # what SQL holds by three rules and eight comparisons, and the ninth on top
-    added = {k: match_weight(x.m, x.u) for c in _FULL if c.name == "phonetic_match" for k, x in c.gammas}
-    full, part = ({(x["unique_id_l"], x["unique_id_r"]): x["match_weight"] for x in QUERIES[q](spark, planted).collect()} for q in ("score_pairs_full", "score_pairs"))
-    assert set(full) == set(want) and set(part) == {p for p, (k, _) in want.items() if k < 3}
-    assert all(full[p] == pytest.approx(w + added[gammas[p]], abs=1e-5) for p, w in part.items())
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{planted}/documents.parquet/*.parquet')")
+    for name in ("block_union_dedup", "score_pairs", "score_waterfall"):
+        assert rows(QUERIES[name](spark, planted).toPandas()) == rows(duck.sql(ORACLE[name]).df())
     steps = {x["step"] for x in QUERIES["score_waterfall"](spark, planted).collect()}
-    assert steps == {"prior", *(c.name for c in _FULL)}
+    assert steps == {"prior", *(c.name for c in _FOUND)}
 
 
 def test_training_covers_all_comparisons(spark):
@@ -88,15 +86,19 @@ def test_negatives_follow_positives(spark, tmp_path):
     spark.createDataFrame(texts, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
     duck = duckdb.connect()
     duck.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
-    found = QUERIES["negative_pairs_full"](spark, str(tmp_path)).toPandas()
+    found = QUERIES["negative_pairs_hash"](spark, str(tmp_path)).toPandas()
     assert 250 < len(found) <= 288
-    assert rows(found) == rows(duck.sql(ORACLE["negative_pairs_full"]).df())
-    out = {x["threshold"]: x for x in QUERIES["labelled_metrics_full"](spark, str(tmp_path)).collect()}
+    assert rows(found) == rows(duck.sql(ORACLE["negative_pairs_hash"]).df())
+    out = {x["threshold"]: x for x in QUERIES["labelled_metrics"](spark, str(tmp_path)).collect()}
     assert all(x["tp"] + x["fn"] == 144 and x["fp"] + x["tn"] == len(found) for x in out.values())
 
 
-def test_similarity_of_names_that_begin_apart(spark, tmp_path):
-    names = ["almond steel", "lamond steel", "blue almond", "almond blue"]
-    spark.createDataFrame([(n,) for n in names], "p_name string").write.parquet(f"{tmp_path}/part.parquet")
-    found = {(x["a"], x["b"]): x["similarity"] for x in QUERIES["jaro_winkler_full"](spark, str(tmp_path)).collect()}
-    assert len(found) == 16 and found["almond steel", "lamond steel"] > 0.9
+def test_similarity_of_names_that_begin_apart(spark, duck):
+    from orgweave.functions.similarity import add_similarity
+
+    names = duck.sql("SELECT DISTINCT p_name FROM part ORDER BY 1 LIMIT 60").fetchall() + [("almond steel",), ("lamond steel",)]
+    names = [n for n, in names]
+    found = add_similarity(spark.createDataFrame([(a, b) for a in names for b in names], "a string, b string"), "a", "b", "similarity").collect()
+    assert {(x["a"], x["b"]): x["similarity"] for x in found}["almond steel", "lamond steel"] > 0.9
+    want = {(x["a"], x["b"]): duck.execute("SELECT jaro_winkler_similarity(?, ?)", [x["a"], x["b"]]).fetchone()[0] for x in found}
+    assert all(x["similarity"] == pytest.approx(want[x["a"], x["b"]], abs=1e-12) for x in found)
