@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 from math import log2
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,11 +16,11 @@ from .functions.text import match_weight
 from .operators import blocking, cluster, filters, judge, profile, report, score, tokens, train, truth
 from .operators.compare import add_gammas, comparisons, needed_columns
 from .operators.model import PRIOR, default_settings
-from .plans import entities
+from .plans import entities, linkage, prepare
 from .plans.entities import SQL, SQL_TOKENS, sql_clean, sql_normal, sql_strip, sql_words
 from .plans.prepare import features
-from .sources import tables
-from .sources.staging import spread, stage
+from .sources import files, tables
+from .sources.staging import new_path, spread, stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -279,6 +280,90 @@ fw AS (SELECT *, {_significant_sql('name_normalized')} AS name_first_word, trans
 ft AS (SELECT *, {_soundex_sql('plain_token')} AS distinctive_soundex, {_metaphone_sql('name_first_word')} AS name_metaphone FROM fw)"""
 
 
+# records as they come in, the unified schema and its features
+
+_INCOMING = f"""x AS (SELECT 'm' || event_id AS source_id, event_type || ' Ltd' AS name, 't' || user_id % 3 AS source_table, 'e' || event_id AS source_entity_id, lower(event_type) AS name_clean, event_type AS name_normalized,
+left(event_type, 5) AS name_prefix_5, left(event_type, 10) AS name_prefix_10, CASE WHEN event_id % 2 = 0 THEN 'A, B' END AS city, 's' || event_id % 7 AS state, 'x' || event_id % 5 AS name_aliases,
+CASE WHEN event_id % 11 = 0 THEN 'SPONSOR_INVESTIGATOR' ELSE 'SPONSOR' END AS rp_type, event_type AS type, 'FR; DE' AS country, CASE WHEN event_id % 3 = 0 THEN 42.5::DOUBLE END AS latitude, -1.25::DOUBLE AS longitude FROM events)"""
+
+
+def _incoming(spark, d):
+    k, said = F.col("event_id"), F.col("event_type")
+    text = lambda x: F.concat(F.lit(x), k.cast("string"))
+    metadata = {
+        "class": F.lit(""), "category": said, "name_clean": F.lower(said), "name_normalized": said, "name_prefix_5": F.substring(said, 1, 5), "name_prefix_10": F.substring(said, 1, 10),
+        "city": F.when(k % 2 == 0, "A, B").otherwise("null"), "state": F.concat(F.lit("s"), (k % 7).cast("string")), "name_aliases": F.concat(F.lit("x"), (k % 5).cast("string")),
+        "rp_type": F.when(k % 11 == 0, "SPONSOR_INVESTIGATOR").otherwise("SPONSOR"), "country": F.lit(""), "countries": F.lit("FR; DE"), "latitude": F.when(k % 3 == 0, "42.5").otherwise("north"), "longitude": F.lit("-1.25"),
+    }
+    line = F.concat(F.lit("{"), F.concat_ws(", ", *(F.concat(F.lit(f"{key}="), v) for key, v in metadata.items())), F.lit("}"))
+    table = F.concat(F.lit("t"), (F.col("user_id") % 3).cast("string"))
+    raw = read(spark, d, "events").select(text("m").alias("mismatch_id"), F.concat(said, F.lit(" Ltd")).alias("name"), table.alias("source_table"), text("e").alias("source_entity_id"), line.alias("metadata"))
+    return tables.scan_incoming(raw)
+
+
+@query("scan_incoming_metadata", f"WITH {_INCOMING} SELECT *, 'mismatched' AS source FROM x")
+def scan_incoming_metadata(spark, d):
+    return _incoming(spark, d).drop("raw_metadata")
+
+
+@query(
+    "unify_schema",
+    f"WITH {_INCOMING} SELECT 'mis_' || source_id AS unique_id, name, name_clean, name_normalized, name_prefix_5, name_prefix_10, array_to_string(list_sort([name, name_aliases]), '|') AS all_names, type AS org_type, "
+    "'FR' AS country_code, city, latitude, longitude, NULL::VARCHAR AS ror_id, NULL::VARCHAR AS grid_id, 'mismatched' AS source, source_id, source_table FROM x",
+)
+def unify_schema(spark, d):
+    return prepare.unify(_incoming(spark, d), "mismatched", carry=("source_table",)).withColumn("all_names", F.array_join("all_names", "|"))
+
+
+@query("blocking_keys", f"WITH {SQL_FEATURES}, b AS (SELECT *, translate(lower(name_first_word), '{t.ACCENTED}', '{t.PLAIN}') AS plain_word FROM ft) SELECT unique_id, left(name_normalized, 10) AS name_prefix_10, name_first_word, {_soundex_sql('plain_word')} AS name_soundex, name_metaphone, distinctive_soundex FROM b")
+def blocking_keys(spark, d):
+    e = entities.documents(spark, d)
+    return features(e, tokens.token_idf(e)).select("unique_id", "name_prefix_10", "name_first_word", "name_soundex", "name_metaphone", "distinctive_soundex")
+
+
+@query("prepared_records", f"WITH {SQL_FEATURES}, x AS (SELECT *, name AS c, NULL AS rp_type FROM ft) SELECT unique_id, side::INT AS side, name_first_word, name_metaphone, len(name_tokens)::INT AS name_token_count FROM x WHERE {_REASON} IS NULL")
+def prepared_records(spark, d):
+    """Both sides filtered and with features, as the plans for training and inference prepare them."""
+    out = prepare.prepare(list(entities.sides(entities.documents(spark, d))))
+    l, r = (x.withColumn("side", F.lit(k)).select("unique_id", "side", "name_first_word", "name_metaphone", "name_token_count") for k, x in enumerate(out))
+    return l.unionByName(r)
+
+
+@query("feature_rates", f"WITH {SQL_FEATURES} SELECT round(avg((name_first_word IS NOT NULL)::INT), 9) AS soundex_rate, round(avg((len(distinctive_tokens) > 0)::INT), 9) AS distinctive_rate, round(avg(len(name_tokens)), 9) AS mean_tokens FROM ft")
+def feature_rates(spark, d):
+    e = entities.documents(spark, d)
+    return prepare.feature_rates(features(e, tokens.token_idf(e))).select(*(F.round(c, 9).alias(c) for c in ("soundex_rate", "distinctive_rate", "mean_tokens")))
+
+
+# sinks, and what is read back from them
+
+
+@query("parquet_round_trip", "SELECT c_custkey, c_name, c_mktsegment, ['n' || c_nationkey, c_mktsegment][1] AS first_tag FROM customer")
+def parquet_round_trip(spark, d):
+    """Written by partitions and read again, an array included."""
+    path = new_path(spark, "parquet")
+    tag = F.array(F.concat(F.lit("n"), F.col("c_nationkey").cast("string")), "c_mktsegment")
+    files.save_parquet(read(spark, d, "customer").select("c_custkey", "c_name", "c_mktsegment", tag.alias("tags")), path, ["c_mktsegment"])
+    return files.load_parquet(spark, path).select("c_custkey", "c_name", "c_mktsegment", F.get("tags", F.lit(0)).alias("first_tag"))
+
+
+@query("csv_round_trip", "SELECT c_custkey, c_name, '[\"n' || c_nationkey || '\",\"' || c_mktsegment || '\"]' AS tags FROM customer")
+def csv_round_trip(spark, d):
+    path = new_path(spark, "csv")
+    tag = F.array(F.concat(F.lit("n"), F.col("c_nationkey").cast("string")), "c_mktsegment")
+    files.save_csv(read(spark, d, "customer").select("c_custkey", "c_name", tag.alias("tags")), path)
+    return spark.read.schema("c_custkey long, c_name string, tags string").option("header", True).option("escape", "\\").csv(path)
+
+
+@query("result_sinks", "SELECT part, count(*) AS n_rows FROM (SELECT CASE WHEN quality = 1 THEN 'llm_confirmed' ELSE 'llm_rejected' END AS part FROM labels UNION ALL SELECT 'high_confidence' FROM labels WHERE (doc_id % 101) / 100.0::DOUBLE >= 0.95) GROUP BY 1")
+def result_sinks(spark, d):
+    """Rows of each part of the results, as read back."""
+    path = new_path(spark, "results")
+    x = read(spark, d, "labels").select("doc_id", (F.col("quality") == 1).alias("llm_match"), (F.col("doc_id") % 101 / 100.0).alias("match_probability"))
+    out = [files.load_parquet(spark, f"{path}/{name}").select(F.lit(name).alias("part")) for name in files.save_results(x, path)]
+    return reduce(DataFrame.unionByName, out).groupBy("part").agg(F.count("*").alias("n_rows"))
+
+
 # tokens of a corpus
 
 _PART_IDF = f"""x AS (SELECT {sql_words("p_name")} AS w FROM part WHERE p_name IS NOT NULL),
@@ -513,6 +598,14 @@ def model_parameters(spark, d):
 _STEPS = " UNION ALL ".join(f"SELECT unique_id_l, unique_id_r, {k} AS place, '{name}' AS step, round({w}, 9) AS weight FROM s" for k, (name, w) in enumerate([("prior", _PRIOR_WEIGHT), *((c.name, _step(c)) for c in _FOUND)]))
 
 
+@query("saved_model_parameters", ORACLE["model_parameters"])
+def saved_model_parameters(spark, d):
+    """The parameters of a model that was saved and loaded."""
+    path = new_path(spark, "model")
+    files.save_model(default_settings(), {"made": "here"}, path, spark)
+    return score.parameter_table(spark, comparisons(files.load_model(path, spark))).drop("condition").withColumn("weight", F.round("weight", 9))
+
+
 @query("score_waterfall", f"{_SCORED_SQL} {_STEPS}")
 def score_waterfall(spark, d):
     """The steps of every pair's weight, of unlikely pairs too."""
@@ -559,6 +652,13 @@ def positive_pairs(spark, d):
     return truth.positive_pairs(*entities.sides(entities.documents(spark, d)))
 
 
+@query("prior_estimate", f"WITH {SQL}, {_SIDES.format('e')}, {_POSITIVE} SELECT round((SELECT count(*) FROM pos)::DOUBLE / ((SELECT count(*) FROM l) * (SELECT count(*) FROM r)), 15) AS prior")
+def prior_estimate(spark, d):
+    l, r = entities.sides(entities.documents(spark, d))
+    prior = train.estimate_prior(truth.positive_pairs(l, r).count(), l.count(), r.count())
+    return spark.createDataFrame([(round(prior, 15),)], "prior double")
+
+
 @query("negative_pairs_hash", f"WITH {SQL}, {_SIDES.format('e')}, {_POSITIVE}, {_NEGATIVE} SELECT *, false AS is_match FROM neg")
 def negative_pairs_hash(spark, d):
     return _negatives(*entities.sides(entities.documents(spark, d)))
@@ -645,6 +745,12 @@ def cluster_size_summary(spark, d):
     return cluster.size_summary(cluster.cluster_sizes(cluster.star_clusters(cluster.disambiguate(_scored(spark, d)[2]))))
 
 
+@query("clustered_matches", f"{_SCORED_SQL}, {_BEST}, {_CLUSTERS} SELECT unique_id_l, unique_id_r, cluster_id FROM best LEFT JOIN cl ON best.unique_id_l = cl.unique_id")
+def clustered_matches(spark, d):
+    best = cluster.disambiguate(_scored(spark, d)[2])
+    return cluster.attach(best, cluster.star_clusters(best)).select("unique_id_l", "unique_id_r", "cluster_id")
+
+
 _TIER = "CASE WHEN p > 0 AND p <= 0.5 THEN '0-0.5 (Very Low)' WHEN p > 0.5 AND p <= 0.7 THEN '0.5-0.7 (Low)' WHEN p > 0.7 AND p <= 0.85 THEN '0.7-0.85 (Medium)' WHEN p > 0.85 AND p <= 0.95 THEN '0.85-0.95 (High)' WHEN p > 0.95 AND p <= 1 THEN '0.95-1.0 (Very High)' END"
 
 
@@ -653,6 +759,12 @@ def confidence_tiers(spark, d):
     return report.tier_counts(read(spark, d, "documents").select((F.col("doc_id") % 101 / 100.0).alias("match_probability")))
 
 
+@query("linked_records", f"{_SCORED_SQL}, {_BEST}, {_CLUSTERS}, x AS (SELECT best.*, cl.cluster_id, r.source_table, match_probability AS p FROM best JOIN r ON best.unique_id_r = r.unique_id LEFT JOIN cl ON best.unique_id_l = cl.unique_id) SELECT unique_id_l, unique_id_r, cluster_id, source_table, {_TIER.replace('WHEN p > 0 AND p <= 0.5', 'WHEN p < 0')} AS confidence_tier FROM x")
+def linked_records(spark, d):
+    """The whole plan: candidates, scores, the best match of each record, clusters and tiers."""
+    return linkage.link(*_tokens(spark, d)).select("unique_id_l", "unique_id_r", "cluster_id", "source_table", "confidence_tier")
+
+
 _DOC_P = "x AS (SELECT source AS source_table, (doc_id % 101) / 100.0::DOUBLE AS p FROM documents)"
 
 
@@ -734,3 +846,8 @@ def judge_batch_stub(spark, d):
 @query("judge_summary", f"{_SCORED_SQL}, {_BEST} SELECT count(*) FILTER (name_l = name_r) AS confirmed, count(*) AS total, count(*) - count(*) FILTER (name_l = name_r) AS rejected, round(count(*) FILTER (name_l = name_r)::DOUBLE / count(*), 3) AS rate FROM best")
 def judge_summary(spark, d):
     return report.judge_summary(_judged(spark, d))
+
+
+@query("judge_summary_by_source", f"{_SCORED_SQL}, {_BEST} SELECT city_r, count(*) FILTER (name_l = name_r) AS confirmed, count(*) AS total, count(*) - count(*) FILTER (name_l = name_r) AS rejected, round(count(*) FILTER (name_l = name_r)::DOUBLE / count(*), 3) AS rate FROM best GROUP BY city_r")
+def judge_summary_by_source(spark, d):
+    return report.judge_summary(_judged(spark, d), "city_r")

@@ -38,15 +38,21 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+def new_path(spark: SparkSession, name: str) -> str:
+    """A path of its own in the shared folder, removed at the end."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    if not _written:
+        atexit.register(_clean)
+    _written.append((spark, path))
+    return path
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Writes ``df`` to a table of its own and reads it back."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = new_path(spark, name)
     with timed(name):
         df.write.parquet(path)
-    if not _written:
-        atexit.register(_clean)
-    _written.append((spark, path))
     return spark.read.schema(df.schema).parquet(path)
 
 
