@@ -1,8 +1,12 @@
 """Copies cost one pair of classes, and what follows from classes is what all pairs give."""
 
+import numpy as np
 from pyspark.sql import functions as F
 
-from orgweave.operators import blocking, classes, cluster
+from orgweave.functions.similarity import jaro_winkler_bytes, jaro_winkler_many
+from orgweave.operators import blocking, classes, cluster, train, truth
+from orgweave.operators.compare import Comparison, Level
+from orgweave.plans import linkage
 
 
 def test_classes_expand_to_all_pairs(spark):
@@ -26,3 +30,68 @@ def test_links_connect_what_all_pairs_connect(spark):
     links, pairs = (f(l, r, rules).withColumn("match_probability", F.lit(1.0)) for f in (blocking.links, blocking.block))
     assert links.count() <= 2 * len(rows)
     assert sorted(map(tuple, cluster.clusters(links).collect())) == sorted(map(tuple, cluster.clusters(pairs).collect()))
+
+
+def records(spark, n=1200):
+    rows = [(f"u{k:04}", "big" if k % 4 else f"own {k % 100}", k % 2, f"c{k % 3}" if k % 5 else None, f"r{k % 90}") for k in range(n)]
+    df = spark.createDataFrame(rows, "unique_id string, name_normalized string, side int, city string, ror_id string")
+    return df.where("side = 0").drop("side"), df.where("side = 1").drop("side")
+
+
+def test_cells_give_all_pairs_once_in_many_tasks(spark):
+    l, r = records(spark)
+    rules = ["substr(l.name_normalized, 1, 3) = substr(r.name_normalized, 1, 3)", "l.city = r.city", "l.unique_id < r.unique_id AND l.city <> r.city"]
+    want, found = blocking.block(l, r, rules, ["city"]), blocking.block(l, r, rules, ["city"], cell=32)
+    assert found.count() == want.count() and found.exceptAll(want).count() == 0
+    big = blocking.block(l, r, rules[:1], ["name_normalized"], cell=32).where("name_normalized_l = 'big'")
+    assert big.groupBy(F.spark_partition_id()).count().count() > 1
+
+
+def test_chosen_pairs_are_those_of_the_rules(spark):
+    l, r = (df.withColumn("class_id", F.substring("unique_id", 2, 9).cast("long")) for df in records(spark, 200))
+    rules = ["l.name_normalized = r.name_normalized", "l.city = r.city"]
+    some = l.select(F.col("class_id").alias("class_id_l")).crossJoin(r.select(F.col("class_id").alias("class_id_r"))).where("pmod(class_id_l + class_id_r, 3) = 0")
+    want = blocking.block(l, r, rules, ["class_id"]).where("pmod(class_id_l + class_id_r, 3) = 0")
+    found = blocking.chosen(some, l, r, rules, ["class_id"])
+    assert found.count() == want.count() > 0 and found.select(sorted(found.columns)).exceptAll(want.select(sorted(want.columns))).count() == 0
+
+
+def test_scored_methods_agree_with_all_pairs(spark):
+    l, r = records(spark, 300)
+    levels = (Level("name_normalized_l = name_normalized_r", 0.9, 1e-6), Level("ELSE", 0.1, 0.9))
+    settings = {"comparisons": [{"output_column_name": "name", "comparison_levels": [{"sql_condition": x.condition, "m_probability": x.m, "u_probability": x.u} for x in levels]}], "probability_two_random_records_match": 1e-4}
+    s = linkage.score(l, r, settings, ["l.name_normalized = r.name_normalized", "l.city = r.city"], least=0.5, term_frequency=False, keep=())
+    pairs = s.all_pairs()
+    assert 0 < pairs.count() < s.pairs.agg(F.sum(F.col("n_l") * F.col("n_r"))).first()[0]
+    for side in "lr":
+        assert sorted(map(tuple, s.matches(side).collect())) == sorted(map(tuple, pairs.groupBy(f"unique_id_{side}").count().collect()))
+    want = pairs.groupBy("unique_id_r").agg(F.min("unique_id_l").alias("unique_id_l"))
+    assert sorted(map(tuple, s.best().select("unique_id_r", "unique_id_l").collect())) == sorted(map(tuple, want.collect()))
+    some = s.pairs.select("class_id_l", "class_id_r").where("class_id_l % 2 = 0")
+    assert sorted(map(tuple, s.among(some.unionByName(some)).pairs.select("class_id_l", "class_id_r").collect())) == sorted(map(tuple, some.collect()))
+
+
+def test_patterns_count_pairs_of_equal_records(spark):
+    found = [Comparison("city", (Level("city_l IS NULL OR city_r IS NULL", is_null=True), Level("city_l = city_r"), Level("ELSE")))]
+    l, r = records(spark)
+    alike = [df.groupBy("name_normalized", "city").agg(F.min("unique_id").alias("unique_id"), F.count("*").alias("n")) for df in (l, r)]
+    rule = ["l.name_normalized = r.name_normalized"]
+    whole, counted = (sorted(map(tuple, train.patterns(p, found).collect())) for p in (blocking.block(l, r, rule, ["city"]), blocking.block(*alike, rule, ["city", "n"], blocking.CELL)))
+    assert whole == counted
+
+
+def test_truth_counts_by_labelled_pairs(spark):
+    pairs = spark.createDataFrame([(k, j, 2, 3) for k in range(5) for j in range(4)], "class_id_l long, class_id_r long, n_l long, n_r long")
+    yes = spark.createDataFrame([(0, 0, 4), (1, 2, 6), (9, 9, 1)], "class_id_l long, class_id_r long, n long")
+    no = spark.createDataFrame([("a", "b", 3, 3), ("a", "b", 3, 3), ("c", "d", 4, 1), ("e", "f", 8, 8)], "unique_id_l string, unique_id_r string, class_id_l long, class_id_r long")
+    labelled = pairs.where("class_id_l * 10 + class_id_r in (0, 12, 33, 41)")
+    want = {"TRUE_MATCH": 10, "TRUE_NON_MATCH": 2, "UNKNOWN": 108}
+    for held in (None, labelled):
+        assert {x["truth"]: x["n_pairs"] for x in truth.class_truth_counts(pairs, yes, no, held).collect()} == want
+
+
+def test_jaro_winkler_of_repeated_texts():
+    texts = [b"acme widgets", b"acme widget works", b"", b"x" * 64, b"y" * 70, b"widgets acme", b"ab\0cd"]
+    i, j = (k.ravel() for k in np.meshgrid(np.arange(len(texts)), np.arange(len(texts))))
+    differ = i != j
+    assert jaro_winkler_many(texts, texts, i[differ], j[differ]).tolist() == [jaro_winkler_bytes(texts[p], texts[q]) for p, q in zip(i[differ], j[differ], strict=True)]
