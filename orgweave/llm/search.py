@@ -1,10 +1,14 @@
-"""Exact top-k search by BM25 with block-max WAND pruning, shard by shard, merged by global statistics.
+"""Exact top-k search by BM25, long queries by products of matrices, short ones by block-max WAND, merged by global statistics.
 
 Document frequencies, the number of documents and their mean length are of the whole table, so scores of
 different shards compare. A shard's inverted index keeps postings by term and document, parts its documents
 into aligned blocks, and holds the largest impact of each term in each block and in the shard.
 
-A query has one threshold, the k-th best score found so far. As in WAND, terms whose largest impacts together stay
+A query of many terms meets nearly every block, so skipping saves it little. Such queries are scored together: what the terms
+that many of them share with many documents add is one product of matrices in single precision, the postings of all other terms
+are added to it, and what comes within its bounded error of the k-th best score is scored again in double precision.
+
+For a shorter query there is one threshold, the k-th best score found so far. As in WAND, terms whose largest impacts together stay
 under it can't bring a document into the result alone, so only blocks that hold one of the other terms are looked at.
 Those blocks are bounded by the sum of their terms' block maxima and read from the highest bound down; once a bound is
 under the threshold, the postings of all blocks left are skipped (Broder et al. 2003; Ding and Suel 2011). Aligned
@@ -40,6 +44,10 @@ class Bm25:
     group: int = 2048
     terms: int = 1_000_000
     block: int = 16
+    #: terms from which on a query is scored together with others; terms and queries that one product holds at most
+    long: int = 16
+    columns: int = 1024
+    rows: int = 128
     #: decimals to which scores are rounded before they are ranked
     digits: int = 6
 
@@ -67,9 +75,11 @@ class Index:
     def __init__(self, docs: np.ndarray, length: np.ndarray, term: np.ndarray, owner: np.ndarray, tf: np.ndarray, mean: float, p: Bm25):
         order = np.lexsort((owner, term))
         self.docs, self.p = docs, p
-        self.owner, tf, term = owner[order], tf[order], term[order]
         norm = p.k1 * (1 - p.b + p.b * length / mean) if mean else np.ones(len(docs))
-        self.impact = tf * (p.k1 + 1) / (tf + norm[self.owner])
+        # by document: postings from[d]:from[d + 1] are those of one document, whose rows are given in order
+        self.own_term, self.own_impact = term, tf * (p.k1 + 1) / (tf + norm[owner])
+        self.from_ = np.searchsorted(owner, np.arange(len(docs) + 1))
+        self.owner, self.impact, term = owner[order], self.own_impact[order], term[order]
         self.blocks = -(-len(docs) // p.block)
         block = self.owner // p.block
         new_term = np.concatenate([[True], term[1:] != term[:-1]]) if len(term) else np.empty(0, bool)
@@ -133,6 +143,64 @@ class Index:
         return self.docs[best], score
 
 
+    def search_many(self, queries: list[tuple[np.ndarray, np.ndarray, float]]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """What ``search`` gives for each of many ``(terms, idf, least)``; the sums of a document's terms are in its own order."""
+        p, n, out = self.p, len(self.docs), []
+        if not len(self.terms):
+            return [(np.empty(0, np.int64), np.empty(0)) for _ in queries]
+        met = []
+        for terms, idf, _ in queries:
+            t = np.minimum(np.searchsorted(self.terms, terms), len(self.terms) - 1)
+            here = self.terms[t] == terms
+            met.append((t[here], idf[here]))
+        held = self.at[self.of[1:]] - self.at[self.of[:-1]]
+        # a product costs a document and query about a hundredth of what a posting costs that is added alone
+        shared = held * np.bincount(np.concatenate([t for t, _ in met]), minlength=len(self.terms))
+        heavy = np.flatnonzero(100 * shared > n * len(queries))
+        heavy = heavy[np.argsort(-shared[heavy], kind="stable")][: p.columns]
+        column = np.full(len(self.terms), -1)
+        column[heavy] = np.arange(len(heavy))
+        dense = np.zeros((len(heavy), n), np.float32)
+        for c, t in enumerate(heavy):
+            post = slice(self.at[self.of[t]], self.at[self.of[t + 1]])
+            dense[c, self.owner[post]] = self.impact[post]
+        for start in range(0, len(queries), p.rows):
+            now = range(start, min(start + p.rows, len(queries)))
+            weights = np.zeros((len(now), len(heavy)), np.float32)
+            for row, q in enumerate(now):
+                c = column[met[q][0]]
+                weights[row, c[c >= 0]] = met[q][1][c >= 0]
+            for q, score in zip(now, weights @ dense, strict=True):
+                t, idf = met[q]
+                alone = column[t] < 0
+                first, size = self.at[self.of[t[alone]]], held[t[alone]]
+                post = _ranges(first, size)
+                score += np.bincount(self.owner[post], np.repeat(idf[alone], size) * self.impact[post], minlength=n)
+                # single precision's bound for a sum of so many products
+                slack = 10.0**-p.digits + 2.0**-22 * (len(t) + 2) * (p.k1 + 1) * float(idf.sum())
+                out.append(self._best(*queries[q], score, slack))
+        return out
+
+    def _best(self, terms: np.ndarray, idf: np.ndarray, least: float, about: np.ndarray, slack: float) -> tuple[np.ndarray, np.ndarray]:
+        """The best documents by double precision, of those that ``about``, right but for ``slack``, leaves open."""
+        k = self.p.k
+        found = np.flatnonzero((about > 0) & (about >= least - slack))
+        if len(found) > k:
+            found = found[about[found] >= np.partition(about[found], len(found) - k)[len(found) - k] - 2 * slack]
+        if not len(found) or not len(terms):
+            return np.empty(0, np.int64), np.empty(0)
+        order = np.argsort(terms, kind="stable")
+        terms, idf = terms[order], idf[order]
+        size = self.from_[found + 1] - self.from_[found]
+        post = _ranges(self.from_[found], size)
+        at = np.minimum(np.searchsorted(terms, self.own_term[post]), len(terms) - 1)
+        asked = terms[at] == self.own_term[post]
+        score = np.round(np.bincount(np.repeat(np.arange(len(found)), size)[asked], idf[at[asked]] * self.own_impact[post[asked]], minlength=len(found)), self.p.digits)
+        hit = np.flatnonzero((score > 0) & (score >= least))
+        top = hit[np.lexsort((found[hit], -score[hit]))][:k]
+        return self.docs[found[top]], score[top]
+
+
 def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     """The numbers from each start, as many as its size."""
     ends = np.cumsum(size)
@@ -156,9 +224,11 @@ def _search(p: Bm25, mean: float):
             n, terms = _flat(right.column("terms"))
             idf = _flat(right.column("idf"))[1]
             end = np.cumsum(n)
-            for q, least, a, b in zip(right.column("qid").to_pylist(), right.column("least").to_pylist(), end - n, end, strict=True):
-                docs, scores = index.search(terms[a:b], idf[a:b], least)
-                out.append((np.full(len(docs), q), docs, scores))
+            asked = [(terms[a:b], idf[a:b], least) for least, a, b in zip(right.column("least").to_pylist(), end - n, end, strict=True)]
+            qid, long = right.column("qid").to_numpy(), n >= p.long
+            found = [(k, index.search(*asked[k])) for k in np.flatnonzero(~long)]
+            found += zip(np.flatnonzero(long), index.search_many([asked[k] for k in np.flatnonzero(long)]) if long.any() else [], strict=True)
+            out = [(np.full(len(docs), qid[k]), docs, scores) for k, (docs, scores) in found]
         cols = [np.concatenate([np.empty(0, d), *(x[k] for x in out)]).astype(d) for k, d in enumerate((np.int64, np.int64, np.float64))]
         return pa.table(dict(zip(("qid", "rid", "score"), map(pa.array, cols), strict=True)))
 

@@ -521,3 +521,29 @@ def test_pipeline_edge_cases(spark, tmp_path):
         docs, none = step(spark, docs, ""), step(spark, none, "")
         assert none.count() == 0 and docs.columns == none.columns, name
     assert docs.count() > 0
+
+
+def test_long_queries_scored_together_are_exact():
+    """Against plain sums: equal documents, thresholds, terms of all, many and few documents, and no term at all."""
+    rng = np.random.default_rng(5)
+    n, p = 700, search.Bm25(k=6, block=16, columns=40, rows=8)
+    held = [np.unique(np.minimum(rng.zipf(1.3, rng.integers(0, 60)), 400)) for _ in range(n)]
+    held[500:520] = [held[7]] * 20  # copies tie
+    size = np.array([len(x) for x in held])
+    tf = rng.integers(1, 4, size.sum())
+    tf[np.repeat(np.isin(np.arange(n), [7, *range(500, 520)]), size)] = 1
+    owner, length = np.repeat(np.arange(n), size), size + 1
+    index = search.Index(np.arange(n) * 3, length, np.concatenate(held), owner, tf, float(length.mean()), p)
+    idf = rng.random(401) * 5 + 0.01
+    queries = [(held[d], idf[held[d]], 0.0) for d in [7, *range(40)]] + [(np.array([9999]), np.array([1.0]), 0.0)]
+    impact = np.zeros((n, 401))
+    impact[owner, np.concatenate(held)] = tf * (p.k1 + 1) / (tf + p.k1 * (1 - p.b + p.b * length / length.mean())[owner])
+    found = index.search_many(queries)
+    for (terms, w, _), (docs, scores) in zip(queries, found, strict=True):
+        plain = np.round(impact[:, terms] @ w, 6) if terms.max(initial=0) < 401 else np.zeros(n)
+        best = [d for d in np.lexsort((np.arange(n), -plain))[: p.k] if plain[d] > 0]
+        assert docs.tolist() == [3 * d for d in best] and np.allclose(scores, plain[best], atol=2e-6)
+        one = index.search(terms, w)
+        assert one[0].tolist() == docs.tolist()
+    again = index.search_many([(t, w, s[2] if len(s) > 2 else 0.0) for (t, w, _), (_, s) in zip(queries, found, strict=True)])
+    assert all(a[0].tolist()[:3] == b[0].tolist()[:3] for a, b in zip(again, found, strict=True))
