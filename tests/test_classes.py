@@ -4,8 +4,9 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from orgweave.functions.similarity import jaro_winkler_bytes, jaro_winkler_many
-from orgweave.operators import blocking, classes, cluster, train, truth
+from orgweave.operators import blocking, classes, cluster, compare, score, train, truth
 from orgweave.operators.compare import Comparison, Level
+from orgweave.operators.model import default_settings
 from orgweave.plans import linkage
 
 
@@ -95,3 +96,30 @@ def test_jaro_winkler_of_repeated_texts():
     i, j = (k.ravel() for k in np.meshgrid(np.arange(len(texts)), np.arange(len(texts))))
     differ = i != j
     assert jaro_winkler_many(texts, texts, i[differ], j[differ]).tolist() == [jaro_winkler_bytes(texts[p], texts[q]) for p, q in zip(i[differ], j[differ], strict=True)]
+
+
+def test_rules_make_their_pairs_in_one_join_each_under_its_first(spark):
+    left = spark.createDataFrame([(f"l{k}", None if k % 7 == 0 else f"n{k % 9}", f"t{k % 3}", f"c{k % 2}" if k % 5 else None) for k in range(90)], "unique_id string, name string, token string, city string")
+    right = left.withColumn("unique_id", F.concat(F.lit("r"), "unique_id"))
+    rules = ["l.name = r.name", "substr(l.name, 1, 1) = substr(r.name, 1, 1) AND l.city = r.city", "l.token = r.token AND l.city = r.city"]
+    want, found = blocking.block(left, right, rules, ["city"]), blocking.block(left, right, rules, ["city"], cell=8)
+    assert sorted(map(str, want.collect())) == sorted(map(str, found.collect())) and found.columns == want.columns
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Join Inner") == 1
+
+
+def test_names_are_compared_only_where_they_matter(spark):
+    """Pairs that can't reach the least probability have no similarity of names; all others score as before."""
+    settings = default_settings()
+    found = compare.comparisons(settings)
+    names = ["university of oslo", "university of olso", "oslo hospital", "bergen institute", "bergen institut", "oslo university", "stavanger", "stavangers"]
+    rows = [(n, n.split()[-1], sorted(n.split()), sorted(set(n.split())), [n], f"X{len(n) % 3}", "NO" if k % 2 else "SE", f"c{k % 2}", n) for k, n in enumerate(names)]
+    r = spark.createDataFrame(rows, "name_normalized string, distinctive_token string, distinctive_tokens array<string>, name_tokens array<string>, all_names array<string>, distinctive_soundex string, country_code string, city string, name string")
+    sides = [r.withColumns(compare.lowered(found)) for _ in "lr"]
+    pairs = [df.toDF(*(f"{c}_{s}" for c in df.columns)) for df, s in zip(sides, "lr", strict=True)]
+    pairs = pairs[0].crossJoin(pairs[1])
+    reach = score.can_reach(settings["probability_two_random_records_match"], 0.5)
+    whole, some = (score.add_scores(compare.add_gammas(pairs, found, x), found, settings["probability_two_random_records_match"]) for x in (None, reach))
+    bare = score.add_scores(compare.add_gammas(pairs.drop(*(c for c in pairs.columns if c.startswith("_low_"))), found), found, settings["probability_two_random_records_match"])
+    key = lambda df: sorted((x["name_l"], x["name_r"], round(x["match_weight"], 9)) for x in df.where("match_probability >= 0.5").collect())
+    assert key(whole) == key(some) == key(bare) and len(key(whole)) > 6
+    assert some.agg(F.sum("gamma_name_normalized")).first()[0] < whole.agg(F.sum("gamma_name_normalized")).first()[0]
