@@ -3,11 +3,13 @@
 import numpy as np
 from pyspark.sql import functions as F
 
+from orgweave import queries
 from orgweave.functions.similarity import jaro_winkler_bytes, jaro_winkler_many
 from orgweave.operators import blocking, classes, cluster, compare, score, train, truth
 from orgweave.operators.compare import Comparison, Level
 from orgweave.operators.model import default_settings
-from orgweave.plans import linkage
+from orgweave.plans import entities, linkage
+from orgweave.sources.staging import stage
 
 
 def test_classes_expand_to_all_pairs(spark):
@@ -123,3 +125,19 @@ def test_names_are_compared_only_where_they_matter(spark):
     key = lambda df: sorted((x["name_l"], x["name_r"], round(x["match_weight"], 9)) for x in df.where("match_probability >= 0.5").collect())
     assert key(whole) == key(some) == key(bare) and len(key(whole)) > 6
     assert some.agg(F.sum("gamma_name_normalized")).first()[0] < whole.agg(F.sum("gamma_name_normalized")).first()[0]
+
+
+def test_names_are_the_first_six_words_of_any_text(spark, tmp_path):
+    texts = ["a b c d e f g", "  a b c d e f", "a b c d e f   ", " \t a  b", "", " ", None, "x" * 300 + " b c d e f g h", " " * 300 + "a b c d e f g", "a b c d e " + "f" * 245 + " g", "a b c d e " + "f" * 246 + " g", "a b c d e " + "f" * 247 + " g h", "é\nü " * 90]
+    spark.createDataFrame([(k, x, "en", "web", 1) for k, x in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    words = F.split(F.trim("text"), r"\s+")
+    want = spark.read.parquet(f"{tmp_path}/documents.parquet").select("doc_id", F.array_join(F.slice(words, 1, 6), " ").alias("name"))
+    assert sorted(map(tuple, entities.named(spark, str(tmp_path)).select("doc_id", "name").collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_judge_summary_writes_only_what_it_reads(spark, monkeypatch):
+    written = {}
+    monkeypatch.setattr(queries, "stage", lambda df, name: written.setdefault(name, stage(df, name)))
+    queries.QUERIES["judge_summary"](spark, "/root/testdata/sf0.001")
+    assert "ror_id" not in written["names"].columns  # before, a digest of every whole text
+    assert not {"name_clean", "name_soundex", "ror_id"} & {*written["entities"].columns, *written["features"].columns}
