@@ -4,7 +4,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from orgweave import queries
-from orgweave.functions.similarity import jaro_winkler_bytes, jaro_winkler_many
+from orgweave.functions.similarity import SIGNS, jaro_winkler_bytes, jaro_winkler_many, signs, upper_bound
 from orgweave.operators import blocking, classes, cluster, compare, score, train, truth
 from orgweave.operators.compare import Comparison, Level
 from orgweave.operators.model import default_settings
@@ -141,3 +141,33 @@ def test_judge_summary_writes_only_what_it_reads(spark, monkeypatch):
     queries.QUERIES["judge_summary"](spark, "/root/testdata/sf0.001")
     assert "ror_id" not in written["names"].columns  # before, a digest of every whole text
     assert not {"name_clean", "name_soundex", "ror_id"} & {*written["entities"].columns, *written["features"].columns}
+
+
+def test_signs_bound_the_similarity(spark):
+    rng = np.random.default_rng(5)
+    texts = ["", "a", "é", "è", "mississippi", "ab" * 40, *("".join(rng.choice(list("aabcé z"), rng.integers(1, 12))) for _ in range(40))]
+    texts += [x + "s" for x in texts[:9]]
+    r = spark.createDataFrame([(x,) for x in texts], "x string").select("x", *(v.alias(k) for k, v in signs(F.col("x")).items()))
+    pairs = r.toDF(*(f"{c}_l" for c in r.columns)).crossJoin(r.toDF(*(f"{c}_r" for c in r.columns)))
+    most = upper_bound(F.col("x_l"), F.col("x_r"), *({k: F.col(f"{k}_{s}") for k in SIGNS} for s in "lr"))
+    found = pairs.select("x_l", "x_r", most.alias("most"), upper_bound(F.col("x_l"), F.col("x_r")).alias("by_length")).collect()
+    assert all(x["most"] >= jaro_winkler_bytes(x["x_l"].encode(), x["x_r"].encode()) - 1e-9 for x in found)
+    assert sum(x["most"] < x["by_length"] - 0.05 for x in found) > len(found) / 2
+
+
+def test_pairs_that_cant_matter_are_left_out_before_similarities(spark):
+    settings = default_settings()
+    found, prior = compare.comparisons(settings), settings["probability_two_random_records_match"]
+    names = ["university of oslo", "university of olso", "oslo hospital", "oslo hospitals", "bergen institute", "bergen institut", "stavanger", "stavangers", "tromso works", None, "a"]
+    none = F.lit(None).cast("string")
+    r = spark.createDataFrame([(n, k) for k, n in enumerate(names)], "name_normalized string, k int")
+    words = F.coalesce(F.split("name_normalized", " "), F.array().cast("array<string>"))
+    r = r.select("name_normalized", F.col("name_normalized").alias("name"), F.element_at(F.when(F.size(words) > 0, words), -1).alias("distinctive_token"), words.alias("distinctive_tokens"), F.array_sort(words).alias("name_tokens"), F.array("name_normalized").alias("all_names"), F.left("name_normalized", F.lit(1)).alias("distinctive_soundex"), F.when(F.col("k") % 5 > 0, F.concat(F.lit("X"), F.col("k") % 2)).alias("country_code"), F.when(F.col("k") % 4 > 0, F.lit("c")).otherwise(none).alias("city"))
+    marked = r.withColumns(compare.lowered(found) | compare.signed(found))
+    pairs = marked.toDF(*(f"{c}_l" for c in marked.columns)).crossJoin(marked.toDF(*(f"{c}_r" for c in marked.columns)))
+    reach = score.can_reach(prior, 0.5)
+    some, whole = (score.add_scores(compare.add_gammas(pairs, found, x), found, prior) for x in (reach, None))
+    key = lambda df: sorted((str(x["name_l"]), str(x["name_r"]), round(x["match_weight"], 9)) for x in df.where("match_probability >= 0.5").collect())
+    assert key(some) == key(whole) and len(key(whole)) > 10
+    assert some.count() < whole.count() / 2  # before, all of them
+    assert not [c for c in some.columns if c.startswith(("_low_", "_most_", "_may"))]
