@@ -147,7 +147,7 @@ def test_signs_bound_the_similarity(spark):
     rng = np.random.default_rng(5)
     texts = ["", "a", "é", "è", "mississippi", "ab" * 40, *("".join(rng.choice(list("aabcé z"), rng.integers(1, 12))) for _ in range(40))]
     texts += [x + "s" for x in texts[:9]]
-    r = spark.createDataFrame([(x,) for x in texts], "x string").select("x", *(v.alias(k) for k, v in signs(F.col("x")).items()))
+    r = spark.createDataFrame([(x,) for x in texts], "x string").select("x", *(v.alias(k) for k, v in signs("x").items()))
     pairs = r.toDF(*(f"{c}_l" for c in r.columns)).crossJoin(r.toDF(*(f"{c}_r" for c in r.columns)))
     most = upper_bound(F.col("x_l"), F.col("x_r"), *({k: F.col(f"{k}_{s}") for k in SIGNS} for s in "lr"))
     found = pairs.select("x_l", "x_r", most.alias("most"), upper_bound(F.col("x_l"), F.col("x_r")).alias("by_length")).collect()
